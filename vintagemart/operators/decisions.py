@@ -55,39 +55,42 @@ def _reason(breached: Column, text: str, value: Column, sign: str, limit: float)
     return F.when(breached, shown)
 
 
-def retraining_decision(
+def decide(
     summary: DataFrame,
     auc_limit: float = RETRAIN_AUC,
     psi_limit: float = RETRAIN_PSI,
     precision_limit: float = RETRAIN_PRECISION,
     test_precision: bool = False,
 ) -> DataFrame:
-    """Retrain if the mean AUC is below or the largest PSI above its limit.
+    """Add ``needs_retraining`` and ``reasons`` to the summary row.
 
-    The precision limit is carried along but only tested on request. A metric
-    that is missing triggers nothing.
+    Retrain if the mean AUC is below or the largest PSI above its limit; the
+    precision limit is only tested on request. A missing metric triggers nothing.
     """
+    auc, psi, precision = F.col("avg_auc"), F.col("max_psi"), F.col("avg_precision")
     reasons = [
-        _reason(
-            F.col("avg_auc") < auc_limit, "AUC below threshold", F.col("avg_auc"), "<", auc_limit
-        ),
-        _reason(
-            F.col("max_psi") > psi_limit, "PSI above threshold", F.col("max_psi"), ">", psi_limit
-        ),
+        _reason(auc < auc_limit, "AUC below threshold", auc, "<", auc_limit),
+        _reason(psi > psi_limit, "PSI above threshold", psi, ">", psi_limit),
     ]
     if test_precision:
-        reasons.append(
-            _reason(
-                F.col("avg_precision") < precision_limit,
-                "Precision below threshold",
-                F.col("avg_precision"),
-                "<",
-                precision_limit,
-            )
-        )
-    decided = summary.withColumn("reasons", F.array_compact(F.array(*reasons)))
+        below = precision < precision_limit
+        reasons.append(_reason(below, "Precision below threshold", precision, "<", precision_limit))
+    return summary.withColumn("reasons", F.array_compact(F.array(*reasons))).withColumn(
+        "needs_retraining", F.size("reasons") > 0
+    )
+
+
+def retraining_decision(
+    summary: DataFrame,
+    auc_limit: float = RETRAIN_AUC,
+    psi_limit: float = RETRAIN_PSI,
+    precision_limit: float = RETRAIN_PRECISION,
+    test_precision: bool = False,
+) -> DataFrame:
+    """The decision with the limits and metrics it rests on."""
+    decided = decide(summary, auc_limit, psi_limit, precision_limit, test_precision)
     return decided.select(
-        (F.size("reasons") > 0).alias("needs_retraining"),
+        "needs_retraining",
         "reasons",
         F.lit(auc_limit).alias("auc_threshold"),
         F.lit(precision_limit).alias("precision_threshold"),

@@ -8,20 +8,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="vintagemart-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="vintagemart-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -78,6 +78,7 @@ def random_forest(
         minInstancesPerNode=10,
         featureSubsetStrategy="sqrt",
         impurity="gini",
+        maxMemoryInMB=1024,  # fewer passes over the rows per tree level
         seed=seed,
     )
     return forest.setWeightCol(weight) if weight else forest

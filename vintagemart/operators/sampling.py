@@ -7,7 +7,7 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -174,28 +174,28 @@ def nearest_neighbours(
         located.select("id", "features", F.explode(wanted_rings("to_pivot")).alias("target")),
         "knn-visits",
     )
-    visitors = {r["target"]: r["n"] for r in visits.groupBy("target").agg(
-        F.count("*").alias("n")).collect()}
+    per_ring = visits.groupBy("target").agg(F.count("*").alias("n"))
+    visitors = {r["target"]: r["n"] for r in per_ring.collect()}
     cuts = F.broadcast(
         spark.createDataFrame(
             [
                 (i, *key, ceil(int(size) / block_rows), ceil(visitors.get(i, 0) / block_rows))
                 for i, (key, size) in enumerate(zip(summary.key, summary.size))
             ],
-            "target int, cell int, ring int, n_sub int, n_part int",
+            "target int, cell int, ring int, n_sub bigint, n_part bigint",
         )
     )
     queries = (
         visits.join(cuts.drop("cell", "ring"), "target")
         .withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.col("n_part")))
-        .withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("n_sub") - 1)).cast("bigint"))
+        .withColumn("sub", _each(F.col("n_sub")))
         .select("target", "sub", "part", "id", "features")
     )
     candidates = (
         located.join(cuts, ["cell", "ring"])
         .where("n_part > 0")
         .withColumn("sub", F.pmod(F.xxhash64(F.lit("sub"), "id"), F.col("n_sub")))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_part") - 1)).cast("bigint"))
+        .withColumn("part", _each(F.col("n_part")))
         .select("target", "sub", "part", "id", "features")
     )
     block = ["target", "sub", "part"]
@@ -207,6 +207,11 @@ def nearest_neighbours(
     return _ranked(found, k)
 
 
+def _each(n: Column) -> Column:
+    """One row per number from 0 up to but not including ``n`` (at least 1)."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+
+
 def _found_schema(points: DataFrame) -> StructType:
     id_type = points.schema["id"].dataType
     return StructType(

@@ -67,9 +67,7 @@ def _loan_rows(df):
 @query("sink_csv_roundtrip", _LOAN_ROWS)
 def sink_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "loans-csv")
-    files.write_csv(
-        views.loan(spark, sf_dir).hint("rebalance", "snapshot_date"), path, ["snapshot_date"]
-    )
+    files.write_csv(views.loan(spark, sf_dir), path, ["snapshot_date"])
     return _loan_rows(files.scan_csv(spark, path, schemas.LOAN_DAILY))
 
 

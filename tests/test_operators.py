@@ -37,21 +37,22 @@ def skewed(spark):
     return loans, side
 
 
-SMALL = {"min_rows": 10, "one_in": 2}
+SMALL = {"min_rows": 500, "one_in": 2}
 
 
 def test_hot_keys_are_found_and_few(skewed):
     loans, _ = skewed
-    hot = joins.hot_keys(loans, KEYS, ["loan_id"], share=1 / 4, **SMALL).collect()
+    hot = joins.hot_keys(loans, KEYS, ["loan_id"], **SMALL).collect()
     assert {r["Customer_ID"] for r in hot} == {"HOT", None}
+    assert joins.hot_keys(loans, KEYS, ["loan_id"], most=1, **SMALL).count() == 1
 
 
-@pytest.mark.parametrize("share", [1 / 4, 1 / 256, 2.0])
-def test_salting_changes_no_row(skewed, share):
+@pytest.mark.parametrize("min_rows", [1, 500, 10_000])
+def test_salting_changes_no_row(skewed, min_rows):
     loans, side = skewed
     other = side.select(*KEYS, (F.col("v") * 10).alias("w"))
     plain = loans.join(side, KEYS, "left").join(other, KEYS, "left")
-    salted = joins.salted_join(loans, [side, other], KEYS, ["loan_id"], share=share, **SMALL)
+    salted = joins.salted_join(loans, [side, other], KEYS, ["loan_id"], min_rows=min_rows, one_in=2)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
 
@@ -59,7 +60,7 @@ def test_salting_changes_no_row(skewed, share):
 def test_hot_rows_are_spread(skewed):
     """The joined hot key and the null keys come out of many sub-keys."""
     loans, side = skewed
-    hot = joins.hot_keys(loans, KEYS, ["loan_id"], share=1 / 4, **SMALL)
+    hot = joins.hot_keys(loans, KEYS, ["loan_id"], **SMALL)
     marked = joins._mark_hot(loans, hot, KEYS, False)
     assert marked.where("__hot").select("Customer_ID").distinct().collect()[0][0] == "HOT"
     salt = F.pmod(F.xxhash64("loan_id"), F.lit(joins.SALTS))

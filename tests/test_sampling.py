@@ -87,6 +87,7 @@ def brute_neighbours(points, k):
     "n, dim, options",
     [
         (60, 3, {}),
+        (900, 2, {"block_rows": 10}),
         (400, 3, {"block_rows": 16, "max_pivots": 12, "rings": 6}),
         (400, 3, {"block_rows": 40, "max_pivots": 3, "rings": 1}),
         (200, 24, {"block_rows": 25, "max_pivots": 8, "rings": 4}),
@@ -110,7 +111,8 @@ def test_pruning_leaves_rings_out():
     ]
     rings = sampling._Rings(rows, 5)
     to_pivot = np.array([[0.5, 100.0, 200.0], [200.0, 100.0, 0.5]])
-    assert rings.wanted(to_pivot).tolist() == [[True, False, False], [False, False, True]]
+    far = np.array([np.inf, np.inf])
+    assert rings.wanted(to_pivot, far).tolist() == [[True, False, False], [False, False, True]]
 
 
 def vectors(spark, n_major, n_minor):

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above this share of the left table, so at most 1/HOT_SHARE keys
-# can be hot: the broadcast list is bounded whatever the data is.
-HOT_SHARE = 1 / 256
-HOT_MIN_ROWS = 10_000
+# At most this many keys are salted. A key that is not among the 256 largest
+# holds less than 1/256 of the rows, so the list is bounded and long enough
+# whatever the data is.
+HOT_KEYS = 256
+HOT_MIN_ROWS = 100_000
 SALTS = 256
 
 _SALT = "__salt"
@@ -21,25 +22,36 @@ def _same(left: Column, right: Column, null_safe: bool) -> Column:
     return left.eqNullSafe(right) if null_safe else left == right
 
 
+def broadcast_if(df: DataFrame, few: bool) -> DataFrame:
+    """Broadcast a side whose size was checked; otherwise Spark picks the join."""
+    return F.broadcast(df) if few else df
+
+
+def has_at_most(df: DataFrame, columns: Sequence[str], limit: int) -> bool:
+    """Whether the columns have at most ``limit`` distinct values; duplicates are
+    dropped on the map side and no more than ``limit + 1`` values are fetched."""
+    if not columns:
+        return True
+    return df.select(*columns).distinct().limit(limit + 1).count() <= limit
+
+
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     row_id: Sequence[str],
-    share: float = HOT_SHARE,
+    most: int = HOT_KEYS,
     min_rows: int = HOT_MIN_ROWS,
     one_in: int = 16,
 ) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows, at most ``1/share`` of them.
+    """The largest keys with more than ``min_rows`` rows, ``most`` of them at most.
 
     Estimated on every row whose id hashes to 0 modulo ``one_in``. The list
     only decides which keys are salted; the joined rows are the same for any
     list.
     """
     seen = df.where(F.pmod(F.xxhash64(*row_id), F.lit(one_in)) == 0)
-    counts = seen.groupBy(*keys).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    heavy = (F.col("n") > total * F.lit(share)) & (F.col("n") > F.lit(min_rows // one_in))
-    return counts.where(heavy).select(*keys)
+    counts = seen.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") * one_in > min_rows)
+    return counts.orderBy(F.col("n").desc(), *keys).limit(most).select(*keys)
 
 
 def _mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:

@@ -12,8 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintagemart.operators.joins import broadcast_if, has_at_most
+
 BUCKET_DIGITS = 4  # 65,536 buckets
 
+# Up to this many groups, the offsets (a row per group and bucket) are broadcast.
+MAX_GROUPS = 16
+
 
 def shuffle_key(ids: Sequence[str], seed: int | str) -> Column:
     """Reproducible pseudo-random text per id, independent of the partitioning."""
@@ -62,8 +67,9 @@ def shuffled_row_number(
     same = ranked["__bucket"] == offsets["__b"]
     for g in groups:
         same = same & ranked[g].eqNullSafe(offsets[f"__g_{g}"])
+    few = has_at_most(df, groups, MAX_GROUPS)
     return (
-        ranked.join(offsets, same)
+        ranked.join(broadcast_if(offsets, few), same)
         .withColumn(name, F.col("__offset") + F.col("__position"))
         .drop("__key", "__bucket", "__b", "__offset", "__position", *[f"__g_{g}" for g in groups])
     )

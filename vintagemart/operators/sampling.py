@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from vintagemart.operators.joins import salted_join
 from vintagemart.operators.ranking import (
     shuffle_key,
     shuffled_row_number,
@@ -80,17 +81,15 @@ class _Rings:
             if len(enough):
                 self.reach[cell] = self.high[mine[enough[0]]]
 
-    def wanted(self, to_pivot: np.ndarray) -> np.ndarray:
+    def wanted(self, to_pivot: np.ndarray, reached: np.ndarray) -> np.ndarray:
         """Which rings can hold one of the k nearest neighbours of each row.
 
-        k + 1 points lie within ``bound``, so a ring matters only if, by the
-        triangle inequality, it comes that near.
+        k neighbours lie within ``bound``: the k-th distance ``reached`` inside
+        the row's own block, or what the pivots promise. A ring matters only
+        if, by the triangle inequality, it comes that near.
         """
-        usable = np.isfinite(self.reach)
-        if not usable.any():
-            return np.ones((len(to_pivot), len(self.cell)), dtype=bool)
-        bound = (to_pivot[:, : len(self.reach)][:, usable] + self.reach[usable]).min(axis=1)
-        bound = (bound * (1 + SLACK) + SLACK)[:, None]
+        promised = (to_pivot[:, : len(self.reach)] + self.reach).min(axis=1)
+        bound = (np.minimum(promised, reached) * (1 + SLACK) + SLACK)[:, None]
         centre = to_pivot[:, self.cell]
         nearest = to_pivot.min(axis=1, keepdims=True)
         return (
@@ -100,6 +99,20 @@ class _Rings:
         )
 
 
+def _reach_in_block(k: int):
+    """Add the k-th smallest distance to another row of the same block."""
+
+    def reach(block: pd.DataFrame) -> pd.DataFrame:
+        reached = np.full(len(block), np.inf)
+        if len(block) > k:
+            rows = _matrix(block["features"])
+            # The row itself is among the k + 1 nearest, at distance 0.
+            reached = np.partition(_distances(rows, rows), k, axis=1)[:, k]
+        return block.assign(reached=reached)
+
+    return reach
+
+
 def _closest(k: int):
     """The k nearest candidates of each query inside one block pair, ties by id."""
 
@@ -136,11 +149,11 @@ def nearest_neighbours(
     """The k nearest other points of every point: id, rank, neighbour_id, distance.
 
     Exact, ties by neighbour id. Points are located in rings around a few
-    pivots; a point is sent only to rings that can hold one of its neighbours,
-    and rings are cut into blocks of about ``block_rows`` on both sides, so a
-    task compares two bounded blocks and returns k rows per point, however
-    dense one region is. What comes to the driver is the pivots and one summary
-    row per ring.
+    pivots, and rings are cut into blocks of about ``block_rows``. A first pass
+    inside each block bounds how far a point's neighbours can be; the point is
+    then sent only to rings that come that near. A task compares two bounded
+    blocks and returns k rows per point, however dense one region is. What
+    comes to the driver is the pivots and one summary row per ring.
     """
     points = materialize(
         points.select(
@@ -150,51 +163,68 @@ def nearest_neighbours(
     )
     spark = points.sparkSession
     n = points.count()
-    n_pivots = min(max_pivots, ceil(n / block_rows)) or 1
-    if n_pivots == 1:
+    n_blocks = ceil(n / block_rows)
+    if n_blocks <= 1:
         return _ranked(_compare_all_in_one_block(points, k), k)
+    # About one block per ring: a point that must look everywhere is sent to
+    # no more rings than there are blocks.
+    n_pivots = min(max_pivots, ceil(n_blocks**0.5))
+    n_rings = min(rings, ceil(n_blocks / n_pivots))
 
     chosen = points.orderBy(shuffle_key(["id"], "pivot"), "id").limit(n_pivots)
     pivots = np.array([r["features"] for r in chosen.collect()])
     located = materialize(_locate(points, pivots), "knn-located")
     widest = located.agg(F.max("radius")).first()[0] or 1.0
-    ring = F.least(F.floor(F.col("radius") / F.lit(widest) * rings), F.lit(rings - 1))
+    ring = F.least(F.floor(F.col("radius") / F.lit(widest) * n_rings), F.lit(n_rings - 1))
     located = located.withColumn("ring", ring.cast("int"))
     extents = located.groupBy("cell", "ring").agg(
         F.count("*").alias("n"), F.min("radius").alias("low"), F.max("radius").alias("high")
     )
     summary = _Rings(extents.collect(), k)
+    sizes = F.broadcast(
+        spark.createDataFrame(
+            [
+                (i, *key, ceil(int(size) / block_rows))
+                for i, (key, size) in enumerate(zip(summary.key, summary.size))
+            ],
+            "target int, cell int, ring int, n_sub bigint",
+        )
+    )
+    blocked = located.join(sizes, ["cell", "ring"]).withColumn(
+        "sub", F.pmod(F.xxhash64(F.lit("sub"), "id"), F.col("n_sub"))
+    )
+    own = blocked.select("target", "sub", "id", "features", "to_pivot")
+    with_reach = StructType([*own.schema.fields, StructField("reached", DoubleType())])
+    reached = own.groupBy("target", "sub").applyInPandas(_reach_in_block(k), with_reach)
 
     @F.pandas_udf("array<int>")
-    def wanted_rings(to_pivot: pd.Series) -> pd.Series:
-        chosen = summary.wanted(_matrix(to_pivot))
+    def wanted_rings(to_pivot: pd.Series, reached: pd.Series) -> pd.Series:
+        chosen = summary.wanted(_matrix(to_pivot), reached.to_numpy())
         return pd.Series([np.flatnonzero(row).astype("int32") for row in chosen])
 
     visits = materialize(
-        located.select("id", "features", F.explode(wanted_rings("to_pivot")).alias("target")),
+        reached.select(
+            "id", "features", F.explode(wanted_rings("to_pivot", "reached")).alias("target")
+        ),
         "knn-visits",
     )
     per_ring = visits.groupBy("target").agg(F.count("*").alias("n"))
     visitors = {r["target"]: r["n"] for r in per_ring.collect()}
-    cuts = F.broadcast(
+    parts = F.broadcast(
         spark.createDataFrame(
-            [
-                (i, *key, ceil(int(size) / block_rows), ceil(visitors.get(i, 0) / block_rows))
-                for i, (key, size) in enumerate(zip(summary.key, summary.size))
-            ],
-            "target int, cell int, ring int, n_sub bigint, n_part bigint",
+            [(i, ceil(v / block_rows)) for i, v in visitors.items()],
+            "target int, n_part bigint",
         )
     )
     queries = (
-        visits.join(cuts.drop("cell", "ring"), "target")
+        visits.join(parts, "target")
+        .join(sizes.select("target", "n_sub"), "target")
         .withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.col("n_part")))
         .withColumn("sub", _each(F.col("n_sub")))
         .select("target", "sub", "part", "id", "features")
     )
     candidates = (
-        located.join(cuts, ["cell", "ring"])
-        .where("n_part > 0")
-        .withColumn("sub", F.pmod(F.xxhash64(F.lit("sub"), "id"), F.col("n_sub")))
+        blocked.join(parts, "target")
         .withColumn("part", _each(F.col("n_part")))
         .select("target", "sub", "part", "id", "features")
     )
@@ -264,7 +294,10 @@ def synthesize(
     near = nearest_neighbours(points, k, **blocks).select("id", "rank", "neighbour_id")
     indexed = shuffled_row_number(points, ["id"], f"base:{seed}", name="base_index")
     ends = points.select(F.col("id").alias("neighbour_id"), F.col("features").alias("end"))
-    segments = near.join(indexed, "id").join(ends, "neighbour_id")
+    # Copies of one point all have the same few neighbours: a hot key.
+    segments = salted_join(
+        near.join(indexed, "id"), [ends], ["neighbour_id"], ["id", "rank"], "inner"
+    )
     draw_text = F.md5(F.concat_ws(":", F.col("draw").cast("string"), F.lit(f"draw:{seed}")))
     draws = (
         spark.range(n_new)

@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintagemart.operators.joins import broadcast_if, has_at_most
 from vintagemart.operators.ranking import BUCKET_DIGITS, shuffle_key
 
+# Up to this many classes, a table with one row per class is broadcast.
+MAX_CLASSES = 1000
+
 
 def class_quotas(df: DataFrame, label: str, test_share: float) -> DataFrame:
     """Test rows per class: ``ceil(share * n)`` in all, by largest remainder.
@@ -51,9 +55,11 @@ def stratified_split(
     The test rows of a class are those with the smallest shuffle keys. Only the
     last of them is looked up: per-class bucket counts name the bucket it lies
     in, that bucket alone is ranked, and every row is then compared with one
-    cut key per class. The table itself is never shuffled. ``ids`` must be
-    unique, and reading ``df`` again must give the same rows.
+    cut key per class. With up to ``MAX_CLASSES`` classes the table itself is
+    never shuffled. ``ids`` must be unique, and reading ``df`` again must give
+    the same rows.
     """
+    few = has_at_most(df, [label], MAX_CLASSES)
     keyed = df.withColumn("__key", shuffle_key(ids, seed))
     narrow = keyed.select(label, *ids, "__key").withColumn(
         "__bucket", F.substring("__key", 1, BUCKET_DIGITS)
@@ -71,14 +77,14 @@ def stratified_split(
     )
     in_bucket = Window.partitionBy(label, "__bucket").orderBy("__key")
     cut = (
-        narrow.join(cut_bucket, [label, "__bucket"])
+        narrow.join(broadcast_if(cut_bucket, few), [label, "__bucket"])
         .withColumn("position", F.row_number().over(in_bucket))
         .where(F.col("position") == F.col("wanted"))
         .select(F.col(label).alias("__label"), F.col("__key").alias("__cut"))
     )
     is_test = F.col("__key") <= F.col("__cut")
     return (
-        keyed.join(cut, keyed[label].eqNullSafe(F.col("__label")), "left")
+        keyed.join(broadcast_if(cut, few), keyed[label] == F.col("__label"), "left")
         .withColumn("split", F.when(is_test, "test").otherwise("train"))
         .drop("__key", "__label", "__cut")
     )
@@ -97,6 +103,6 @@ def balanced_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def add_class_weights(df: DataFrame, label: str = "label", name: str = "weight") -> DataFrame:
-    """One weight row per class is small; the join strategy is left to AQE."""
+    """The weight of each row's class."""
     weights = balanced_class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(weights, label, "left")
+    return df.join(broadcast_if(weights, has_at_most(df, [label], MAX_CLASSES)), label, "left")

@@ -27,6 +27,9 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Rows of one partition value are written together, large ones over several files."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").options(**CSV_QUOTING)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")

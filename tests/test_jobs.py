@@ -167,6 +167,39 @@ def test_training_scoring_monitoring(spark, lake):
     assert report["performance_summary"]["avg_auc"] is not None
 
 
+def test_tuned_model_is_saved_and_scores_a_range(spark, lake):
+    labels = store.read_snapshots(spark, lake.path("silver", "loan_daily")).select(
+        "loan_id", "Customer_ID", "snapshot_date", (F.col("dpd") >= 30).cast("int").alias("label")
+    )
+    clicks = labels.select(
+        "Customer_ID",
+        "snapshot_date",
+        (F.col("label") * 5 + F.month("snapshot_date")).alias("fe_1"),
+        F.when(F.month("snapshot_date") > 1, 1).alias("fe_2"),
+    )
+    tuned = training.train_from_label_store(
+        labels, clicks, "2024-05-01", 3, 1, draws=2,
+        grid={"maxIter": [1, 2], "maxDepth": [2]},
+    )
+    stats = {r["split"]: (r["n_rows"], r["label_mean"]) for r in tuned.stats.collect()}
+    assert stats == {"train": (144, 0.33), "test": (36, 0.33), "oot": (60, 0.33)}
+    auc = {r["split"]: (r["auc"], r["gini"]) for r in tuned.auc.collect()}
+    assert auc == {s: (1.0, 1.0) for s in stats}
+    assert tuned.version == "credit_model_2024_05_01"
+
+    training.save_tuned(spark, lake, tuned)
+    record = spark.read.json(lake.path("models", f"records/{tuned.version}")).first()
+    assert record["oot_start_date"] == "2024-04-01"
+    assert record["splits"]["oot"]["n_rows"] == 60
+
+    scored = scoring.score_version(spark, lake, tuned.version, clicks, "2024-02-01", "2024-04-01")
+    assert set(scored.columns) == {"Customer_ID", "snapshot_date", "model_name", "model_predictions"}
+    assert scored.count() == 180
+    scoring.score_version(spark, lake, tuned.version, clicks, "2024-04-01", "2024-04-01")
+    stored = store.read_snapshots(spark, lake.path("gold", "model_predictions"))
+    assert stored.count() == 180
+
+
 def test_too_few_rows_to_train(spark, lake):
     with pytest.raises(ValueError, match="need at least 100"):
         training.prepare_training_data(features(spark, lake), "2024-02-01")

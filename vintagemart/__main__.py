@@ -27,6 +27,8 @@ def _parser() -> argparse.ArgumentParser:
     job("train", "cutoff")
     job("score", "first", "last", "prediction-date")
     job("monitor", "baseline", "report-date")
+    job("tune", "features", "train-date")
+    job("score-version", "features", "version", "first", "last")
     return parser
 
 
@@ -40,6 +42,17 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "medallion":
         medallion.run(spark, args.raw, lake, args.first, args.last).show(1000, truncate=False)
         return
+    if args.job == "tune":
+        labels = store.read_snapshots(spark, lake.path("gold", "label_store"))
+        clicks = store.read_snapshots(spark, args.features)
+        print(training.save_tuned(
+            spark, lake, training.train_from_label_store(labels, clicks, args.train_date)
+        ))
+        return
+    if args.job == "score-version":
+        clicks = store.read_snapshots(spark, args.features)
+        scoring.score_version(spark, lake, args.version, clicks, args.first, args.last).show()
+        return
     features = store.read_snapshots(spark, lake.path("gold", "feature_store"))
     if args.job == "train":
         print(training.run(spark, lake, features, args.cutoff))

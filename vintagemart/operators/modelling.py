@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 from itertools import product
 
@@ -90,9 +90,12 @@ def fit(estimator: Estimator, train: DataFrame, columns: Sequence[str] | None =
     return Pipeline(stages=stages).fit(train)
 
 
-def search_grid(draws: int = SEARCH_DRAWS, seed: int = 42) -> list[dict]:
+def search_grid(
+    draws: int = SEARCH_DRAWS, seed: int = 42, grid: Mapping[str, list] | None = None
+) -> list[dict]:
     """Distinct random settings from the grid; all of them if it is smaller."""
-    settings = [dict(zip(SEARCH_GRID, values)) for values in product(*SEARCH_GRID.values())]
+    grid = grid or SEARCH_GRID
+    settings = [dict(zip(grid, values)) for values in product(*grid.values())]
     return random.Random(seed).sample(settings, min(draws, len(settings)))
 
 
@@ -113,6 +116,7 @@ def tune_boosted_trees(
     parallelism: int = 4,
     score_classes: bool = True,
     seed: int = 88,
+    grid: Mapping[str, list] | None = None,
 ) -> tuple[CrossValidatorModel, list[dict]]:
     """Random search with cross-validation over gradient-boosted trees.
 
@@ -120,7 +124,7 @@ def tune_boosted_trees(
     the AUC of the scores.
     """
     trees = GBTClassifier(featuresCol=VECTOR, labelCol=label, seed=seed)
-    settings = search_grid(draws)
+    settings = search_grid(draws, grid=grid)
     maps = [{trees.getParam(name): value for name, value in s.items()} for s in settings]
     judge = BinaryClassificationEvaluator(
         rawPredictionCol="prediction" if score_classes else "rawPrediction",

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SCALED = "scaled_"
+
 
 @dataclass(frozen=True)
 class StandardScaling:
@@ -35,3 +38,12 @@ class StandardScaling:
             for c, m, s in zip(self.columns, self.means, self.spreads)
         }
         return df.select([scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])
+
+    def transformer(self) -> SQLTransformer:
+        """The same scaling as a pipeline stage that is saved with its model; it
+        adds ``scaled_<column>``."""
+        scaled = [
+            f"(`{c}` - {m!r}D) / {s!r}D AS `{SCALED}{c}`"
+            for c, m, s in zip(self.columns, self.means, self.spreads)
+        ]
+        return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")

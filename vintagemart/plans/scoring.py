@@ -77,3 +77,35 @@ def run(
         summary, lake.path("gold", f"prediction_summary/{as_date(prediction_date):%Y%m%d}")
     )
     return summary
+
+
+def score_version(
+    spark: SparkSession,
+    lake: Lake,
+    version: str,
+    features: DataFrame,
+    first: date | str,
+    last: date | str,
+    prefix: str = "fe_",
+) -> DataFrame:
+    """Probabilities of a model saved under its version, for a range of snapshots.
+
+    One month and a backfill of years are the same job; a re-run replaces the
+    months it scores. Returns the stored rows of the range.
+    """
+    rows = snapshots.snapshot_range(features, first, last)
+    names = [c for c in rows.columns if c.startswith(prefix)]
+    model = PipelineModel.load(lake.model(version))
+    keys = ["Customer_ID", "snapshot_date"]
+    scored = modelling.predict(model, columns.coerce_numeric(rows, names), keys)
+    path = lake.path("gold", "model_predictions")
+    store.write_snapshots(
+        scored.select(
+            *keys,
+            F.lit(version).alias("model_name"),
+            F.col("prediction_probability").alias("model_predictions"),
+        ),
+        path,
+        ["model_name", "snapshot_date"],
+    )
+    return store.read_snapshots(spark, path, first, last).where(F.col("model_name") == version)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from vintagemart import schemas
-from vintagemart.functions.dates import TrainingWindows
+from vintagemart.functions.dates import TrainingWindows, as_date
 from vintagemart.operators import (
     aggregates,
     columns,
@@ -23,9 +23,9 @@ from vintagemart.operators import (
     snapshots,
     split,
 )
-from vintagemart.operators.scaling import StandardScaling
+from vintagemart.operators.scaling import SCALED, StandardScaling
 from vintagemart.plans.lake import Lake
-from vintagemart.sources import registry
+from vintagemart.sources import files, registry
 from vintagemart.sources.scratch import materialize
 
 ROW_KEYS = ("Customer_ID", "user_id", "loan_id", "snapshot_date")
@@ -190,13 +190,19 @@ def run(
 
 @dataclass(frozen=True)
 class TunedModel:
+    """``model`` scales, assembles and classifies rows with the feature columns."""
+
     model: PipelineModel
-    scaling: StandardScaling
+    train_date: date
     windows: TrainingWindows
     stats: DataFrame
     auc: DataFrame
     best_setting: dict
 
+    @property
+    def version(self) -> str:
+        return f"credit_model_{self.train_date:%Y_%m_%d}"
+
 
 def train_from_label_store(
     labels: DataFrame,
@@ -211,7 +217,8 @@ def train_from_label_store(
     **search,
 ) -> TunedModel:
     """Windows before the training date, scaling fitted on train, tuned boosted
-    trees, AUC and Gini on train, test and out-of-time rows."""
+    trees, AUC and Gini on train, test and out-of-time rows. Missing features
+    count as 0."""
     windows = TrainingWindows.before(train_date, train_test_months, oot_months)
     inside = {"first": windows.train_test_start, "last": windows.oot_end}
     joined = joins.training_set_join(
@@ -228,23 +235,43 @@ def train_from_label_store(
     train_test = split.stratified_split(
         tagged.where("split = 'train_test'").drop("split"), ids, "label", test_share, seed
     )
-    parts = train_test.unionByName(tagged.where("split = 'oot'"))
+    parts = materialize(train_test.unionByName(tagged.where("split = 'oot'")), "parts")
     scaling = StandardScaling.fit(parts.where("split = 'train'"), names)
-    scaled = materialize(scaling.apply(parts), "scaled")
-    vectors = modelling.assembler(names).transform(scaled)
+    stages = [scaling.transformer(), modelling.assembler([SCALED + c for c in names])]
+    vectors = PipelineModel(stages).transform(parts)
     tuned, settings = modelling.tune_boosted_trees(
         vectors.where("split = 'train'"), ids, draws=draws, **search
     )
-    scored = modelling.predict(tuned.bestModel, vectors, ["split", "label"])
+    model = PipelineModel([*stages, tuned.bestModel])
+    scored = modelling.predict(model, parts, ["split", "label"])
     auc = evaluation.roc_auc(scored, ["split"], "label").withColumn(
         "gini", evaluation.gini(F.col("auc"))
     )
     best = max(range(len(settings)), key=lambda i: tuned.avgMetrics[i])
     return TunedModel(
-        PipelineModel([tuned.bestModel]),
-        scaling,
-        windows,
-        aggregates.split_stats(scaled),
-        auc,
-        settings[best],
+        model, as_date(train_date), windows, aggregates.split_stats(parts), auc, settings[best]
+    )
+
+
+def save_tuned(spark: SparkSession, lake: Lake, tuned: TunedModel) -> str:
+    """Save the model under its version, and a JSON record of how it came about."""
+    path = lake.model(tuned.version)
+    tuned.model.write().overwrite().save(path)
+    w = tuned.windows
+    results = tuned.stats.join(tuned.auc.drop("n_rows"), "split")
+    entry = F.struct("n_rows", "label_mean", "auc", "gini")
+    record = results.agg(F.map_from_entries(F.collect_list(F.struct("split", entry))).alias("splits"))
+    files.write_json_record(
+        record.select(
+            F.lit(tuned.version).alias("model_version"),
+            F.lit(tuned.train_date).alias("model_train_date"),
+            F.lit(w.train_test_start).alias("train_test_start_date"),
+            F.lit(w.train_test_end).alias("train_test_end_date"),
+            F.lit(w.oot_start).alias("oot_start_date"),
+            F.lit(w.oot_end).alias("oot_end_date"),
+            "splits",
+            F.struct(*[F.lit(v).alias(k) for k, v in tuned.best_setting.items()]).alias("hp_params"),
+        ),
+        lake.path("models", f"records/{tuned.version}"),
     )
+    return path

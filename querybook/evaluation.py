@@ -8,21 +8,28 @@ from querybook import views
 from querybook.registry import query
 from querybook.views import day_text
 from vintagemart.operators import aggregates, evaluation, split
+from vintagemart.plans import training
 
 
 def _labels(spark, sf_dir):
     return views.table(spark, sf_dir, "labels")
 
 
-@query(
-    "stratified_split",
-    """WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1),
+def _quotas(label: str, rows: str) -> str:
+    """CTEs ending in q(label, n, n_test): a fifth for the test, by largest remainder."""
+    return f"""WITH c AS (SELECT {label}, count(*) AS n FROM {rows} GROUP BY 1),
             t AS (SELECT *, sum(n) OVER () AS total,
                          sum(n) OVER () - ceil(sum(n) OVER () * 0.2) AS n_train FROM c),
             f AS (SELECT *, floor(n * n_train / total) AS base,
                          n * n_train / total - floor(n * n_train / total) AS rest FROM t),
-            q AS (SELECT quality, n - base - CASE WHEN row_number() OVER (ORDER BY rest DESC, quality)
-                         <= n_train - sum(base) OVER () THEN 1 ELSE 0 END AS n_test FROM f)
+            q AS (SELECT {label}, n, n - base - CASE WHEN row_number() OVER
+                             (ORDER BY rest DESC, {label})
+                         <= n_train - sum(base) OVER () THEN 1 ELSE 0 END AS n_test FROM f)"""
+
+
+@query(
+    "stratified_split",
+    f"""{_quotas("quality", "labels")}
        SELECT doc_id, l.quality,
               CASE WHEN row_number() OVER (PARTITION BY l.quality
                                            ORDER BY md5(doc_id || ':42'))
@@ -34,6 +41,27 @@ def stratified_split(spark, sf_dir):
     return split.stratified_split(df, ["doc_id"], "quality")
 
 
+@query(
+    "prepared_training_set",
+    f"""{_quotas("label", "(SELECT label FROM v_feat WHERE snapshot_date < DATE '2024-06-01')")}
+       SELECT 'test' AS part, label, CAST(n_test AS BIGINT) AS n_rows FROM q
+       UNION ALL SELECT 'train', label, CAST(max(n - n_test) OVER () AS BIGINT) FROM q""",
+)
+def prepared_training_set(spark, sf_dir):
+    """The whole preparation: cut-off, leakage guard, selection, split, oversampling."""
+    prepared = training.prepare_training_data(
+        views.feature(spark, sf_dir), "2024-06-01", label="label"
+    )
+    parts = {"train": prepared.train, "test": prepared.test}
+    counted = [
+        df.groupBy("label").agg(F.count("*").alias("n_rows")).select(
+            F.lit(part).alias("part"), "label", "n_rows"
+        )
+        for part, df in parts.items()
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @query(
     "class_distribution",
     "SELECT quality AS label, count(*) AS n_rows FROM labels GROUP BY 1",

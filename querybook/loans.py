@@ -11,6 +11,7 @@ from vintagemart import schemas
 from vintagemart.functions import loans as loan_functions
 from vintagemart.functions.dates import TrainingWindows, month_spine_of
 from vintagemart.operators import aggregates, columns, snapshots
+from vintagemart.plans import medallion
 
 SNAPSHOT = "1998-06-01"
 CUTOFF = "1999-01-01"
@@ -251,6 +252,26 @@ def customer_loan_features(spark, sf_dir):
     )
 
 
+@query(
+    "user_gold_features",
+    """SELECT user_id AS Customer_ID, CAST(snapshot_date AS VARCHAR) AS snapshot_date,
+              'LOAN_' || split_part(user_id, '_', 2) AS loan_id,
+              avg(loan_amount) AS avg_loan_amount, count(loan_amount) AS num_loans,
+              coalesce(round(avg(monthly_payment), 2), 0) AS avg_monthly_payment
+       FROM v_silver_user_loan GROUP BY ALL""",
+)
+def user_gold_features(spark, sf_dir):
+    gold = medallion.user_gold(snapshots.silver_user_loans(views.user_loan(spark, sf_dir)))
+    return gold.select(
+        "Customer_ID",
+        "snapshot_date",
+        "loan_id",
+        "avg_loan_amount",
+        "num_loans",
+        F.round("avg_monthly_payment", 2).alias("avg_monthly_payment"),
+    )
+
+
 @query(
     "derive_loan_id",
     """SELECT user_id, CASE WHEN contains(user_id, '_') THEN 'LOAN_' || split_part(user_id, '_', 2)

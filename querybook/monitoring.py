@@ -16,6 +16,7 @@ from vintagemart.operators import (
     joins,
     snapshots,
 )
+from vintagemart.plans import monitoring as monitoring_plan
 
 BASELINE = "2024-01-10"
 ABSENT = "2020-01-01"
@@ -222,6 +223,35 @@ def retraining_decision(spark, sf_dir):
     )
 
 
+_REPORT = (
+    _SUMMARY.replace("v_performance", "m_performance").replace("v_psi", "m_psi")
+)
+
+
+@query(
+    "monitoring_report",
+    f"""SELECT '2024-02-01' AS report_date,
+               {", ".join(f"round({c}, 8) AS {c}" for c in _SUMMARY_NAMES)},
+               avg_auc < 0.5 OR max_psi > 0.2 AS needs_retraining
+        FROM ({_REPORT})""",
+)
+def monitoring_report(spark, sf_dir):
+    """The whole monitoring job: aligned rows, performance, drift, decision, report."""
+    result = monitoring_plan.monitor(
+        _predictions(spark, sf_dir),
+        monitoring_plan.load_actuals(_raw_actuals(spark, sf_dir)),
+        BASELINE,
+        "2024-02-01",
+        row_id=["loan_id"],
+    )
+    flat = result.report.select(
+        "report_date", "performance_summary.*", "drift_summary.*", "needs_retraining"
+    )
+    return day_text(
+        flat.withColumns({c: F.round(c, 8) for c in _SUMMARY_NAMES}), "report_date"
+    )
+
+
 _POLICY = """
     SELECT (SELECT avg(auc) FROM v_performance) AS avg_auc,
            (SELECT avg("precision") FROM v_performance) AS avg_precision,

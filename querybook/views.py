@@ -604,6 +604,15 @@ VIEW_SQL["v_hist"] = histogram_sql("v_pred")
 VIEW_SQL["v_hist_edge"] = histogram_sql("v_pred_edge")
 VIEW_SQL["v_psi"] = psi_sql("v_hist", "2024-01-10")
 
+# The monitoring views once more over the predictions that have an actual.
+VIEW_SQL["m_pred"] = """
+        SELECT p.* FROM v_pred p
+        JOIN events e ON e.event_id = p.event_id AND e.event_type <> 'signup'"""
+for _name in ("auc", "cells", "performance", "hist", "psi"):
+    VIEW_SQL[f"m_{_name}"] = re.sub(
+        r"\bv_(pred|auc|cells|performance|hist)\b", r"m_\1", VIEW_SQL[f"v_{_name}"]
+    )
+
 
 def with_views(body: str) -> str:
     """Prefix the query with the views it names, dependencies first."""

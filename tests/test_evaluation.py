@@ -59,6 +59,14 @@ def test_auc_corner_cases(spark, rows, auc):
     assert evaluation.roc_auc(scored(spark, rows)).first()["auc"] == auc
 
 
+@pytest.mark.parametrize("bad", [(None, 0.5), (2, 0.5), (1, None), (1, float("nan")), (0, float("inf"))])
+def test_auc_needs_labels_and_scores(spark, bad):
+    rows = [("a", 0, 0.1, 0), ("a", 1, 0.2, 0), ("b", 0, 0.1, 0), ("b", 1, 0.2, 0), ("b", *bad, 0)]
+    got = {r["g"]: r["auc"] for r in
+           evaluation.roc_auc(spark.createDataFrame(rows, SCHEMA), ["g"]).collect()}
+    assert got == {"a": 1.0, "b": None}
+
+
 def test_auc_ignores_monotone_transform(spark):
     r = random.Random(3)
     df = scored(spark, [(r.randint(0, 1), r.random()) for _ in range(300)])

@@ -61,6 +61,13 @@ def test_scratch_uses_the_shared_folder(spark):
     assert scratch.scratch_path(spark, "x") != scratch.scratch_path(spark, "x")
 
 
+def test_scratch_tables_are_released(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_in_use", [])
+    kept = scratch.materialize(spark.range(3))
+    assert kept.count() == 3
+    assert scratch.release(spark) == 1 and scratch.release(spark) == 0
+
+
 def run_row(name, when, path):
     return (name, path, when, None, [], 0, {}, "auc", None, None, None)
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from vintagemart.plans import medallion, monitoring, scoring, training
 from vintagemart.plans.lake import Lake
 from vintagemart.session import get_spark
 from vintagemart.sources import store
+from vintagemart.sources.scratch import release
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -35,7 +38,13 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = get_spark(f"vintagemart-{args.job}", master=args.master)
-    lake = Lake(args.lake)
+    try:
+        _run(args, spark, Lake(args.lake))
+    finally:
+        release(spark)
+
+
+def _run(args: argparse.Namespace, spark: SparkSession, lake: Lake) -> None:
     if args.job == "bronze":
         medallion.load_bronze(spark, args.raw, lake, args.first, args.last)
         return
@@ -45,9 +54,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "tune":
         labels = store.read_snapshots(spark, lake.path("gold", "label_store"))
         clicks = store.read_snapshots(spark, args.features)
-        print(training.save_tuned(
-            spark, lake, training.train_from_label_store(labels, clicks, args.train_date)
-        ))
+        tuned = training.train_from_label_store(labels, clicks, args.train_date)
+        print(training.save_tuned(spark, lake, tuned))
         return
     if args.job == "score-version":
         clicks = store.read_snapshots(spark, args.features)

@@ -93,11 +93,14 @@ def scored_counts(
     score: str,
     predicted: str | None,
 ) -> DataFrame:
-    """Per group: winning pairs, the four confusion cells and unusable rows."""
+    """Per group: winning pairs, the four confusion cells, and how many rows lack
+    a binary label, a finite score or a binary class."""
     actual = F.col(label)
     value = F.col(score).cast("double")
     guess = F.col(predicted) if predicted else F.lit(1)
-    bad = actual.isNull() | value.isNull() | F.isnan(value) | guess.isNull()
+    finite = F.abs(value) < F.lit(float("inf"))
+    usable = actual.isin(0, 1) & finite & guess.isin(0, 1)
+    bad = F.coalesce(~usable, F.lit(True))
     keys = [f"__g{i}" for i in range(len(groups))] or ["__all"]
     named = [F.col(g).alias(k) for g, k in zip(groups, keys)] or [F.lit(0).alias("__all")]
     rows = df.select(
@@ -131,8 +134,11 @@ def _auc_column(one_class: float | None) -> Column:
     positives = (F.col("fn") + F.col("tp")).cast("double")
     negatives = (F.col("tn") + F.col("fp")).cast("double")
     both = (positives > 0) & (negatives > 0)
-    return F.when(both, F.col("wins") / (positives * negatives)).otherwise(
-        F.lit(one_class).cast("double")
+    return F.when(
+        F.col("n_bad") == 0,
+        F.when(both, F.col("wins") / (positives * negatives)).otherwise(
+            F.lit(one_class).cast("double")
+        ),
     )
 
 
@@ -143,7 +149,8 @@ def roc_auc(
     score: str = "prediction_probability",
     one_class: float | None = 0.5,
 ) -> DataFrame:
-    """Tie-aware ROC-AUC per group; ``one_class`` where only one class occurs."""
+    """Tie-aware ROC-AUC per group; ``one_class`` where only one class occurs, null
+    where a row has no binary label or no finite score."""
     counts = scored_counts(df, groups, label, score, None)
     return counts.select(
         *groups,

@@ -81,6 +81,15 @@ class _Rings:
             if len(enough):
                 self.reach[cell] = self.high[mine[enough[0]]]
 
+    def targets(self, to_pivot: np.ndarray, reached: np.ndarray) -> list[np.ndarray]:
+        """Numbers of the wanted rings per row, a slice of the rows at a time."""
+        step = max(1, 1_000_000 // len(self.cell))
+        out = []
+        for i in range(0, len(to_pivot), step):
+            chosen = self.wanted(to_pivot[i : i + step], reached[i : i + step])
+            out += [np.flatnonzero(row).astype("int32") for row in chosen]
+        return out
+
     def wanted(self, to_pivot: np.ndarray, reached: np.ndarray) -> np.ndarray:
         """Which rings can hold one of the k nearest neighbours of each row.
 
@@ -199,8 +208,7 @@ def nearest_neighbours(
 
     @F.pandas_udf("array<int>")
     def wanted_rings(to_pivot: pd.Series, reached: pd.Series) -> pd.Series:
-        chosen = summary.wanted(_matrix(to_pivot), reached.to_numpy())
-        return pd.Series([np.flatnonzero(row).astype("int32") for row in chosen])
+        return pd.Series(summary.targets(_matrix(to_pivot), reached.to_numpy()))
 
     visits = materialize(
         reached.select(

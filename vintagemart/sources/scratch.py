@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+# Paths handed out by this process and not yet released.
+_in_use: list[str] = []
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="vintagemart-")
@@ -27,7 +31,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         root = _local_folder()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _in_use.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -37,3 +43,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every scratch table of this process; for the end of a job, when all
+    results are stored."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    released = 0
+    while _in_use:
+        path = hadoop(_in_use.pop())
+        released += path.getFileSystem(conf).delete(path, True)
+    return released

@@ -220,29 +220,46 @@ def test_unknown_features_are_zero(spark, lake):
     assert got.where("loan_id = 'L3'").first()["features"] == [23.0, 0.0]
 
 
-def test_user_tables(spark):
-    loans = spark.createDataFrame(
-        [("L1", "USER_000007", 1000.0, 0.12, 12, "2023-12-31", " Active ", "2024-01-01"),
-         ("L2", "USER_000007", 3000.0, 0.0, 24, "2023-12-01", "Closed", "2024-01-01")],
-        schemas.USER_LOANS,
-    )
-    silver = medallion.user_silver(
-        loans,
-        spark.createDataFrame([("e", "USER_000007", "click", "2024-01-01 00:00:17", "2024-01-01")],
-                              schemas.USER_CLICKS),
-        spark.createDataFrame([("USER_000007", 40, "F", "PhD", "Employed", "Single", 0, "2024-01-01")],
-                              schemas.USER_ATTRIBUTES),
-        spark.createDataFrame([("USER_000007", 12.0, 2.0, None, 1.0, 3.0, 0.0, 1, 1, 0, 0, 700,
-                                "2024-01-01")], schemas.USER_FINANCIALS),
-    )
+@pytest.fixture(scope="module")
+def user_tables(spark):
+    return {
+        "lms": spark.createDataFrame(
+            [("L1", "USER_000007", 1000.0, 0.12, 12, "2023-12-31", " Active ", "2024-01-01"),
+             ("L2", "USER_000007", 3000.0, 0.0, 24, "2023-12-01", "Closed", "2024-01-01"),
+             ("L3", "USER_000008", 10.0, 0.1, 24, "2023-12-01", "Closed", "2024-02-01")],
+            schemas.USER_LOANS),
+        "clickstream": spark.createDataFrame(
+            [("e", "USER_000007", "click", "2024-01-01 00:00:17", "2024-01-01")],
+            schemas.USER_CLICKS),
+        "attributes": spark.createDataFrame(
+            [("USER_000007", 40, "F", "PhD", "Employed", "Single", 0, "2024-01-01")],
+            schemas.USER_ATTRIBUTES),
+        "financials": spark.createDataFrame(
+            [("USER_000007", 12.0, 2.0, None, 1.0, 3.0, 0.0, 1, 1, 0, 0, 700, "2024-01-01")],
+            schemas.USER_FINANCIALS),
+    }
+
+
+def test_user_tables(user_tables):
+    silver = medallion.user_silver(*user_tables.values())
     assert silver["attributes"].first()["education_years"] == 21
     money = silver["financials"].first()
     assert (money["debt_to_income"], money["credit_utilization"], money["net_worth_estimate"]) == (
         3.0, 0.0, 0.0,
     )
     assert silver["clickstream"].first()["event_breakdown"] == {"click": 1}
-    gold = medallion.user_gold(silver["loan_daily"]).first()
-    assert (gold["loan_id"], gold["num_loans"], gold["avg_loan_age_days"]) == ("LOAN_000007", 2, 16.0)
+    gold = medallion.user_gold(silver["loan_daily"]).where("num_loans = 2").first()
+    assert (gold["loan_id"], gold["avg_loan_age_days"]) == ("LOAN_000007", 16.0)
+
+
+def test_user_lake(spark, user_tables, tmp_path):
+    for prefix, df in user_tables.items():
+        df.write.parquet(str(tmp_path / "raw" / f"{prefix}_20240101.parquet"))
+    lake = Lake(str(tmp_path / "lake"))
+    audit = medallion.run_user(spark, str(tmp_path / "raw"), lake, last="2024-01-01")
+    got = {(r["layer"], r["table_name"]): r["n_rows"] for r in audit.collect()}
+    assert got[("bronze", "loan_daily")] == 2 and got[("gold", "feature_store")] == 1
+    assert len(got) == 9
 
 
 def test_command_line(spark, raw, tmp_path, monkeypatch):

@@ -51,6 +51,20 @@ def test_split_is_complete_and_has_its_size(spark, sizes):
     assert parts.where("split = 'test'").count() == -(-n * 2 // 10)
 
 
+def test_quotas_of_huge_classes(spark):
+    """Counts whose product exceeds 64 bits."""
+
+    class Huge:
+        def groupBy(self, label):
+            return self
+
+        def agg(self, n):
+            return spark.createDataFrame([(0, 10**13 + 3), (1, 7)], "label int, n bigint")
+
+    got = {r["label"]: r["n_test"] for r in split.class_quotas(Huge(), "label", 0.2).collect()}
+    assert got == {0: 2 * 10**12 + 1, 1: 1}
+
+
 def test_split_does_not_depend_on_partitions(spark):
     df = labelled(spark, {0: 300, 1: 60})
     a = split.stratified_split(df.repartition(1), ["id"], seed=5)

@@ -22,11 +22,12 @@ def _parser() -> argparse.ArgumentParser:
     def job(name: str, *arguments: str) -> None:
         sub = jobs.add_parser(name)
         for argument in arguments:
-            optional = argument in ("first", "last") and name in ("bronze", "medallion")
+            optional = argument in ("first", "last") and name in ("bronze", "medallion", "user-medallion")
             sub.add_argument(f"--{argument}", required=not optional)
 
     job("bronze", "raw", "first", "last")
     job("medallion", "raw", "first", "last")
+    job("user-medallion", "raw", "first", "last")
     job("train", "cutoff")
     job("score", "first", "last", "prediction-date")
     job("monitor", "baseline", "report-date")
@@ -48,8 +49,9 @@ def _run(args: argparse.Namespace, spark: SparkSession, lake: Lake) -> None:
     if args.job == "bronze":
         medallion.load_bronze(spark, args.raw, lake, args.first, args.last)
         return
-    if args.job == "medallion":
-        medallion.run(spark, args.raw, lake, args.first, args.last).show(1000, truncate=False)
+    if args.job.endswith("medallion"):
+        run = medallion.run if args.job == "medallion" else medallion.run_user
+        run(spark, args.raw, lake, args.first, args.last).show(1000, truncate=False)
         return
     if args.job == "tune":
         labels = store.read_snapshots(spark, lake.path("gold", "label_store"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from vintagemart.functions.dates import as_date
 from vintagemart.operators.ranking import shuffled_row_number
+from vintagemart.sources.scratch import materialize
 
 VECTOR = "feature_vector"
 
@@ -140,7 +141,10 @@ def tune_boosted_trees(
         parallelism=parallelism,
         seed=42,
     )
-    return search.fit(stratified_folds(train, ids, label, folds)), settings
+    dealt = materialize(
+        stratified_folds(train.select(*ids, VECTOR, label), ids, label, folds), "folds"
+    )
+    return search.fit(dealt), settings
 
 
 def predict(model: Transformer, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -23,23 +23,18 @@ def class_quotas(df: DataFrame, label: str, test_share: float) -> DataFrame:
     everything = Window.partitionBy(F.lit(0))
     total = F.sum("n").over(everything)
     n_train = total - F.ceil(total * F.lit(test_share))
-    exact = F.col("n") * F.col("n_train") / F.col("total")
     by_remainder = Window.partitionBy(F.lit(0)).orderBy(F.col("rest").desc(), F.col(label))
+    left_over = F.when(F.col("place") <= F.col("spare"), 1).otherwise(0)
+    # The product of two counts needs more digits than a bigint has.
+    share = "cast(n as decimal(19, 0)) * cast(n_train as decimal(19, 0))"
     return (
         counts.withColumn("total", total)
         .withColumn("n_train", n_train)
-        .withColumn("floor", F.floor(exact))
-        .withColumn("rest", exact - F.col("floor"))
-        .withColumn("spare", F.col("n_train") - F.sum("floor").over(everything))
+        .withColumn("whole", F.expr(f"({share}) div total"))
+        .withColumn("rest", F.expr(f"({share}) % total"))
+        .withColumn("spare", F.col("n_train") - F.sum("whole").over(everything))
         .withColumn("place", F.row_number().over(by_remainder))
-        .select(
-            label,
-            (
-                F.col("n")
-                - F.col("floor")
-                - F.when(F.col("place") <= F.col("spare"), 1).otherwise(0)
-            ).alias("n_test"),
-        )
+        .select(label, (F.col("n") - F.col("whole") - left_over).alias("n_test"))
     )
 
 

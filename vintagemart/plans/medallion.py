@@ -29,6 +29,14 @@ RAW_FILES = {
 }
 TABLES = tuple(RAW_FILES)
 
+# File prefixes of the monthly user-schema extracts.
+USER_FILES = {
+    "loan_daily": ("lms", schemas.USER_LOANS),
+    "clickstream": ("clickstream", schemas.USER_CLICKS),
+    "attributes": ("attributes", schemas.USER_ATTRIBUTES),
+    "financials": ("financials", schemas.USER_FINANCIALS),
+}
+
 Day = date | str | None
 
 
@@ -157,6 +165,40 @@ def user_silver(
     }
 
 
+def load_user_bronze(
+    spark: SparkSession, raw_root: str, lake: Lake, first: Day = None, last: Day = None
+) -> None:
+    """Monthly parquet extracts, their text dates typed, partitioned by snapshot."""
+    for table, (prefix, schema) in USER_FILES.items():
+        raw = spark.read.schema(schema).parquet(f"{raw_root.rstrip('/')}/{prefix}_*.parquet")
+        dated = raw.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date"))
+        store.write_snapshots(
+            snapshots.snapshot_range(dated, first, last), lake.path("bronze", table)
+        )
+
+
+def run_user(
+    spark: SparkSession, raw_root: str, lake: Lake, first: Day = None, last: Day = None
+) -> DataFrame:
+    """Bronze, silver and gold of the user schema; returns the row audit."""
+    load_user_bronze(spark, raw_root, lake, first, last)
+    bronze = [
+        store.read_snapshots(spark, lake.path("bronze", table), first, last)
+        for table in USER_FILES
+    ]
+    for table, df in user_silver(*bronze).items():
+        store.write_snapshots(df, lake.path("silver", table))
+    loans = store.read_snapshots(spark, lake.path("silver", "loan_daily"), first, last)
+    store.write_snapshots(user_gold(loans), lake.path("gold", "feature_store"))
+    names = [(layer, table) for layer in ("bronze", "silver") for table in USER_FILES]
+    return aggregates.row_audit(
+        {
+            name: store.read_snapshots(spark, lake.path(*name))
+            for name in [*names, ("gold", "feature_store")]
+        }
+    )
+
+
 def user_gold(loans_silver: DataFrame) -> DataFrame:
     """Loan features per customer and snapshot, with a derived loan id."""
     features = aggregates.customer_loan_features(loans_silver).withColumnRenamed(

@@ -180,9 +180,16 @@ def save_best(
 def run(
     spark: SparkSession, lake: Lake, features: DataFrame, cutoff: date | str, **options
 ) -> Row:
+    """Prepare, train, compare, save; the preparation and comparison records are JSON."""
     prepared = prepare_training_data(features, cutoff, **options)
+    about = prepared.metadata().withColumn("training_cutoff_date", F.lit(as_date(cutoff)))
+    files.write_json_record(about, lake.path("models", "prepared"))
     models = train_candidates(prepared)
-    return save_best(spark, lake, models, evaluate_candidates(models, prepared), prepared)
+    metrics = materialize(evaluate_candidates(models, prepared), "metrics")
+    files.write_json_record(
+        evaluation.confusion_matrix(metrics), lake.path("models", "candidates")
+    )
+    return save_best(spark, lake, models, metrics, prepared)
 
 
 # --- training from a label store and a feature store ----------------------

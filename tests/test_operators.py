@@ -166,6 +166,16 @@ def test_population_scaling(spark):
     assert first["x"] == pytest.approx(-49.5 / 28.86607) and first["c"] == 0.0
 
 
+def test_constants_stay_constant_over_many_partitions(spark):
+    df = spark.range(1000).select(F.lit(0.1).alias("c"), F.rand(3).alias("x")).repartition(13)
+    scaling = StandardScaling.fit(df, ["c", "x"])
+    assert (scaling.means[0], scaling.spreads[0]) == (0.1, 1.0)
+    assert scaling.apply(df).agg(F.max(F.abs("c"))).first()[0] == 0.0
+    assert columns.correlation_pairs(df, ["c", "x"]).first()["corr"] is None
+    empty = StandardScaling.fit(spark.createDataFrame([(None,)], "x double"), ["x"])
+    assert (empty.means, empty.spreads) == ((0.0,), (1.0,))
+
+
 def test_extract_without_date_is_everything(spark):
     assert snapshots.snapshot_extract(spark.range(3), "2024-01-01").count() == 3
 

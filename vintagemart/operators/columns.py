@@ -160,10 +160,11 @@ def constant_features(df: DataFrame, columns: Sequence[str]) -> list[str]:
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair (earlier, later) in one aggregation.
 
-    A constant column has no correlation: null.
+    A constant column has no correlation: null. It is recognised by its range,
+    as merged partial means need not be exact and its spread not quite zero.
     """
     pairs = [(a, b) for j, b in enumerate(columns) for a in columns[:j]]
-    spread = {c: F.stddev_pop(c) for c in columns}
+    spread = {c: F.when(F.min(c) < F.max(c), F.stddev_pop(c)) for c in columns}
     row = df.agg(
         *[
             F.try_divide(F.covar_pop(a, b), spread[a] * spread[b]).alias(f"p{i}")

@@ -20,17 +20,26 @@ class StandardScaling:
 
     @classmethod
     def fit(cls, train: DataFrame, columns: Sequence[str]) -> StandardScaling:
-        """One aggregation; two numbers per column come back. Zero spread scales by 1."""
-        row = train.agg(
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
-        ).first()
-        n = len(columns)
-        return cls(
-            tuple(columns),
-            tuple(row[i] if row[i] is not None else 0.0 for i in range(n)),
-            tuple(row[n + i] or 1.0 for i in range(n)),
-        )
+        """One aggregation; a few numbers per column come back.
+
+        A constant column, recognised by its range, scales by 1; an all-null one
+        is left as it is.
+        """
+        parts = [
+            F.struct(
+                F.avg(c).alias("mean"),
+                F.stddev_pop(c).alias("spread"),
+                F.min(c).cast("double").alias("low"),
+                F.max(c).cast("double").alias("high"),
+            ).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ]
+        means, spreads = [], []
+        for found in train.agg(*parts).first():
+            constant = found["low"] == found["high"]
+            means.append((found["low"] if constant else found["mean"]) or 0.0)
+            spreads.append(1.0 if constant else found["spread"])
+        return cls(tuple(columns), tuple(means), tuple(spreads))
 
     def apply(self, df: DataFrame) -> DataFrame:
         scaled = {

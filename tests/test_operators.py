@@ -70,7 +70,8 @@ def test_hot_rows_are_spread(skewed):
 def test_null_safe_join_matches_nulls(skewed):
     loans, side = skewed
     predictions = loans.withColumn("prediction_probability", F.lit(0.5))
-    actuals = side.withColumnRenamed("v", "actual_label")
+    actuals = side.select(*KEYS, (F.col("v") % 2).alias("actual_label"))
+    actuals = actuals.unionAll(actuals).unionAll(actuals.where("Customer_ID is null"))
     got = joins.align_predictions(predictions, actuals, row_id=["loan_id"])
     condition = predictions["Customer_ID"].eqNullSafe(actuals["Customer_ID"]) & predictions[
         "snapshot_date"
@@ -81,7 +82,7 @@ def test_null_safe_join_matches_nulls(skewed):
     assert rows(got.select("loan_id", "actual_label")) == rows(plain)
     summary = joins.match_summary(predictions, actuals).first()
     assert summary["n_matched"] == plain.count()
-    assert (summary["n_predictions"], summary["n_actuals"]) == (3000, 5)
+    assert (summary["n_predictions"], summary["n_actuals"]) == (3000, 11)
     assert (summary["min_date"], summary["max_date"]) == (DAY, DAY)
 
 

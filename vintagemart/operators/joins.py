@@ -145,12 +145,18 @@ def align_predictions(
     keys: Sequence[str] = ("Customer_ID", "loan_id", "snapshot_date"),
     row_id: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Predictions with their actual label on the keys both have; null equals null."""
+    """Predictions with their actual label on the keys both have; null equals null.
+
+    Equal actuals are counted before the join and repeated after it, so a key
+    (or null) that many actuals share is one row per label on the right side.
+    """
     common = shared_keys(predictions, actuals, keys)
-    actual_side = actuals.select(*common, "actual_label")
-    return salted_join(
-        predictions, [actual_side], common, row_id or predictions.columns, "inner", null_safe=True
+    counted = actuals.groupBy(*common, "actual_label").agg(F.count("*").alias("__copies"))
+    matched = salted_join(
+        predictions, [counted], common, row_id or predictions.columns, "inner", null_safe=True
     )
+    copies = F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))
+    return matched.withColumn("__copies", F.explode(copies)).drop("__copies")
 
 
 def match_summary(

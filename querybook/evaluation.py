@@ -9,6 +9,7 @@ from querybook.registry import query
 from querybook.views import day_text
 from vintagemart.operators import aggregates, evaluation, split
 from vintagemart.plans import training
+from vintagemart.sources.scratch import materialize
 
 
 def _labels(spark, sf_dir):
@@ -48,10 +49,12 @@ def stratified_split(spark, sf_dir):
        UNION ALL SELECT 'train', label, CAST(max(n - n_test) OVER () AS BIGINT) FROM q""",
 )
 def prepared_training_set(spark, sf_dir):
-    """The whole preparation: cut-off, leakage guard, selection, split, oversampling."""
-    prepared = training.prepare_training_data(
-        views.feature(spark, sf_dir), "2024-06-01", label="label"
-    )
+    """The whole preparation: cut-off, leakage guard, selection, split, oversampling.
+
+    It reads a stored feature table several times, a few columns each.
+    """
+    features = materialize(views.feature(spark, sf_dir), "features")
+    prepared = training.prepare_training_data(features, "2024-06-01", label="label")
     parts = {"train": prepared.train, "test": prepared.test}
     counted = [
         df.groupBy("label").agg(F.count("*").alias("n_rows")).select(

@@ -8,4 +8,12 @@ Layers:
 * ``plans``      whole jobs: medallion, training, scoring, monitoring
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run inside tasks travel with their code, so that workers need no
+# copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -13,9 +13,9 @@ So a pair has to pass that filter under every order at once:
    fall into one cell, cells are cut again by the prefix tokens of the second
    order, so a pair that passes every filter never gets separated, and no pairs
    are listed;
-4. cells are verified exactly: a cell is dealt into blocks by set size and hash,
-   and a task compares two bounded blocks and gives back a spanning forest of the
-   links and the number of links of each node.
+4. cells are verified exactly: small ones many to a task, a large one dealt into
+   blocks by set size and hash, of which a task compares two. It gives back a
+   spanning forest of the links and the number of links of each node.
 """
 
 from __future__ import annotations
@@ -39,15 +39,15 @@ from vintagemart.llm.shingles import (
 )
 from vintagemart.sources.scratch import materialize
 
-# Slots of the word-count sketch, per hash; its size doesn't depend on the data.
-SKETCH_SLOTS = 1 << 16
+# Slots of the word-count sketch (4 MB); its size doesn't depend on the data.
+SKETCH_SLOTS = 1 << 22
 # Rows up to which a table of ids or hashes is broadcast (16 MB); others are shuffled.
 BROADCAST_ROWS = 1_000_000
 # Sets and tokens that one block of a cell holds on average.
 BLOCK_SETS = 512
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 18
 
-SET_SCHEMA = "id long, n long, node binary, first array<long>, second array<long>"
+SET_SCHEMA = "id long, tag long, n long, node binary, first array<long>, second array<long>"
 
 
 def bounded_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -56,45 +56,40 @@ def bounded_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> D
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
-def _slots(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (
-        (words & np.uint64(SKETCH_SLOTS - 1)).astype(np.int64),
-        ((words >> np.uint64(32)) & np.uint64(SKETCH_SLOTS - 1)).astype(np.int64),
-    )
+def _slots(words: np.ndarray) -> np.ndarray:
+    return (words & np.uint64(SKETCH_SLOTS - 1)).astype(np.int32)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    counts = np.zeros(2 * SKETCH_SLOTS, np.int64)
+    counts = np.zeros(SKETCH_SLOTS, np.int64)
     held: list[np.ndarray] = []
     size = 0
-
-    def add() -> None:
-        if held:
-            one, two = _slots(np.concatenate(held))
-            counts[:SKETCH_SLOTS] += np.bincount(one, minlength=SKETCH_SLOTS)
-            counts[SKETCH_SLOTS:] += np.bincount(two, minlength=SKETCH_SLOTS)
-            held.clear()
-
     for batch in batches:
         for text in text_bytes(batch.column(0)):
-            held.append(hashes.of(text))
+            held.append(_slots(hashes.of(text)))
             size += len(held[-1])
-            if size > 1 << 18:
-                add()
-                size = 0
-    add()
+            if size > 1 << 20:
+                counts += np.bincount(np.concatenate(held), minlength=SKETCH_SLOTS)
+                held, size = [], 0
+    if held:
+        counts += np.bincount(np.concatenate(held), minlength=SKETCH_SLOTS)
     used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+    for start in range(0, len(used), 1 << 16):
+        part = used[start : start + (1 << 16)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part, pa.int32()), pa.array(counts[part])], names=["slot", "n"]
+        )
 
 
 def word_rarity(texts: DataFrame) -> np.ndarray:
-    """Quarter-log2 counts of all words per sketch slot: two rows of fixed length."""
-    rows = texts.mapInArrow(_count_words, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    found = rows.toPandas()
-    counts = np.zeros(2 * SKETCH_SLOTS)
-    counts[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
-    return np.round(np.log2(counts + 1) * 2).clip(0, 63).astype(np.uint8).reshape(2, SKETCH_SLOTS)
+    """Half-log2 counts of all words, one byte per sketch slot."""
+    rows = texts.mapInArrow(_count_words, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    rank = F.least(F.round(F.log2(F.col("n") + 1) * 2), F.lit(63)).cast("byte")
+    found = rows.where("n > 1").select("slot", rank.alias("rank")).toArrow()
+    ranks = np.full(SKETCH_SLOTS, 2, np.uint8)
+    ranks[found.column("slot").to_numpy()] = found.column("rank").to_numpy()
+    return ranks
 
 
 def _ordered(words: np.ndarray, size: int, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,12 +98,11 @@ def _ordered(words: np.ndarray, size: int, rarity: np.ndarray) -> tuple[np.ndarr
     tokens = shingle_hashes(words, size)
     if not len(tokens):
         return tokens, tokens
-    one, two = _slots(words)
-    ranks = np.minimum(rarity[0][one], rarity[1][two])
+    ranks = rarity[_slots(words)]
     width = min(size, len(words))
     runs = [ranks[i : i + len(tokens)] for i in range(width)]
     rarest = np.minimum.reduce(runs).astype(np.uint64)
-    overall = (np.add.reduce(runs, dtype=np.uint32) // np.uint32(width)).astype(np.uint64)
+    overall = np.minimum(np.add.reduce(runs, dtype=np.uint32), 63).astype(np.uint64)
     low = np.uint64(6)
     first = (rarest << np.uint64(58)) | (tokens >> low)
     second = (overall << np.uint64(58)) | (mixed(tokens) >> low)
@@ -142,12 +136,13 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
+                    batch.column("tag"),
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.binary()),
                     long_lists(firsts),
                     long_lists(seconds),
                 ],
-                names=["id", "n", "node", "first", "second"],
+                names=["id", "tag", "n", "node", "first", "second"],
             )
 
     return run
@@ -157,30 +152,37 @@ def _sets(size: int, rarity: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
+            nodes = batch.column("node").to_pylist()
             found = [_ordered(hashes.of(t), size, rarity)[0] for t in text_bytes(batch.column("text"))]
+            # Rows that share their id with another text don't stand for the node.
+            keep = [i for i, tokens in enumerate(found) if _name(tokens) == nodes[i]]
+            rest = batch.select(["node", "copies", "cell", "units"]).take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_name(f) for f in found], pa.binary()), long_lists(found)],
-                names=["node", "tokens"],
+                [*rest.columns, long_lists([found[i] for i in keep])],
+                names=["node", "copies", "cell", "units", "tokens"],
             )
 
     return run
 
 
-def _cells(prefixes: DataFrame, within: list[str]) -> DataFrame:
-    """(node, cell): nodes that share a token, directly or through others, inside
-    what they already have in common."""
+def _size_class(percent: int):
+    """Linked sets lie in the same class or in neighbouring ones."""
+    return F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.0 / (percent - 1)))).cast("int")
+
+
+def _cells(prefixes: DataFrame, within: list[str], percent: int) -> DataFrame:
+    """(key, cell): nodes of like size that share a token, directly or through
+    others, inside what they already have in common."""
     keys = [*within, "token"]
-    shared = (
-        prefixes.groupBy(*keys)
-        .agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        .where("low != high")
-        .drop("high")
-    )
-    shared = materialize(shared, "tokens")
-    hooked = materialize(bounded_join(prefixes, shared, keys).select("node", *keys), "hooked")
-    least = hooked.groupBy(*keys).agg(F.min("node").alias("v"))
-    edges = hooked.join(least, keys).select(F.col("node").alias("u"), "v")
-    return components(edges).withColumnRenamed("root", "cell")
+    shared = prefixes.groupBy(*keys).agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    shared = materialize(shared.where("low != high").select(*keys), "tokens")
+    klass = F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class")
+    hooked = bounded_join(prefixes.withColumn("class", _size_class(percent)), shared, keys)
+    hooked = materialize(hooked.select("key", *keys, klass), "hooked")
+    keys = [*keys, "class"]
+    least = hooked.groupBy(*keys).agg(F.min("key").alias("v"))
+    edges = hooked.join(least, keys).select(F.col("key").alias("u"), "v")
+    return components(edges).select(F.col("node").alias("key"), F.col("root").alias("cell"))
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -226,90 +228,143 @@ def _forest(links: np.ndarray) -> np.ndarray:
         root = new
 
 
+def _verified(nodes: list, sets: list, copies: np.ndarray, side: np.ndarray, percent: int) -> tuple:
+    """Node, smallest node reached and number of linked rows, for one block pair."""
+    _, first = np.unique(np.array(nodes, object), return_index=True)
+    nodes, sets = [nodes[i] for i in first], [sets[i] for i in first]
+    copies, side = copies[first], side[first]
+    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(two):
+        two = one
+    if not len(one) or len(nodes) < 2:
+        return [], [], []
+    sizes = np.array([len(s) for s in sets])
+    common = _overlaps([sets[i] for i in one], [sets[i] for i in two])
+    union = sizes[one][:, None] + sizes[two][None, :] - common
+    linked = np.zeros((len(nodes), len(nodes)), bool)
+    linked[np.ix_(one, two)] = 100 * common >= percent * union
+    linked |= linked.T
+    np.fill_diagonal(linked, False)
+    root = _forest(linked)
+    links = linked @ copies
+    keep = np.flatnonzero(links)
+    return [nodes[i] for i in keep], [nodes[root[i]] for i in keep], links[keep].tolist()
+
+
 def _verify(percent: int) -> Callable[[pa.Table], pa.Table]:
     def run(block: pa.Table) -> pa.Table:
-        nodes = block.column("node").to_pylist()
+        nodes = np.array(block.column("node").to_pylist(), object)
         sets = list(list_rows(block.column("tokens").combine_chunks()))
         copies = block.column("copies").to_numpy()
         side = block.column("side").to_numpy()
-        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        linked = np.zeros((len(nodes), len(nodes)), bool)
-        if not len(two):
-            two = one
-        if len(one) and len(nodes) > 1:
-            sizes = np.array([len(s) for s in sets])
-            common = _overlaps([sets[i] for i in one], [sets[i] for i in two])
-            union = sizes[one][:, None] + sizes[two][None, :] - common
-            found = 100 * common >= percent * union
-            linked[np.ix_(one, two)] = found
-            linked |= linked.T
-            np.fill_diagonal(linked, False)
-        root = _forest(linked)
-        links = linked @ copies.astype(np.int64)
-        keep = np.flatnonzero(links)
+        cell = block.column("cell").to_numpy()
+        order = np.argsort(cell, kind="stable")
+        found: tuple[list, list, list] = ([], [], [])
+        for rows in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
+            got = _verified(nodes[rows].tolist(), [sets[i] for i in rows], copies[rows], side[rows], percent)
+            for all_rows, new in zip(found, got):
+                all_rows += new
         return pa.table(
-            {
-                "u": pa.array([nodes[i] for i in keep], pa.binary()),
-                "v": pa.array([nodes[root[i]] for i in keep], pa.binary()),
-                "links": pa.array(links[keep], pa.int64()),
-            }
+            [pa.array(found[0], pa.binary()), pa.array(found[1], pa.binary()), pa.array(found[2], pa.int64())],
+            names=["u", "v", "links"],
         )
 
     return run
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v, links) of every node with a link: a forest of the links within each
-    pair of blocks, and the linked rows there."""
-    whole = sets.groupBy("cell").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
-    whole = whole.where("rows > 1")
+def _units(members: DataFrame, percent: int) -> DataFrame:
+    """``members`` with the list of block pairs that each one takes part in.
+
+    A small cell is one unit, and many of them share a task (``bucket``). A large
+    one is dealt into blocks by size class and hash; all pairs of blocks of one
+    class and of neighbouring classes are units of their own.
+    """
+    whole = members.groupBy("cell").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
     fits = (F.col("rows") <= BLOCK_SETS) & (F.col("tokens") <= BLOCK_TOKENS)
-    # Linked sets differ in size by the similarity at most: neighbouring classes.
-    step = float(np.log(100.0 / (percent - 1)))
-    klass = F.when(F.col("fits"), F.lit(0)).otherwise(F.floor(F.log(F.col("n").cast("double")) / step))
-    members = sets.join(whole.select("cell", fits.alias("fits")), "cell").withColumn("klass", klass.cast("int"))
-    counts = members.groupBy("cell", "klass").agg(
-        F.max("fits").alias("fits"), F.count("*").alias("rows"), F.sum("n").alias("tokens")
-    )
-    parts = F.when(F.col("fits"), F.lit(1)).otherwise(
-        F.greatest(F.ceil(F.col("rows") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS))
-    )
-    counts = materialize(counts.select("cell", "klass", parts.cast("int").alias("parts")), "blocks")
-    members = members.join(counts, ["cell", "klass"]).withColumn(
+    whole = materialize(whole.where("rows > 1").select("*", fits.alias("fits")), "wholes")
+    held = whole.where("fits").agg(F.sum("tokens")).first()[0] or 0
+    buckets = F.lit(-(-held // BLOCK_TOKENS) or 1)
+    members = members.join(whole.select("cell", "fits"), "cell")
+    unit = "array<struct<bucket:long,k1:int,k2:int,i:int,j:int,side:int>>"
+    alone = F.struct(F.pmod(F.xxhash64("cell"), buckets) + 1, *[F.lit(0)] * 5)
+    small = members.where("fits").withColumn("units", F.array(alone).cast(unit)).drop("fits")
+
+    large = members.where("not fits").withColumn("class", _size_class(percent))
+    counts = large.groupBy("cell", "class").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
+    parts = F.greatest(F.ceil(F.col("rows") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS))
+    counts = materialize(counts.select("cell", "class", parts.cast("int").alias("parts")), "blocks")
+    below = counts.select("cell", (F.col("class") + 1).alias("class"), F.col("parts").alias("below"))
+    above = counts.select("cell", (F.col("class") - 1).alias("class"), F.col("parts").alias("above"))
+    counts = counts.join(below, ["cell", "class"], "left").join(above, ["cell", "class"], "left")
+    large = large.join(counts.fillna(0), ["cell", "class"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     )
-    members = materialize(members.drop("fits", "parts"), "members")
-    own = counts.select("cell", F.col("klass").alias("k1"), F.col("klass").alias("k2"), "parts").withColumn(
-        "i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    pair = "named_struct('bucket', 0L, 'k1', {}, 'k2', {}, 'i', {}, 'j', {}, 'side', {})"
+    # sequence(0, n) has one number more than there are blocks.
+    pairs = f"""concat(
+        transform(sequence(part, parts - 1), x -> {pair.format("class", "class", "part", "x", 0)}),
+        transform(slice(sequence(0, part), 1, part), x -> {pair.format("class", "class", "x", "part", 1)}),
+        transform(slice(sequence(0, above), 1, above), x -> {pair.format("class", "class + 1", "part", "x", 0)}),
+        transform(slice(sequence(0, below), 1, below), x -> {pair.format("class - 1", "class", "x", "part", 1)}))"""
+    large = large.withColumn("units", F.expr(pairs).cast(unit)).select(*small.columns)
+    return small.unionByName(large)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """(id, tag, n, label, component, links) per row; ``tag`` is a hash of the text
+    and ``label`` names the class, null if the set is empty."""
+    if not 50 <= percent <= 99:
+        raise ValueError("percent must lie between 50 and 99; equal sets need no join")
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
+    rarity = word_rarity(rows.select("text"))
+    named = materialize(rows.mapInArrow(_prefixes(size, percent, rarity), SET_SCHEMA), "prefixes")
+
+    key = F.xxhash64("node").alias("key")
+    first = named.where("n > 0").select("n", key, F.explode("first").alias("token"))
+    cells = materialize(_cells(first, [], percent), "cells")
+    held = bounded_join(named.where("n > 0").withColumn("key", key), cells, "key")
+    second = held.select("n", "cell", "key", F.explode("second").alias("token"))
+    cells = materialize(_cells(second, ["cell"], percent), "cells")
+
+    known = named.where("n > 0").groupBy("node", "n")
+    known = materialize(known.agg(F.count("*").alias("copies"), F.min("id").alias("id")), "nodes")
+    members = bounded_join(known.withColumn("key", key), cells, "key").drop("key")
+    chosen = materialize(_units(members, percent), "chosen").withColumnRenamed("id", "chosen_id")
+    texts = bounded_join(rows, chosen, rows["id"].eqNullSafe(chosen["chosen_id"]))
+    sets = texts.select("text", "node", "copies", "cell", "units").mapInArrow(
+        _sets(size, rarity),
+        "node binary, copies long, cell long, units "
+        "array<struct<bucket:long,k1:int,k2:int,i:int,j:int,side:int>>, tokens array<long>",
+    )
+    large = F.when(F.col("unit.bucket") == 0, F.col("cell"))
+    sets = sets.withColumn("unit", F.explode("units")).select(
+        "node", "copies", "cell", "tokens", large.alias("large"), "unit.*"
     )
-    own = own.withColumn("j", F.explode(F.expr("sequence(i, parts - 1)"))).drop("parts")
-    upper = counts.select("cell", (F.col("klass") - 1).alias("k1"), F.col("parts").alias("above"))
-    next_to = (
-        counts.select("cell", F.col("klass").alias("k1"), "parts")
-        .join(upper, ["cell", "k1"])
-        .withColumn("k2", F.col("k1") + 1)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("j", F.explode(F.expr("sequence(0, above - 1)")))
-        .select("cell", "k1", "k2", "i", "j")
+    links = sets.groupBy("bucket", "large", "k1", "k2", "i", "j").applyInArrow(
+        _verify(percent), "u binary, v binary, links long"
     )
-    units = materialize(own.unionByName(next_to), "units")
-    columns = ["node", "copies", "tokens"]
-    left = units.join(
-        members.select("cell", F.col("klass").alias("k1"), F.col("part").alias("i"), *columns),
-        ["cell", "k1", "i"],
-    ).withColumn("side", F.lit(0))
-    right = (
-        units.where("k1 != k2 or i != j")
-        .join(
-            members.select("cell", F.col("klass").alias("k2"), F.col("part").alias("j"), *columns),
-            ["cell", "k2", "j"],
-        )
-        .withColumn("side", F.lit(1))
+    links = materialize(links, "links")
+
+    roots = components(links.select("u", "v")).withColumnRenamed("root", "label")
+    degrees = links.groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
+    groups = known.join(roots, "node", "left").join(degrees, "node", "left")
+    groups = groups.select(
+        "node",
+        F.coalesce("label", "node").alias("label"),
+        "id",
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
     )
-    return (
-        left.unionByName(right)
-        .groupBy("cell", "k1", "k2", "i", "j")
-        .applyInArrow(_verify(percent), "u binary, v binary, links long")
+    groups = materialize(groups, "groups")
+    lowest = groups.groupBy("label").agg(F.min("id").alias("component"))
+    found = groups.join(lowest, "label").select("node", "label", "component", "links")
+    return named.join(found, "node", "left").select(
+        "id",
+        "tag",
+        "n",
+        "label",
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"),
+        F.coalesce("links", F.lit(0)).alias("links"),
     )
 
 
@@ -331,45 +386,36 @@ def jaccard_classes(
     of null ids alone is null. Repeated rows are copies of each other; rows of one
     id with unlike texts are linked each on its own. Other columns aren't read.
     """
-    if not 50 <= percent <= 99:
-        raise ValueError("percent must lie between 50 and 99; equal sets need no join")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rarity = word_rarity(rows.select("text"))
-    named = materialize(rows.mapInArrow(_prefixes(size, percent, rarity), SET_SCHEMA), "prefixes")
+    found = _classes(docs, id_col, text_col, size, percent)
+    return found.select("id", F.col("n").alias("n_shingles"), "component", "links")
 
-    key = F.xxhash64("node").alias("key")
-    first = named.where("n > 0").select("node", key, F.explode("first").alias("token"))
-    cells = materialize(_cells(first, []), "cells")
-    held = bounded_join(named.where("n > 0"), cells, "node")
-    second = held.select("node", "cell", key, F.explode("second").alias("token"))
-    cells = materialize(_cells(second, ["cell"]), "cells")
-
-    known = named.groupBy("node").agg(F.count("*").alias("copies"), F.min("id").alias("id"))
-    chosen = materialize(
-        known.join(cells, "node").join(named.select("node", "n").distinct(), "node"), "chosen"
-    )
-    # One row of each node is enough for its set; null ids are matched as such.
-    ids = materialize(chosen.select("id").distinct(), "ids")
-    texts = bounded_join(rows, ids, rows["id"].eqNullSafe(ids["id"]), "left_semi")
-    sets = texts.select("text").mapInArrow(_sets(size, rarity), "node binary, tokens array<long>")
-    sets = sets.join(chosen.drop("id"), "node").dropDuplicates(["node"])
-    links = materialize(_links(materialize(sets, "sets"), percent), "links")
 
-    roots = components(links.select("u", "v")).withColumnRenamed("root", "label")
-    degrees = links.groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
-    groups = known.join(roots, "node", "left").join(degrees, "node", "left")
-    groups = groups.select(
-        "node",
-        F.coalesce("label", "node").alias("label"),
-        "id",
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-    )
-    groups = materialize(groups.where("node is not null"), "groups")
-    lowest = groups.groupBy("label").agg(F.min("id").alias("component"))
-    found = groups.join(lowest, "label").select("node", "component", "links")
-    return named.join(found, "node", "left").select(
-        "id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"),
-        F.coalesce("links", F.lit(0)).alias("links"),
-    )
+def one_per_class(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """``docs`` with the row of the smallest id of every class of ``jaccard_classes``,
+    and the rows with an empty set, which are in no class.
+
+    Null ids come last; rows of one id go by a hash of the text, and of rows with the
+    same id and text one stays. All columns stay, whatever they are called.
+    """
+    found = materialize(_classes(docs, id_col, text_col, size, percent), "classes")
+    named = found.where("label is not null")
+    best = named.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag")).alias("best"))
+    kept = best.select("best.id", "best.tag").unionAll(found.where("label is null").select("id", "tag").distinct())
+    kept = materialize(kept.toDF("kept_id", "kept_tag"), "kept")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    row_id, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    rows = docs.toDF(*names)
+    same = F.col(row_id).cast("long").eqNullSafe(F.col("kept_id")) & (F.xxhash64(text) == F.col("kept_tag"))
+    rows = bounded_join(rows, kept, same, "left_semi")
+    repeated = named.groupBy("id", "tag").agg(F.count("*").alias("times")).where("times > 1")
+    repeated = materialize(repeated.toDF("kept_id", "kept_tag", "times"), "repeated")
+    if not repeated.isEmpty():
+        once = bounded_join(rows, repeated, same, "left_anti")
+        rows = once.unionAll(bounded_join(rows, repeated, same, "left_semi").dropDuplicates([row_id, text]))
+    return rows.toDF(*docs.columns)

@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintagemart.llm.chat import END, ESCAPE, START, chat_examples, read_loss, read_turns
+from vintagemart.llm.decontaminate import leaks
+from vintagemart.llm.lm_scores import score_documents, train
 from vintagemart.llm.ngram_join import jaccard_classes
+from vintagemart.llm.packing import pack
+from vintagemart.llm.pseudonyms import pseudonymize
+from vintagemart.llm.quality import fit, score
+from vintagemart.llm.sharding import shard_by_bytes
+from vintagemart.llm.topk import top_k
+from vintagemart.llm.wrappers import extract_main_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,3 +48,165 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"),
         F.col("links").alias("n_links"),
     )
+
+
+WORDS_SQL = """list_filter(string_split(regexp_replace(
+    translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-/:-@\\[-`{{-\\x7f]', ' ', 'g'), ' '), lambda w: w <> '')"""
+# The distinct runs of five words of a text; all its words if there are fewer.
+SHINGLES_SQL = """
+    SELECT DISTINCT id, shingle FROM (
+        SELECT id, unnest(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
+                                         lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle
+        FROM (SELECT {0} AS id, {1} AS words FROM {2} WHERE text IS NOT NULL) WHERE len(words) > 0)
+"""
+OP2_SQL = f"""
+WITH d AS ({SHINGLES_SQL.format("doc_id", WORDS_SQL.format("text"), "documents")}),
+     b AS ({SHINGLES_SQL.format("item_id", WORDS_SQL.format("text"), "benchmark")}),
+     n AS (SELECT id, count(*) AS n FROM b GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, max(n.n) AS n_shingles, count(*) AS n_shared,
+       count(*)::DOUBLE / max(n.n) AS containment
+FROM d JOIN b USING (shingle) JOIN n ON n.id = b.id
+GROUP BY d.id, b.id HAVING 100 * count(*) >= 80 * max(n.n)
+"""
+
+
+@query("op2_benchmark_decontamination", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# Whoever runs this on real data passes a secret key of their own.
+PSEUDONYM_KEY = b"key of the registered query"
+
+
+@query("op7_pii_pseudonyms")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymize(docs, PSEUDONYM_KEY, count=True)
+
+
+def graded(labels: DataFrame) -> DataFrame:
+    """Grade 0: toxic, 1: of low quality, 2: neither."""
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1)
+    return labels.where("quality is not null and toxic is not null").select(
+        "doc_id", grade.otherwise(2).alias("grade")
+    )
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are more likely good than not."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, graded(table(spark, sf_dir, "labels")))
+    return score(docs, model, grade=2, least=0.5, columns=["doc_id"])
+
+
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )
+
+
+@query("op5_byte_balanced_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
+    found = shard_by_bytes(docs.select("doc_id", "text", crc), 16, ["doc_id", "text_crc32"])
+    return found.select(
+        "doc_id",
+        F.col("shard_size").alias("size"),
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+OP3_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS weights FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.weights, c.weights)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op3_exact_top_k", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_k(table(spark, sf_dir, "embeddings"), 20, F.col("id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+OP6_SQL = f"""
+WITH t AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (
+    SELECT *, {len(START) + len(END) + 2} + length(role)
+              + length(regexp_replace(text, '{ESCAPE}', '\\1\\\\\\2\\3', 'g')) AS chars,
+           lead(turn) OVER w IS NULL AS is_last
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+g AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS total FROM f)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(total) FILTER (role = 'assistant' OR is_last))::BIGINT AS formatted_chars
+FROM g GROUP BY conv_id
+"""
+
+
+@query("op6_chat_formatting", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, said)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    read = chat_examples(turns).select(
+        "conv_id",
+        "example",
+        F.length("formatted").cast("long").alias("chars"),
+        read_loss(F.col("formatted"), F.col("loss_start"), F.col("loss_length")).alias("loss"),
+        read_turns(F.col("formatted")).alias("turns"),
+    )
+    losses = "transform(array_sort(collect_list(struct(example, loss))), x -> x.loss)"
+    found = read.groupBy("conv_id").agg(
+        F.expr(f"array_join({losses}, '')").alias("loss"),
+        F.sum("chars").alias("formatted_chars"),
+        F.max_by("turns", "example").alias("turns"),
+    )
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+@query("op10_html_extraction")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op9_lm_scores")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = score_documents(docs, *train(docs))
+    return found.withColumnRenamed("id", "doc_id")

@@ -72,6 +72,33 @@ def test_split_does_not_depend_on_partitions(spark):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
+def test_repeated_ids_are_cut_at_the_quota(spark):
+    df = spark.range(1000).select((F.col("id") % 4).alias("id"), F.lit(0).alias("label"))
+    assert counts(split.stratified_split(df, ["id"])) == {("train", 0): 800, ("test", 0): 200}
+
+
+def test_rows_without_a_label(spark):
+    df = labelled(spark, {0: 50, 1: 10}).unionAll(spark.createDataFrame([(900, None)], "id bigint, label int"))
+    assert counts(split.stratified_split(df, ["id"])) == {
+        ("train", 0): 40, ("test", 0): 10, ("train", 1): 8, ("test", 1): 2, (None, None): 1,
+    }
+    weights = {r["label"]: r["weight"] for r in split.add_class_weights(df).distinct().collect()}
+    assert weights == {0: 60 / 100, 1: 60 / 20, None: None}
+
+
+def test_a_label_with_too_many_values(spark, monkeypatch):
+    monkeypatch.setattr(split, "MAX_CLASSES", 3)
+    df = labelled(spark, {i: 2 for i in range(4)})
+    with pytest.raises(ValueError, match="more than 3 values"):
+        split.stratified_split(df, ["id"])
+    with pytest.raises(ValueError, match="more than 3 values"):
+        sampling.oversample(df.withColumn("features", F.array(F.lit(1.0))))
+
+
+def test_bucket_digits_follow_the_rows():
+    assert [ranking.bucket_digits(n) for n in (0, 1_600_000, 1_600_001, 10**12)] == [1, 1, 2, 6]
+
+
 def test_class_weights(spark):
     got = {r["label"]: r["weight"] for r in split.balanced_class_weights(
         labelled(spark, {0: 90, 1: 10})).collect()}
@@ -118,6 +145,20 @@ def test_neighbours_are_exact(spark, n, dim, options):
     assert got == brute_neighbours(points, 5)
 
 
+def test_wanted_points_and_copies_of_one_vector(spark):
+    points = np.vstack([np.zeros((40, 3)), cloud(3, 90, 3, 4), np.ones((3, 3))])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)],
+                               "id bigint, features array<double>")
+    expected = brute_neighbours(points, 5)
+    wanted = spark.createDataFrame([(i,) for i in (0, 39, 77, 131, 999)], "id bigint")
+    for options in ({}, {"block_rows": 9}):
+        got = {}
+        found = sampling.nearest_neighbours(df, 5, wanted=wanted, **options)
+        for r in found.orderBy("id", "rank").collect():
+            got.setdefault(r["id"], []).append(r["neighbour_id"])
+        assert got == {i: expected[i] for i in (0, 39, 77, 131)}
+
+
 def test_pruning_leaves_rings_out():
     """Far rings are not visited when the points are clustered."""
     rows = [

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from vintagemart.operators.joins import broadcast_if, has_at_most
 
-BUCKET_DIGITS = 4  # 65,536 buckets
+# Rows that one bucket holds on average, at most.
+BUCKET_ROWS = 100_000
 
 # Up to this many groups, the offsets (a row per group and bucket) are broadcast.
 MAX_GROUPS = 16
@@ -25,6 +26,14 @@ def shuffle_key(ids: Sequence[str], seed: int | str) -> Column:
     return F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in ids], F.lit(str(seed))))
 
 
+def bucket_digits(rows: int) -> int:
+    """Hex digits of the key that cut so many rows into bounded buckets."""
+    digits = 1
+    while rows > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def unit_interval(text: Column) -> Column:
     """Uniform number in [0, 1) from the first 12 hex digits of an md5 text."""
     return F.conv(F.substring(text, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
@@ -46,10 +55,11 @@ def shuffled_row_number(
     """Dense 1-based position of every row in md5 order, per group.
 
     Position = rows in earlier buckets + position inside the bucket; the window
-    sorts one bucket at a time and the offsets are at most 65,536 rows a group.
+    sorts one bucket at a time, and there are as many buckets as a count of the
+    rows asks for.
     """
     keyed = df.withColumn("__key", shuffle_key(ids, seed)).withColumn(
-        "__bucket", F.substring("__key", 1, BUCKET_DIGITS)
+        "__bucket", F.substring("__key", 1, bucket_digits(df.count()))
     )
     sizes = keyed.groupBy(*groups, "__bucket").agg(F.count("*").alias("__n"))
     earlier = (

@@ -18,6 +18,7 @@ from vintagemart.operators.ranking import (
     small_int,
     unit_interval,
 )
+from vintagemart.operators.split import require_few_classes
 from vintagemart.sources.scratch import materialize
 
 MAX_PIVOTS = 64
@@ -154,15 +155,21 @@ def nearest_neighbours(
     max_pivots: int = MAX_PIVOTS,
     rings: int = RINGS,
     block_rows: int = BLOCK_ROWS,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """The k nearest other points of every point: id, rank, neighbour_id, distance.
 
-    Exact, ties by neighbour id. Points are located in rings around a few
-    pivots, and rings are cut into blocks of about ``block_rows``. A first pass
-    inside each block bounds how far a point's neighbours can be; the point is
-    then sent only to rings that come that near. A task compares two bounded
-    blocks and returns k rows per point, however dense one region is. What
-    comes to the driver is the pivots and one summary row per ring.
+    Exact, ties by neighbour id; with ``wanted`` (a column ``id``) only these points
+    are searched for, among all. Equal vectors are one point with the k + 1 smallest
+    of their ids, which is all that k neighbours can need, so copies are never
+    compared with each other.
+
+    Distinct vectors are located in rings around a few pivots, and rings are cut
+    into blocks of about ``block_rows``. A first pass inside each block bounds how
+    far a point's neighbours can be; the point is then sent only to rings that come
+    that near. A task compares two bounded blocks and returns k rows per point,
+    however dense one region is. What comes to the driver is the pivots and one
+    summary row per ring.
     """
     points = materialize(
         points.select(
@@ -170,6 +177,41 @@ def nearest_neighbours(
         ),
         "knn-points",
     )
+    # Cut on the map side: a vector that many points share never meets in full.
+    in_order = Window.partitionBy("features").orderBy("id")
+    first = points.withColumn("place", F.row_number().over(in_order)).where(F.col("place") <= k + 1)
+    groups = first.groupBy("features").agg(
+        F.min("id").alias("group"), F.sort_array(F.collect_list("id")).alias("ids")
+    )
+    groups = materialize(groups, "knn-groups")
+    asked = points if wanted is None else points.join(wanted.select("id"), "id", "left_semi")
+    asked = asked.join(groups.select("features", "group"), "features").select("id", "group")
+    asked = materialize(asked, "knn-asked")
+    searched = asked.select("group").distinct().withColumn("ask", F.lit(True))
+    distinct = groups.join(searched, "group", "left").select(
+        F.col("group").alias("id"), "features", F.coalesce("ask", F.lit(False)).alias("ask")
+    )
+    distinct = materialize(distinct, "knn-distinct")
+    near = _nearest_distinct(distinct, k, max_pivots, rings, block_rows)
+    own = searched.select(
+        F.col("group").alias("id"), F.col("group").alias("neighbour_id"), F.lit(0.0).alias("distance")
+    )
+    members = groups.select(
+        F.col("group").alias("neighbour_id"), F.explode("ids").alias("member")
+    )
+    lists = near.select("id", "neighbour_id", "distance").unionByName(own)
+    candidates = lists.join(members, "neighbour_id").select(
+        "id", F.col("member").alias("neighbour_id"), "distance"
+    )
+    best = _ranked(candidates, k + 1).select(F.col("id").alias("group"), "neighbour_id", "distance")
+    found = asked.join(best, "group").where(F.col("id") != F.col("neighbour_id"))
+    return _ranked(found, k)
+
+
+def _nearest_distinct(
+    points: DataFrame, k: int, max_pivots: int, rings: int, block_rows: int
+) -> DataFrame:
+    """The k nearest other vectors of every vector with ``ask``."""
     spark = points.sparkSession
     n = points.count()
     n_blocks = ceil(n / block_rows)
@@ -202,9 +244,9 @@ def nearest_neighbours(
     blocked = located.join(sizes, ["cell", "ring"]).withColumn(
         "sub", F.pmod(F.xxhash64(F.lit("sub"), "id"), F.col("n_sub"))
     )
-    own = blocked.select("target", "sub", "id", "features", "to_pivot")
+    own = blocked.select("target", "sub", "id", "features", "ask", "to_pivot")
     with_reach = StructType([*own.schema.fields, StructField("reached", DoubleType())])
-    reached = own.groupBy("target", "sub").applyInPandas(_reach_in_block(k), with_reach)
+    reached = own.groupBy("target", "sub").applyInPandas(_reach_in_block(k), with_reach).where("ask")
 
     @F.pandas_udf("array<int>")
     def wanted_rings(to_pivot: pd.Series, reached: pd.Series) -> pd.Series:
@@ -265,7 +307,7 @@ def _compare_all_in_one_block(points: DataFrame, k: int) -> DataFrame:
     """Fewer points than one block holds: a single bounded comparison."""
     closest = _closest(k)
     return points.groupBy().applyInPandas(
-        lambda block: closest(block, block), _found_schema(points)
+        lambda block: closest(block[block["ask"]], block), _found_schema(points)
     )
 
 
@@ -299,8 +341,11 @@ def synthesize(
     points = minority.select(
         F.col(id_col).alias("id"), F.col(features_col).cast("array<double>").alias("features")
     )
-    near = nearest_neighbours(points, k, **blocks).select("id", "rank", "neighbour_id")
+    # Only points that are drawn need neighbours.
     indexed = shuffled_row_number(points, ["id"], f"base:{seed}", name="base_index")
+    indexed = materialize(indexed.where(F.col("base_index") <= min(n_new, n_minority)), "bases")
+    near = nearest_neighbours(points, k, wanted=indexed, **blocks)
+    near = near.select("id", "rank", "neighbour_id")
     ends = points.select(F.col("id").alias("neighbour_id"), F.col("features").alias("end"))
     # Copies of one point all have the same few neighbours: a hot key.
     segments = salted_join(
@@ -332,12 +377,15 @@ def oversample(
     """Fill every smaller class up to the size of the largest with synthetic points.
 
     Skipped while the smallest class has fewer than six rows. Added rows have a
-    null id.
+    null id. Rows without a label are no class and stay as they are.
     """
-    rows = df.groupBy(label_col).agg(F.count("*").alias("n")).collect()
+    known = require_few_classes(df.where(F.col(label_col).isNotNull()), label_col)
+    rows = known.groupBy(label_col).agg(F.count("*").alias("n")).collect()
     original = df.select(id_col, features_col, label_col).withColumn(
         features_col, F.col(features_col).cast("array<double>")
     )
+    if not rows:
+        return original
     largest = max(r["n"] for r in rows)
     if min(r["n"] for r in rows) < MIN_MINORITY:
         return original

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintagemart.operators.joins import broadcast_if, has_at_most
-from vintagemart.operators.ranking import BUCKET_DIGITS, shuffle_key
+from vintagemart.operators.joins import has_at_most
+from vintagemart.operators.ranking import shuffle_key
+from vintagemart.sources.scratch import materialize
 
-# Up to this many classes, a table with one row per class is broadcast.
-MAX_CLASSES = 1000
+# More values than these are no classes: a split by them is refused.
+MAX_CLASSES = 10_000
+# Hex digits of the key that name a bucket: 65,536 buckets per class.
+BUCKET_DIGITS = 4
 
 
 def class_quotas(df: DataFrame, label: str, test_share: float) -> DataFrame:
@@ -19,7 +22,10 @@ def class_quotas(df: DataFrame, label: str, test_share: float) -> DataFrame:
 
     The training rows are what gets apportioned, so rounding favours training.
     """
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    return _quotas(df.groupBy(label).agg(F.count("*").alias("n")), label, test_share)
+
+
+def _quotas(counts: DataFrame, label: str, test_share: float) -> DataFrame:
     everything = Window.partitionBy(F.lit(0))
     total = F.sum("n").over(everything)
     n_train = total - F.ceil(total * F.lit(test_share))
@@ -38,6 +44,14 @@ def class_quotas(df: DataFrame, label: str, test_share: float) -> DataFrame:
     )
 
 
+def require_few_classes(df: DataFrame, label: str) -> DataFrame:
+    """Raise if the label takes so many values that it is no class: what follows
+    keeps a row per class in one task or in the driver."""
+    if not has_at_most(df, [label], MAX_CLASSES):
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
+    return df
+
+
 def stratified_split(
     df: DataFrame,
     ids: Sequence[str],
@@ -47,47 +61,52 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` = ``train`` or ``test``; exactly the quota of each class is test.
 
-    The test rows of a class are those with the smallest shuffle keys. Only the
-    last of them is looked up: per-class bucket counts name the bucket it lies
-    in, that bucket alone is ranked, and every row is then compared with one
-    cut key per class. With up to ``MAX_CLASSES`` classes the table itself is
-    never shuffled. ``ids`` must be unique, and reading ``df`` again must give
-    the same rows.
+    The test rows of a class are those with the smallest shuffle keys. One pass
+    counts rows per class and bucket of keys; classes, quotas and the bucket in
+    which each class is cut all follow from these counts. Rows of other buckets
+    compare their bucket with one cut per class, so the table itself is never
+    shuffled; only rows of the cut buckets are ranked, so repeated ids are cut at
+    the right place, too. Rows without a label get no split. Reading ``df`` again
+    must give the same rows.
     """
-    few = has_at_most(df, [label], MAX_CLASSES)
-    keyed = df.withColumn("__key", shuffle_key(ids, seed))
-    narrow = keyed.select(label, *ids, "__key").withColumn(
+    keyed = df.withColumn("__key", shuffle_key(ids, seed)).withColumn(
         "__bucket", F.substring("__key", 1, BUCKET_DIGITS)
     )
-    quotas = class_quotas(df, label, test_share).where(F.col("n_test") > 0)
-    sizes = narrow.groupBy(label, "__bucket").agg(F.count("*").alias("n"))
+    labelled = keyed.where(F.col(label).isNotNull())
+    sizes = labelled.groupBy(label, "__bucket").agg(F.count("*").alias("n"))
+    sizes = materialize(sizes, "bucket-sizes")
+    require_few_classes(sizes, label)
+    quotas = _quotas(sizes.groupBy(label).agg(F.sum("n").alias("n")), label, test_share)
     running = Window.partitionBy(label).orderBy("__bucket")
     upto = sizes.withColumn(
         "upto", F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, 0))
     )
-    cut_bucket = (
+    # The bucket that holds the first row beyond the quota, or none beyond it.
+    cuts = (
         upto.join(quotas, label)
         .where((F.col("upto") >= F.col("n_test")) & (F.col("upto") - F.col("n") < F.col("n_test")))
-        .select(label, "__bucket", (F.col("n_test") - F.col("upto") + F.col("n")).alias("wanted"))
-    )
-    in_bucket = Window.partitionBy(label, "__bucket").orderBy("__key")
-    cut = (
-        narrow.join(broadcast_if(cut_bucket, few), [label, "__bucket"])
-        .withColumn("position", F.row_number().over(in_bucket))
-        .where(F.col("position") == F.col("wanted"))
-        .select(F.col(label).alias("__label"), F.col("__key").alias("__cut"))
-    )
-    is_test = F.col("__key") <= F.col("__cut")
-    return (
-        keyed.join(broadcast_if(cut, few), keyed[label] == F.col("__label"), "left")
-        .withColumn("split", F.when(is_test, "test").otherwise("train"))
-        .drop("__key", "__label", "__cut")
+        .select(
+            F.col(label).alias("__label"),
+            F.col("__bucket").alias("__cut"),
+            (F.col("n_test") - F.col("upto") + F.col("n")).alias("__wanted"),
+        )
     )
+    cuts = F.broadcast(materialize(cuts, "cuts"))
+    tagged = keyed.join(cuts, keyed[label] == F.col("__label"), "left")
+    at_cut = F.coalesce(F.col("__bucket") == F.col("__cut"), F.lit(False))
+    side = F.when(F.coalesce(F.col("__bucket") < F.col("__cut"), F.lit(False)), "test").otherwise("train")
+    clear = tagged.where(~at_cut).withColumn("split", F.when(F.col(label).isNotNull(), side))
+    inside = Window.partitionBy(label, "__bucket").orderBy("__key", *ids)
+    ranked = tagged.where(at_cut).withColumn("__place", F.row_number().over(inside))
+    first = F.when(F.col("__place") <= F.col("__wanted"), "test").otherwise("train")
+    cut = ranked.withColumn("split", first).drop("__place")
+    return clear.unionByName(cut).drop("__key", "__bucket", "__label", "__cut", "__wanted")
 
 
 def balanced_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """Weight ``n / (classes * n_class)`` per class."""
-    counts = df.groupBy(label).agg(F.count("*").alias("n_rows"))
+    """Weight ``n / (classes * n_class)`` per class; a missing label is no class."""
+    known = require_few_classes(df.where(F.col(label).isNotNull()), label)
+    counts = known.groupBy(label).agg(F.count("*").alias("n_rows"))
     everything = Window.partitionBy(F.lit(0))
     classes = F.count("*").over(everything)
     return counts.select(
@@ -98,6 +117,6 @@ def balanced_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def add_class_weights(df: DataFrame, label: str = "label", name: str = "weight") -> DataFrame:
-    """The weight of each row's class."""
+    """The weight of each row's class, null without a label."""
     weights = balanced_class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(broadcast_if(weights, has_at_most(df, [label], MAX_CLASSES)), label, "left")
+    return df.join(F.broadcast(weights), label, "left")

@@ -102,8 +102,9 @@ def test_clip(spark, value, clipped):
 
 
 def test_numbers_or_zero(spark):
-    as_number = cleaning.to_number_or_zero(F.col("x"))
-    assert [one(spark, as_number, v) for v in ("1.5", "junk", None)] == [1.5, 0.0, 0.0]
+    as_number = cleaning.number_in_text(F.col("x"))
+    texts = ("1.5", " -.5e2\n", "junk", None, "5d", "7f", "NaN", "Infinity", "")
+    assert [one(spark, as_number, v) for v in texts] == [1.5, -50.0, *[None] * 7]
     ratio = cleaning.divide_or_zero(F.lit(3.0), F.col("x"))
     assert [one(spark, ratio, v, "double") for v in (2.0, 0.0, None)] == [1.5, 0.0, 0.0]
 

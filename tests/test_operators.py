@@ -37,22 +37,46 @@ def skewed(spark):
     return loans, side
 
 
-SMALL = {"min_rows": 500, "one_in": 2}
+SMALL = {"task_rows": 500, "one_in": 2}
 
 
 def test_hot_keys_are_found_and_few(skewed):
     loans, _ = skewed
     hot = joins.hot_keys(loans, KEYS, ["loan_id"], **SMALL).collect()
     assert {r["Customer_ID"] for r in hot} == {"HOT", None}
-    assert joins.hot_keys(loans, KEYS, ["loan_id"], most=1, **SMALL).count() == 1
+    assert all(2 <= r["n_salts"] <= 4 for r in hot)
 
 
-@pytest.mark.parametrize("min_rows", [1, 500, 10_000])
-def test_salting_changes_no_row(skewed, min_rows):
+def test_correlations_of_many_features(spark):
+    names = [f"f{i}" for i in range(300)]
+    df = spark.range(200).select(
+        *[(F.hash("id", F.lit(i // 2)) % 1000).cast("double").alias(n) if i < 298
+          else F.lit(1.0).alias(n) for i, n in enumerate(names)]
+    )
+    pairs = {(r["earlier"], r["later"]): r["corr"] for r in columns.correlation_pairs(df, names).collect()}
+    assert len(pairs) == 300 * 299 // 2
+    assert pairs["f0", "f1"] == pytest.approx(1.0) and pairs["f5", "f299"] is None
+    assert abs(pairs["f0", "f2"]) < 0.4
+    assert columns.correlated_features(df, names[:298]) == names[1:298:2]
+
+
+def test_a_thousand_hot_keys(spark, monkeypatch):
+    left = spark.range(20_000).select("id", (F.col("id") % 1000).alias("key"))
+    right = spark.range(1200).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+    options = {"task_rows": 4, "one_in": 1}
+    assert joins.hot_keys(left, ["key"], ["id"], **options).count() == 1000
+    for most in (50_000, 10):
+        monkeypatch.setattr(joins, "BROADCAST_KEYS", most)
+        joined = joins.salted_join(left, [right], ["key"], ["id"], **options)
+        assert rows(joined) == rows(left.join(right, "key", "left").select(joined.columns))
+
+
+@pytest.mark.parametrize("task_rows", [1, 500, 10_000])
+def test_salting_changes_no_row(skewed, task_rows):
     loans, side = skewed
     other = side.select(*KEYS, (F.col("v") * 10).alias("w"))
     plain = loans.join(side, KEYS, "left").join(other, KEYS, "left")
-    salted = joins.salted_join(loans, [side, other], KEYS, ["loan_id"], min_rows=min_rows, one_in=2)
+    salted = joins.salted_join(loans, [side, other], KEYS, ["loan_id"], task_rows=task_rows, one_in=2)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
 
@@ -60,11 +84,11 @@ def test_salting_changes_no_row(skewed, min_rows):
 def test_hot_rows_are_spread(skewed):
     """The joined hot key and the null keys come out of many sub-keys."""
     loans, side = skewed
-    hot = joins.hot_keys(loans, KEYS, ["loan_id"], **SMALL)
-    marked = joins._mark_hot(loans, hot, KEYS, False)
-    assert marked.where("__hot").select("Customer_ID").distinct().collect()[0][0] == "HOT"
-    salt = F.pmod(F.xxhash64("loan_id"), F.lit(joins.SALTS))
-    assert marked.where("__hot").select(salt).distinct().count() > 200
+    hot = joins.hot_keys(loans, KEYS, ["loan_id"], task_rows=10, one_in=2)
+    marked = joins._mark_hot(loans, hot, True, KEYS, False).where("Customer_ID = 'HOT'")
+    salts = {r["salt"]: r["count"] for r in marked.groupBy(
+        F.pmod(F.xxhash64("loan_id"), F.col("__hot")).alias("salt")).count().collect()}
+    assert len(salts) > 50 and max(salts.values()) < 60
 
 
 def test_null_safe_join_matches_nulls(skewed):

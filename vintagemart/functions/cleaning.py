@@ -23,6 +23,7 @@ AGE_BANDS = {"Youth": 25, "Adult": 45, "Middle-aged": 65}
 LAST_AGE_BAND = "Senior"
 
 WHITESPACE = " \t\n\r\f\v"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def digits_to_int(text: Column) -> Column:
@@ -102,9 +103,11 @@ def clip(column: Column, lower: float | None = None, upper: float | None = None)
     return out
 
 
-def to_number_or_zero(column: Column) -> Column:
-    """Numeric reading; junk and null become 0."""
-    return F.coalesce(column.try_cast("double"), F.lit(0.0))
+def number_in_text(text: Column) -> Column:
+    """The number a text consists of, or null; suffixes that a cast would accept
+    (``"5d"``) are no part of a number."""
+    plain = F.btrim(text, F.lit(WHITESPACE))
+    return F.when(plain.rlike(NUMBER), plain.try_cast("double"))
 
 
 def divide_or_zero(numerator: Column, denominator: Column) -> Column:

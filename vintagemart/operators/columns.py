@@ -6,11 +6,19 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StructType
-
-from vintagemart.functions.cleaning import to_number_or_zero
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    StringType,
+    StructType,
+)
+
+from vintagemart.functions.cleaning import number_in_text
 
 # Candidate names, in order of preference.
 CUSTOMER_ID_NAMES = ("Customer_ID", "user_id", "customer_id", "cust_id")
@@ -101,13 +109,35 @@ def fill_numeric_nulls(df: DataFrame, value: float = 0, nan_too: bool = True) ->
     return df.withColumns(filled) if filled else df
 
 
+def zero_infinite(df: DataFrame) -> DataFrame:
+    """Every infinite value of the frame becomes 0."""
+    floats = [f for f in df.schema.fields if isinstance(f.dataType, (FloatType, DoubleType))]
+    finite = {
+        f.name: F.when(F.abs(f.name) != F.lit(float("inf")), F.col(f.name)).when(
+            F.col(f.name).isNotNull(), F.lit(0.0).cast(f.dataType)
+        )
+        for f in floats
+    }
+    return df.withColumns(finite) if finite else df
+
+
+def _numeric_reading(df: DataFrame, name: str) -> Column:
+    """Numbers and flags as they are, texts if they read as a number; anything else,
+    null and NaN are 0."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (NumericType, BooleanType)):
+        value = F.col(name).cast("double")
+    elif isinstance(kind, StringType):
+        value = number_in_text(F.col(name))
+    else:
+        return F.lit(0.0)
+    return F.nanvl(F.coalesce(value, F.lit(0.0)), F.lit(0.0))
+
+
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Numeric reading of the features; junk, null and NaN become 0."""
+    """Numeric reading of the features; junk, null, NaN and other types become 0."""
     return df.select(
-        [
-            F.nanvl(to_number_or_zero(F.col(c)), F.lit(0.0)).alias(c) if c in columns else F.col(c)
-            for c in df.columns
-        ]
+        [_numeric_reading(df, c).alias(c) if c in columns else F.col(c) for c in df.columns]
     )
 
 
@@ -117,12 +147,7 @@ def align_features(
     """The model's feature list in its order; features the frame lacks are 0."""
     return df.select(
         *keep,
-        *[
-            F.nanvl(to_number_or_zero(F.col(c)), F.lit(0.0)).alias(c)
-            if c in df.columns
-            else F.lit(0.0).alias(c)
-            for c in columns
-        ],
+        *[(_numeric_reading(df, c) if c in df.columns else F.lit(0.0)).alias(c) for c in columns],
     )
 
 
@@ -157,39 +182,40 @@ def constant_features(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for i, c in enumerate(columns) if row[i]]
 
 
+def _correlation_matrix(df: DataFrame, columns: Sequence[str]):
+    """The Gram matrix is summed on the executors; only features x features numbers
+    come back."""
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(df).select("v")
+    return Correlation.corr(vectors, "v").first()[0].toArray()
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (earlier, later) in one aggregation.
+    """Pearson correlation of every pair (earlier, later) of features without nulls.
 
     A constant column has no correlation: null. It is recognised by its range,
-    as merged partial means need not be exact and its spread not quite zero.
+    as merged partial sums need not be exact and its spread not quite zero.
     """
-    pairs = [(a, b) for j, b in enumerate(columns) for a in columns[:j]]
-    spread = {c: F.when(F.min(c) < F.max(c), F.stddev_pop(c)) for c in columns}
-    row = df.agg(
-        *[
-            F.try_divide(F.covar_pop(a, b), spread[a] * spread[b]).alias(f"p{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    entries = [
-        F.struct(F.lit(a).alias("earlier"), F.lit(b).alias("later"), F.col(f"p{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
+    spark = df.sparkSession
+    schema = "earlier string, later string, corr double"
+    if len(columns) < 2:
+        return spark.createDataFrame([], schema)
+    constant = set(constant_features(df, columns))
+    matrix = _correlation_matrix(df, columns)
+    rows = [
+        (a, b, None if {a, b} & constant else float(matrix[i][j]))
+        for j, b in enumerate(columns)
+        for i, a in enumerate(columns[:j])
     ]
-    return row.select(F.inline(F.array(*entries)))
+    return spark.createDataFrame(rows, schema)
 
 
 def correlated_features(
     df: DataFrame, columns: Sequence[str], limit: float = MAX_CORRELATION
 ) -> list[str]:
-    """Features whose absolute correlation with any earlier one exceeds ``limit``.
-
-    The Gram matrix is summed on the executors; only features x features
-    numbers come back.
-    """
+    """Features whose absolute correlation with any earlier one exceeds ``limit``."""
     if len(columns) < 2:
         return []
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(df).select("v")
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    matrix = _correlation_matrix(df, columns)
     return [
         name
         for j, name in enumerate(columns)

@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are salted. A key that is not among the 256 largest
-# holds less than 1/256 of the rows, so the list is bounded and long enough
-# whatever the data is.
-HOT_KEYS = 256
-HOT_MIN_ROWS = 100_000
-SALTS = 256
+from vintagemart.sources.scratch import materialize
+
+# Left rows of one key that a task gets on average, at most: larger keys are salted.
+TASK_ROWS = 100_000
+# Up to this many hot keys, their list is broadcast (a few MB); a longer one is joined
+# like any table.
+BROADCAST_KEYS = 50_000
+# Sub-keys over which rows that match nothing are spread.
+NULL_SALTS = 256
 
 _SALT = "__salt"
 _HOT = "__hot"
@@ -39,25 +42,28 @@ def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     row_id: Sequence[str],
-    most: int = HOT_KEYS,
-    min_rows: int = HOT_MIN_ROWS,
+    task_rows: int = TASK_ROWS,
     one_in: int = 16,
 ) -> DataFrame:
-    """The largest keys with more than ``min_rows`` rows, ``most`` of them at most.
+    """Every key with more than ``task_rows`` rows, and the number of sub-keys
+    (``n_salts``) that bring each of them below that.
 
     Estimated on every row whose id hashes to 0 modulo ``one_in``. The list
     only decides which keys are salted; the joined rows are the same for any
     list.
     """
     seen = df.where(F.pmod(F.xxhash64(*row_id), F.lit(one_in)) == 0)
-    counts = seen.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") * one_in > min_rows)
-    return counts.orderBy(F.col("n").desc(), *keys).limit(most).select(*keys)
+    counts = seen.groupBy(*keys).agg((F.count("*") * one_in).alias("n"))
+    salts = F.ceil(F.col("n") / task_rows).cast("int").alias("n_salts")
+    return counts.where(F.col("n") > task_rows).select(*keys, salts)
 
 
-def _mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    renamed = hot.select([F.col(k).alias(f"__h_{k}") for k in keys] + [F.lit(True).alias(_HOT)])
+def _mark_hot(
+    df: DataFrame, hot: DataFrame, few: bool, keys: Sequence[str], null_safe: bool
+) -> DataFrame:
+    renamed = hot.select([F.col(k).alias(f"__h_{k}") for k in keys] + [F.col("n_salts").alias(_HOT)])
     match = [_same(df[k], renamed[f"__h_{k}"], null_safe) for k in keys]
-    return df.join(F.broadcast(renamed), match, "left").drop(*[f"__h_{k}" for k in keys])
+    return df.join(broadcast_if(renamed, few), match, "left").drop(*[f"__h_{k}" for k in keys])
 
 
 def salted_join(
@@ -67,37 +73,38 @@ def salted_join(
     row_id: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    salts: int = SALTS,
     **hot_options,
 ) -> DataFrame:
     """Join ``left`` with each of ``rights`` on the same keys.
 
-    Rows of hot keys are spread over ``salts`` sub-keys by a hash of ``row_id``
-    and the matching right rows are repeated per sub-key, so that the left
-    table is shuffled once for all joins and no task holds a whole hot key.
-    Left rows with a null key match nothing (unless ``null_safe``) and are
-    spread as well.
+    One narrow scan of the left table finds the keys that are too large for a
+    task. Their rows are spread over as many sub-keys as their size asks for, by
+    a hash of ``row_id``, and the matching right rows are repeated per sub-key;
+    the left table is shuffled once for all joins. Without such keys the joins
+    are plain ones. Left rows with a null key match nothing (unless
+    ``null_safe``) and are spread as well.
     """
-    spread = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
-    hot = hot_keys(left, keys, row_id, **hot_options)
-    is_split = F.coalesce(F.col(_HOT), F.lit(False))
-    scattered = is_split
+    hot = materialize(hot_keys(left, keys, row_id, **hot_options), "hot-keys")
+    n_hot = hot.count()
+    few = n_hot <= BROADCAST_KEYS
+    spread = lambda n: F.pmod(F.xxhash64(*row_id), n).cast("int")
+    salt = F.lit(0)
+    if n_hot:
+        left = _mark_hot(left, hot, few, keys, null_safe)
+        salt = F.when(F.col(_HOT).isNotNull(), spread(F.col(_HOT))).otherwise(salt)
     if not null_safe:
+        missing = F.lit(False)
         for k in keys:
-            scattered = scattered | F.col(k).isNull()
-    out = (
-        _mark_hot(left, hot, keys, null_safe)
-        .withColumn(_SALT, F.when(scattered, spread).otherwise(F.lit(0)))
-        .drop(_HOT)
-    )
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+            missing = missing | F.col(k).isNull()
+        salt = F.when(missing, spread(F.lit(NULL_SALTS))).otherwise(salt)
+    out = left.withColumn(_SALT, salt).drop(_HOT)
     for right in rights:
-        copies = F.when(is_split, all_salts).otherwise(F.array(F.lit(0)))
-        side = (
-            _mark_hot(right, hot, keys, null_safe)
-            .withColumn(_SALT, F.explode(copies))
-            .drop(_HOT)
-        )
+        if n_hot:
+            salts = F.sequence(F.lit(0), F.coalesce(F.col(_HOT), F.lit(1)) - 1)
+            side = _mark_hot(right, hot, few, keys, null_safe)
+            side = side.withColumn(_SALT, F.explode(salts)).drop(_HOT)
+        else:
+            side = right.withColumn(_SALT, F.lit(0))
         if null_safe:
             side = side.withColumnsRenamed({k: f"__r_{k}" for k in (*keys, _SALT)})
             match = [out[k].eqNullSafe(side[f"__r_{k}"]) for k in (*keys, _SALT)]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vintagemart import schemas
 from vintagemart.functions import cleaning, loans
 from vintagemart.functions.dates import TrainingWindows, as_date
-from vintagemart.operators.columns import enforce_schema, fill_numeric_nulls
+from vintagemart.operators.columns import enforce_schema, fill_numeric_nulls, zero_infinite
 
 
 def snapshot_extract(
@@ -214,7 +214,8 @@ def silver_user_attributes(raw: DataFrame) -> DataFrame:
 
 
 def silver_user_financials(raw: DataFrame) -> DataFrame:
-    """Income, debt and asset ratios; a ratio that does not exist is 0, as is any null."""
+    """Income, debt and asset ratios; a ratio that does not exist is 0, as is any null or
+    infinite value of the frame."""
     income = F.col("annual_income") / F.lit(12)
     ratios = raw.withColumns(
         {
@@ -230,7 +231,7 @@ def silver_user_financials(raw: DataFrame) -> DataFrame:
             - F.col("credit_card_balance"),
         }
     )
-    return fill_numeric_nulls(ratios)
+    return fill_numeric_nulls(zero_infinite(ratios))
 
 
 def add_risk_score(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -164,11 +164,21 @@ def test_training_scoring_monitoring(spark, lake):
     ).first()
     assert summary["n_predictions"] == 180 and 0 <= summary["mean_probability"] <= 1
 
+    # Another prediction date adds rows, the same date replaces its own.
+    for day in ("2024-05-01", "2024-05-01"):
+        again = scoring.run(spark, lake, features(spark, lake), "2024-04-01", "2024-04-01", day).first()
+        assert again["n_predictions"] == 60
+    stored = store.read_snapshots(spark, lake.path("gold", "predictions"))
+    dates = {str(r[0]): r[1] for r in stored.groupBy("prediction_date").count().collect()}
+    assert dates == {"2024-04-01": 180, "2024-05-01": 60}
+
     result = monitoring.run(
         spark, lake, features(spark, lake), "2024-02-01", "2024-04-01", row_id=["loan_id"]
     )
-    assert result.matched.count() == 180
+    assert result.matched.count() == 240
     assert result.performance.count() == 3 and result.drift.count() == 3
+    assert result.skipped.count() == 0
+    assert result.decision.first()["checked_timestamp"] is not None
     report = result.report.first()
     assert report["needs_retraining"] == monitoring.retraining_needed(result)
     assert report["performance_summary"]["avg_auc"] is not None
@@ -207,6 +217,31 @@ def test_tuned_model_is_saved_and_scores_a_range(spark, lake):
     assert stored.count() == 180
 
 
+def test_no_decision_without_metrics(spark):
+    predictions = spark.createDataFrame(
+        [(f"C{i}", date(2024, 1 + i % 2, 1), 0.1 * i, i % 2) for i in range(8)],
+        "Customer_ID string, snapshot_date date, prediction_probability double, prediction_binary int",
+    )
+    actuals = predictions.select("Customer_ID", "snapshot_date", F.lit(1).alias("actual_label"))
+    with pytest.raises(ValueError, match="valid metrics"):
+        monitoring.monitor(predictions, actuals, "2024-01-01", "2024-03-01", row_id=["Customer_ID"])
+    january = F.month("snapshot_date") == 1
+    label = F.when(january, F.substring("Customer_ID", 2, 1).cast("int") % 4).otherwise(1)
+    mixed = actuals.withColumn("actual_label", F.when(label > 0, 1).otherwise(0))
+    result = monitoring.monitor(predictions, mixed, "2024-01-01", "2024-03-01", row_id=["Customer_ID"])
+    skipped = [(r["snapshot_date"].month, r["n_rows"], r["n_bad"], r["reason"]) for r in result.skipped.collect()]
+    assert skipped == [(2, 4, 0, "only one class")]
+
+
+def test_scoring_without_a_registry(spark, lake, tmp_path):
+    empty = Lake(str(tmp_path / "empty"))
+    with pytest.raises(ValueError, match="no model is registered"):
+        scoring.latest_model(spark, empty)
+    given = spark.createDataFrame([run_row("given", datetime(2025, 1, 1), "p")], schemas.MODEL_REGISTRY)
+    model = scoring.latest_model(spark, empty, given)
+    assert (model["model_name"], scoring._version(model)) == ("given", "unknown")
+
+
 def test_too_few_rows_to_train(spark, lake):
     with pytest.raises(ValueError, match="need at least 100"):
         training.prepare_training_data(features(spark, lake), "2024-02-01")
@@ -262,6 +297,27 @@ def test_user_lake(spark, user_tables, tmp_path):
     assert len(got) == 9
 
 
+def test_bad_and_absent_months_are_reported(spark, user_tables, tmp_path):
+    raw = tmp_path / "raw"
+    for prefix, df in user_tables.items():
+        df.write.parquet(str(raw / f"{prefix}_20240101.parquet"))
+    (raw / "lms_20240201.parquet").write_text("no parquet")
+    user_tables["lms"].drop("loan_status").write.parquet(str(raw / "lms_20240301.parquet"))
+    lake = Lake(str(tmp_path / "lake"))
+    medallion.run_user(spark, str(raw), lake, "2024-01-01", "2024-03-01")
+    bad = spark.read.parquet(lake.path("audit", "unreadable_extracts")).collect()
+    assert sorted((r["table_name"], r["path"][-20:]) for r in bad) == [
+        ("loan_daily", "lms_20240201.parquet"), ("loan_daily", "lms_20240301.parquet"),
+    ]
+    assert any("loan_status" in r["reason"] for r in bad)
+    missing = spark.read.parquet(lake.path("audit", "missing_months")).collect()
+    months = sorted(r["snapshot_date"].month for r in missing if r["table_name"] == "loan_daily")
+    assert months == [3]
+    assert spark.read.parquet(lake.path("audit", "rows")).count() > 0
+    with pytest.raises(ValueError, match="no readable extract"):
+        medallion.run_user(spark, str(tmp_path / "nothing"), lake)
+
+
 def test_command_line(spark, raw, tmp_path, monkeypatch):
     monkeypatch.setattr(cli, "get_spark", lambda *a, **k: spark)
     root = str(tmp_path / "lake")

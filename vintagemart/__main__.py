@@ -16,6 +16,7 @@ from vintagemart.sources.scratch import release
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="vintagemart")
     parser.add_argument("--lake", required=True, help="root folder of the lake")
+    parser.add_argument("--shared", help="folder for intermediate tables that all executors see")
     parser.add_argument("--master", help="Spark master, for runs without spark-submit")
     jobs = parser.add_subparsers(dest="job", required=True)
 
@@ -38,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = get_spark(f"vintagemart-{args.job}", master=args.master)
+    spark = get_spark(f"vintagemart-{args.job}", master=args.master, shared_folder=args.shared)
     try:
         _run(args, spark, Lake(args.lake))
     finally:
@@ -51,7 +52,8 @@ def _run(args: argparse.Namespace, spark: SparkSession, lake: Lake) -> None:
         return
     if args.job.endswith("medallion"):
         run = medallion.run if args.job == "medallion" else medallion.run_user
-        run(spark, args.raw, lake, args.first, args.last).show(1000, truncate=False)
+        run(spark, args.raw, lake, args.first, args.last)
+        print(lake.path("audit", ""))
         return
     if args.job == "tune":
         labels = store.read_snapshots(spark, lake.path("gold", "label_store"))

@@ -210,6 +210,27 @@ def model_metrics(
     )
 
 
+def skipped_groups(
+    df: DataFrame,
+    groups: Sequence[str] = ("snapshot_date",),
+    label: str = "actual_label",
+    score: str = "prediction_probability",
+    predicted: str = "prediction_binary",
+) -> DataFrame:
+    """The groups that ``performance_by_group`` has no row for, and why: rows,
+    unusable rows among them, reason."""
+    counts = scored_counts(df, groups, label, score, predicted)
+    tn, fp, fn, tp = (F.col(c) for c in _CELLS)
+    reason = F.when(F.col("n_bad") > 0, "rows without a label, score or class").when(
+        (fn + tp == 0) | (tn + fp == 0), "only one class"
+    )
+    found = counts.withColumn("reason", reason).where("reason is not null")
+    rows = df.groupBy(*groups).agg(F.count("*").alias("n_rows"))
+    same = [found[g].eqNullSafe(rows[g]) for g in groups]
+    joined = found.join(rows, same) if groups else found.join(rows)
+    return joined.select(*[found[g] for g in groups], "n_rows", "n_bad", "reason")
+
+
 def performance_by_group(
     df: DataFrame,
     groups: Sequence[str] = ("snapshot_date",),
@@ -220,7 +241,7 @@ def performance_by_group(
     """Full metric row per group.
 
     Groups with one class only, or with a missing label, score or class, have
-    no row.
+    no row; ``skipped_groups`` lists them.
     """
     counts = scored_counts(df, groups, label, score, predicted)
     tn, fp, fn, tp = (F.col(c) for c in _CELLS)

@@ -140,13 +140,38 @@ def missing_months(
     return aggregates.missing_snapshots(month_spine(spark, first, last), stored)
 
 
+def _store_reports(
+    spark: SparkSession,
+    lake: Lake,
+    counted: DataFrame,
+    tables: tuple[str, ...],
+    first: Day,
+    last: Day,
+) -> DataFrame:
+    """Store the row audit, and the months of the range that a bronze table lacks.
+
+    Months of an open range can't be missing. Returns the stored audit.
+    """
+    counted.write.mode("overwrite").parquet(lake.path("audit", "rows"))
+    if first and last:
+        absent = [
+            missing_months(spark, lake, "bronze", t, first, last).withColumn("table_name", F.lit(t))
+            for t in tables
+        ]
+        store.union_by_name(absent).write.mode("overwrite").parquet(
+            lake.path("audit", "missing_months")
+        )
+    return spark.read.parquet(lake.path("audit", "rows"))
+
+
 def run(
     spark: SparkSession, raw_root: str, lake: Lake, first: Day = None, last: Day = None
 ) -> DataFrame:
+    """All layers; returns the row audit, stored beside the missing months."""
     load_bronze(spark, raw_root, lake, first, last)
     build_silver(spark, lake, first, last)
     build_gold(spark, lake, first, last)
-    return audit(spark, lake)
+    return _store_reports(spark, lake, audit(spark, lake), TABLES, first, last)
 
 
 # --- user schema ----------------------------------------------------------
@@ -168,13 +193,25 @@ def user_silver(
 def load_user_bronze(
     spark: SparkSession, raw_root: str, lake: Lake, first: Day = None, last: Day = None
 ) -> None:
-    """Monthly parquet extracts, their text dates typed, partitioned by snapshot."""
+    """Monthly parquet extracts, their text dates typed, partitioned by snapshot.
+
+    A month that can't be read is left out and stored by name with the reason; the
+    other months go on. A table without any readable month is an error.
+    """
+    unreadable = []
     for table, (prefix, schema) in USER_FILES.items():
-        raw = spark.read.schema(schema).parquet(f"{raw_root.rstrip('/')}/{prefix}_*.parquet")
+        paths = files.matching(spark, f"{raw_root.rstrip('/')}/{prefix}_*.parquet")
+        good, bad = files.readable_parquet(spark, paths, schema)
+        unreadable += [(table, path, reason) for path, reason in sorted(bad.items())]
+        if not good:
+            raise ValueError(f"no readable extract {prefix}_*.parquet in {raw_root}: {bad}")
+        raw = spark.read.schema(schema).parquet(*good)
         dated = raw.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date"))
         store.write_snapshots(
             snapshots.snapshot_range(dated, first, last), lake.path("bronze", table)
         )
+    report = spark.createDataFrame(unreadable, "table_name string, path string, reason string")
+    report.write.mode("overwrite").parquet(lake.path("audit", "unreadable_extracts"))
 
 
 def run_user(
@@ -191,12 +228,13 @@ def run_user(
     loans = store.read_snapshots(spark, lake.path("silver", "loan_daily"), first, last)
     store.write_snapshots(user_gold(loans), lake.path("gold", "feature_store"))
     names = [(layer, table) for layer in ("bronze", "silver") for table in USER_FILES]
-    return aggregates.row_audit(
+    counted = aggregates.row_audit(
         {
             name: store.read_snapshots(spark, lake.path(*name))
             for name in [*names, ("gold", "feature_store")]
         }
     )
+    return _store_reports(spark, lake, counted, tuple(USER_FILES), first, last)
 
 
 def user_gold(loans_silver: DataFrame) -> DataFrame:

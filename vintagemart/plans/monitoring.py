@@ -19,6 +19,7 @@ from vintagemart.sources.scratch import materialize
 class Monitoring:
     matched: DataFrame
     performance: DataFrame
+    skipped: DataFrame
     drift: DataFrame
     decision: DataFrame
     report: DataFrame
@@ -44,15 +45,21 @@ def monitor(
     psi_limit: float = decisions.RETRAIN_PSI,
     **options,
 ) -> Monitoring:
-    """The join is written once; performance and drift read the written rows."""
+    """The join is written once; performance and drift read the written rows.
+
+    Without a single snapshot that has metrics there is nothing to decide on: an error.
+    """
     matched = materialize(
         joins.align_predictions(predictions, actuals, row_id=row_id), "matched"
     )
     columns.require_rows(matched, 1, "predictions with actuals")
     performance = materialize(evaluation.performance_by_group(matched), "performance")
+    columns.require_rows(performance, 1, "snapshots with valid metrics")
+    skipped = materialize(evaluation.skipped_groups(matched), "skipped")
     shifts = materialize(drift.psi_by_snapshot(matched, baseline), "drift")
     summary = decisions.monitoring_summary(performance, shifts)
     decision = decisions.retraining_decision(summary, auc_limit, psi_limit, **options)
+    decision = decision.withColumn("checked_timestamp", F.current_timestamp())
     report = decisions.decide(summary, auc_limit, psi_limit, **options).select(
         F.lit(as_date(report_date)).alias("report_date"),
         F.current_timestamp().alias("generated_timestamp"),
@@ -61,7 +68,7 @@ def monitor(
         "needs_retraining",
         F.col("reasons").alias("retraining_reasons"),
     )
-    return Monitoring(matched, performance, shifts, decision, report)
+    return Monitoring(matched, performance, skipped, shifts, decision, report)
 
 
 def run(
@@ -78,6 +85,9 @@ def run(
     result.performance.write.mode("overwrite").parquet(
         lake.path("gold", "monitoring/performance_metrics")
     )
+    result.skipped.write.mode("overwrite").parquet(
+        lake.path("gold", "monitoring/skipped_snapshots")
+    )
     result.drift.write.mode("overwrite").parquet(lake.path("gold", "monitoring/drift_metrics"))
     files.write_json_record(
         result.decision, lake.path("gold", "monitoring/threshold_check")

@@ -14,8 +14,14 @@ from vintagemart.plans.lake import Lake
 from vintagemart.sources import files, registry, store
 
 
-def latest_model(spark: SparkSession, lake: Lake) -> Row:
-    return registry.latest_or(registry.read_registry(spark, lake.registry), None).first()
+def latest_model(spark: SparkSession, lake: Lake, fallback: DataFrame | None = None) -> Row:
+    """The newest registered model, else the given record, else an error."""
+    return registry.latest_or(registry.read_registry(spark, lake.registry), fallback).first()
+
+
+def _version(model: Row) -> str:
+    """The model's AUC; a record without metrics has none."""
+    return str(model["metrics"]["auc"]) if model["metrics"] else "unknown"
 
 
 def prepare_inference_data(
@@ -45,7 +51,7 @@ def execute_predictions(
     fitted = PipelineModel.load(model["model_path"])
     scored = modelling.predict(fitted, modelling.with_vector(inference), keep)
     return modelling.stamp_predictions(
-        scored, model["model_name"], str(model["metrics"]["auc"]), prediction_date
+        scored, model["model_name"], _version(model), prediction_date
     )
 
 
@@ -56,22 +62,30 @@ def run(
     first: date | str,
     last: date | str,
     prediction_date: date | str,
+    fallback: DataFrame | None = None,
 ) -> DataFrame:
-    """All snapshots of the range in one job; returns the summary row."""
-    model = latest_model(spark, lake)
+    """All snapshots of the range in one job; returns the summary row.
+
+    Predictions of other prediction dates stay. ``fallback`` is the record of the
+    model to use while none is registered, such as the one just trained.
+    """
+    model = latest_model(spark, lake, fallback)
     inference = prepare_inference_data(features, first, last, model["feature_columns"])
     columns.require_rows(inference, 1, f"features from {first} to {last}")
     predictions = execute_predictions(model, inference, prediction_date)
     path = lake.path("gold", "predictions")
-    store.write_snapshots(predictions, path, ["model_name", "snapshot_date"])
+    store.write_snapshots(predictions, path, ["model_name", "prediction_date", "snapshot_date"])
     stored = store.read_snapshots(spark, path, first, last).where(
-        F.col("model_name") == model["model_name"]
+        (F.col("model_name") == model["model_name"])
+        & (F.col("prediction_date") == F.lit(as_date(prediction_date)))
     )
     summary = aggregates.prediction_summary(stored).select(
         F.lit(as_date(prediction_date)).alias("prediction_date"),
         "*",
         F.lit(model["model_name"]).alias("model_name"),
-        F.lit(model["metrics"]["auc"]).alias("model_auc"),
+        F.lit(model["metrics"]["auc"] if model["metrics"] else None)
+        .cast("double")
+        .alias("model_auc"),
     )
     files.write_json_record(
         summary, lake.path("gold", f"prediction_summary/{as_date(prediction_date):%Y%m%d}")

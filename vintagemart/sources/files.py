@@ -11,6 +11,42 @@ from pyspark.sql.types import StructType
 CSV_QUOTING = {"header": "true", "quote": '"', "escape": '"'}
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, whatever store it is in."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, system = _hadoop_path(spark, path)
+    return bool(system.exists(found))
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, in order."""
+    found, system = _hadoop_path(spark, pattern)
+    return sorted(str(s.getPath()) for s in system.globStatus(found) or [])
+
+
+def readable_parquet(
+    spark: SparkSession, paths: Sequence[str], schema: StructType
+) -> tuple[list[str], dict[str, str]]:
+    """The paths whose parquet footer can be read and has the columns of the schema,
+    and what is wrong with the others. One small read per path, of footers alone."""
+    good, bad = [], {}
+    for path in paths:
+        try:
+            absent = set(schema.names) - set(spark.read.parquet(path).columns)
+        except Exception as error:  # whatever a reader says about a broken file
+            bad[path] = str(error).strip().splitlines()[0][:300]
+            continue
+        if absent:
+            bad[path] = f"no column {sorted(absent)}"
+        else:
+            good.append(path)
+    return good, bad
+
+
 def scan_csv(
     spark: SparkSession, paths: str | Sequence[str], schema: StructType
 ) -> DataFrame:

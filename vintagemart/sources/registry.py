@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagemart import schemas
+from vintagemart.sources import files
 
 
 def register(df: DataFrame, path: str) -> None:
@@ -15,6 +16,9 @@ def register(df: DataFrame, path: str) -> None:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The registered models; no rows while there is no registry."""
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], schemas.MODEL_REGISTRY)
     return spark.read.schema(schemas.MODEL_REGISTRY).parquet(path)
 
 

@@ -121,8 +121,10 @@ _RATIOS = """
            coalesce(savings_balance / nullif(annual_income / 12, 0), 0) AS savings_to_income,
            coalesce(credit_card_balance / nullif(credit_card_limit, 0), 0) AS credit_utilization,
            annual_income / 12 - monthly_expenses AS monthly_discretionary_income,
-           coalesce(savings_balance + checking_balance, 0) AS total_liquid_assets,
-           coalesce(savings_balance + checking_balance - credit_card_balance, 0)
+           CASE WHEN isfinite(savings_balance + checking_balance)
+                THEN savings_balance + checking_balance ELSE 0 END AS total_liquid_assets,
+           CASE WHEN isfinite(savings_balance + checking_balance)
+                THEN savings_balance + checking_balance - credit_card_balance ELSE 0 END
                AS net_worth_estimate,
            coalesce(credit_score, 0) AS credit_score, employment_length_years
     FROM v_user_financials"""

@@ -16,7 +16,7 @@ def _labels(spark, sf_dir):
     return views.table(spark, sf_dir, "labels")
 
 
-def _quotas(label: str, rows: str) -> str:
+def quota_ctes(label: str, rows: str) -> str:
     """CTEs ending in q(label, n, n_test): a fifth for the test, by largest remainder."""
     return f"""WITH c AS (SELECT {label}, count(*) AS n FROM {rows} GROUP BY 1),
             t AS (SELECT *, sum(n) OVER () AS total,
@@ -30,7 +30,7 @@ def _quotas(label: str, rows: str) -> str:
 
 @query(
     "stratified_split",
-    f"""{_quotas("quality", "labels")}
+    f"""{quota_ctes("quality", "labels")}
        SELECT doc_id, l.quality,
               CASE WHEN row_number() OVER (PARTITION BY l.quality
                                            ORDER BY md5(doc_id || ':42'))
@@ -42,9 +42,26 @@ def stratified_split(spark, sf_dir):
     return split.stratified_split(df, ["doc_id"], "quality")
 
 
+@query(
+    "stratified_split_repeated_ids",
+    f"""{quota_ctes("l_linestatus", "lineitem")}
+       SELECT l_linestatus, split, count(*) AS n_rows FROM (
+           SELECT l.l_linestatus, CASE WHEN row_number() OVER (PARTITION BY l.l_linestatus
+                                              ORDER BY md5(l_orderkey || ':42'))
+                                       <= n_test THEN 'test' ELSE 'train' END AS split
+           FROM lineitem l JOIN q ON l.l_linestatus = q.l_linestatus)
+       GROUP BY ALL""",
+)
+def stratified_split_repeated_ids(spark, sf_dir):
+    """Ids that repeat are cut at the quota all the same."""
+    lines = views.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linestatus")
+    parts = split.stratified_split(lines, ["l_orderkey"], "l_linestatus")
+    return parts.groupBy("l_linestatus", "split").agg(F.count("*").alias("n_rows"))
+
+
 @query(
     "prepared_training_set",
-    f"""{_quotas("label", "(SELECT label FROM v_feat WHERE snapshot_date < DATE '2024-06-01')")}
+    f"""{quota_ctes("label", "(SELECT label FROM v_feat WHERE snapshot_date < DATE '2024-06-01')")}
        SELECT 'test' AS part, label, CAST(n_test AS BIGINT) AS n_rows FROM q
        UNION ALL SELECT 'train', label, CAST(max(n - n_test) OVER () AS BIGINT) FROM q""",
 )

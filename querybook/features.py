@@ -142,24 +142,40 @@ def drop_leakage_columns(spark, sf_dir):
     return columns.drop_leakage(views.feature(spark, sf_dir), "label")
 
 
+def _with_other_types(spark, sf_dir):
+    """Features that are no numbers: a date, an array, a map; and a flag."""
+    return views.feature(spark, sf_dir).withColumns(
+        {
+            "fe_day": F.col("snapshot_date"),
+            "fe_tags": F.array("fe_text"),
+            "fe_map": F.create_map(F.lit("size"), F.col("fe_size")),
+            "fe_flag": F.col("label") == 1,
+        }
+    )
+
+
 @query(
     "align_features_to_model",
-    """SELECT user_id, fe_price, 0.0::DOUBLE AS fe_absent, fe_text, fe_lines FROM v_feat_num""",
+    """SELECT user_id, fe_price, 0.0::DOUBLE AS fe_absent, 0.0::DOUBLE AS fe_day, fe_text,
+              0.0::DOUBLE AS fe_tags, fe_lines
+       FROM v_feat_num""",
 )
 def align_features_to_model(spark, sf_dir):
-    return columns.align_features(
-        views.feature(spark, sf_dir), ["fe_price", "fe_absent", "fe_text", "fe_lines"], ["user_id"]
-    )
+    names = ["fe_price", "fe_absent", "fe_day", "fe_text", "fe_tags", "fe_lines"]
+    return columns.align_features(_with_other_types(spark, sf_dir), names, ["user_id"])
 
 
 @query(
     "coerce_numeric_features",
-    """SELECT user_id, fe_size, fe_price, fe_lines, fe_quantity, fe_const, fe_size_copy, fe_text
+    """SELECT user_id, fe_size, fe_price, fe_lines, fe_quantity, fe_const, fe_size_copy, fe_text,
+              0.0::DOUBLE AS fe_day, 0.0::DOUBLE AS fe_tags, 0.0::DOUBLE AS fe_map,
+              CAST(label AS DOUBLE) AS fe_flag
        FROM v_feat_num""",
 )
 def coerce_numeric_features(spark, sf_dir):
-    df = columns.coerce_numeric(views.feature(spark, sf_dir), NUMERIC)
-    return df.select("user_id", *NUMERIC)
+    names = (*NUMERIC, "fe_day", "fe_tags", "fe_map", "fe_flag")
+    df = columns.coerce_numeric(_with_other_types(spark, sf_dir), names)
+    return df.select("user_id", *names)
 
 
 def _numeric(spark, sf_dir):

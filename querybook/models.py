@@ -1,7 +1,8 @@
 """Neighbours, oversampling, training, selection and scoring.
 
-Fitted models have no SQL text; their queries are checked by row counts here
-and by metric bounds in the tests.
+Fitted numbers have no SQL text. The queries of fitted models return what is
+determined all the same: which rows they saw, that metrics follow from their cells,
+that the optimum is one, and that every row is scored as it should be.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from querybook import views
+from querybook.evaluation import quota_ctes
 from querybook.registry import query
 from querybook.views import day_text
 from vintagemart.operators import (
@@ -30,23 +32,32 @@ _NEIGHBOURS = """
     FROM v_vec a JOIN v_vec b ON a.id <> b.id WHERE a.label = 1 AND b.label = 1"""
 
 
+# Small enough for many blocks, whatever the size of the tables.
+BLOCK_ROWS = 16
+
+
 def _minority(spark, sf_dir):
     return views.vector(spark, sf_dir).where(F.col("label") == 1)
 
 
-@query(
-    "knn_minority",
-    f"""SELECT id, CAST(rank AS INTEGER) AS rank, neighbour_id, round(distance, 6) AS distance
-        FROM ({_NEIGHBOURS}) WHERE rank <= 5""",
-)
+_KNN = f"""SELECT id, CAST(rank AS INTEGER) AS rank, neighbour_id, round(distance, 6) AS distance
+        FROM ({_NEIGHBOURS}) WHERE rank <= 5"""
+
+
+@query("knn_minority", _KNN)
 def knn_minority(spark, sf_dir):
     df = sampling.nearest_neighbours(_minority(spark, sf_dir))
     return df.withColumn("distance", F.round("distance", 6))
 
 
-@query(
-    "smote_draws",
-    f"""WITH near AS (SELECT * FROM ({_NEIGHBOURS}) WHERE rank <= 5),
+@query("knn_minority_blocked", _KNN)
+def knn_minority_blocked(spark, sf_dir):
+    """The search over many blocks, which large tables take."""
+    df = sampling.nearest_neighbours(_minority(spark, sf_dir), block_rows=BLOCK_ROWS)
+    return df.withColumn("distance", F.round("distance", 6))
+
+
+_DRAWS = f"""WITH near AS (SELECT * FROM ({_NEIGHBOURS}) WHERE rank <= 5),
              base AS (SELECT id, features, row_number() OVER (ORDER BY md5(id || ':base:42'))
                              AS base_index FROM v_vec WHERE label = 1),
              size AS (SELECT count(*) FILTER (label = 1) AS n_min,
@@ -56,29 +67,48 @@ def knn_minority(spark, sf_dir):
              picked AS (SELECT draw, base_index,
                                CAST('0x' || substr(t, 13, 12) AS BIGINT) % 5 + 1 AS rank,
                                CAST(CAST('0x' || substr(t, 1, 12) AS BIGINT) AS DOUBLE)
-                                   / 281474976710656.0::DOUBLE AS gap FROM draws)
-        SELECT draw, b.id AS base_id, n.neighbour_id, round(gap, 9) AS gap,
-               round(b.features[1] + gap * (e.features[1] - b.features[1]), 6) AS first_value,
-               round(b.features[64] + gap * (e.features[64] - b.features[64]), 6) AS last_value
-        FROM picked p JOIN base b ON p.base_index = b.base_index
-             JOIN near n ON n.id = b.id AND n.rank = p.rank
-             JOIN v_vec e ON e.id = n.neighbour_id""",
-)
-def smote_draws(spark, sf_dir):
-    """Each synthetic point with where it comes from."""
+                                   / 281474976710656.0::DOUBLE AS gap FROM draws),
+             drawn AS (SELECT draw, b.id AS base_id, n.neighbour_id, gap,
+                              list_transform(list_zip(b.features, e.features),
+                                             lambda p: p[1] + gap * (p[2] - p[1])) AS features
+                       FROM picked p JOIN base b ON p.base_index = b.base_index
+                            JOIN near n ON n.id = b.id AND n.rank = p.rank
+                            JOIN v_vec e ON e.id = n.neighbour_id)
+        SELECT draw, base_id, neighbour_id, round(gap, 9) AS gap,
+               round(features[1], 6) AS first_value,
+               round(list_sum(list_transform(list_zip(features, range(1, 65)),
+                                             lambda p: p[1] * p[2])), 4) AS weighted_sum
+        FROM drawn"""
+
+
+def _draws(spark, sf_dir, **blocks):
+    """Each synthetic point with where it comes from; the sum weighs every value by
+    its place."""
     df = views.vector(spark, sf_dir)
     sizes = {r["label"]: r["n_rows"] for r in aggregates.class_distribution(df).collect()}
-    drawn = sampling.synthesize(_minority(spark, sf_dir), sizes[1], sizes[0] - sizes[1])
+    drawn = sampling.synthesize(_minority(spark, sf_dir), sizes[1], sizes[0] - sizes[1], **blocks)
+    weighted = F.zip_with("features", F.sequence(F.lit(1), F.lit(64)), lambda x, i: x * i)
+    total = F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x)
     return drawn.select(
         "draw",
         "base_id",
         "neighbour_id",
         F.round("gap", 9).alias("gap"),
         F.round(F.col("features")[0], 6).alias("first_value"),
-        F.round(F.col("features")[63], 6).alias("last_value"),
+        F.round(total, 4).alias("weighted_sum"),
     )
 
 
+@query("smote_draws", _DRAWS)
+def smote_draws(spark, sf_dir):
+    return _draws(spark, sf_dir)
+
+
+@query("smote_draws_blocked", _DRAWS)
+def smote_draws_blocked(spark, sf_dir):
+    return _draws(spark, sf_dir, block_rows=BLOCK_ROWS)
+
+
 @query(
     "smote_oversample",
     """SELECT label, max(n) OVER () AS n_rows, n AS n_original
@@ -144,50 +174,84 @@ def _train_test(spark, sf_dir):
 
 
 def _tested(model, test, name):
-    predictions = modelling.predict(model, test, ["label"])
-    return evaluation.model_metrics(predictions).select(F.lit(name).alias("model_name"), "*")
+    """Test rows per class, and whether the metrics follow from the cells."""
+    m = evaluation.model_metrics(modelling.predict(model, test, ["label"]))
+    share = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+    same = lambda name, value: (F.abs(F.col(name) - value) < 1e-12).alias(f"{name}_follows")
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    return m.select(
+        F.lit(name).alias("model_name"),
+        (tn + fp).alias("test_negatives"),
+        (fn + tp).alias("test_positives"),
+        same("precision", share(tp, tp + fp)),
+        same("recall", share(tp, tp + fn)),
+        same("f1", share(2 * tp, 2 * tp + fp + fn)),
+        F.col("auc").between(0.0, 1.0).alias("auc_in_range"),
+    )
 
 
-def _logistic(train):
-    weighted = split.add_class_weights(train)
-    return modelling.fit(modelling.logistic_regression(train.count()), weighted)
+def _tested_sql(name: str, more: str = "") -> str:
+    return f"""{quota_ctes("label", "v_vec")}
+        SELECT '{name}' AS model_name,
+               CAST(max(n_test) FILTER (label = 0) AS BIGINT) AS test_negatives,
+               CAST(max(n_test) FILTER (label = 1) AS BIGINT) AS test_positives,
+               true AS precision_follows, true AS recall_follows, true AS f1_follows,
+               true AS auc_in_range{more} FROM q"""
+
 
+def _logistic(weighted):
+    return modelling.fit(modelling.logistic_regression(weighted.count()), weighted)
 
-@query("train_logistic")
+
+@query("train_logistic", _tested_sql("logistic_regression", ", true AS is_optimum"))
 def train_logistic(spark, sf_dir):
+    """The slope of the penalised loss is 0 in every coefficient."""
     train, test = _train_test(spark, sf_dir)
-    return _tested(_logistic(train), test, "logistic_regression")
+    weighted = split.add_class_weights(train)
+    model = _logistic(weighted)
+    steepest = modelling.logistic_gradient(model, weighted).agg(
+        (F.max(F.abs("gradient")) < 1e-3).alias("is_optimum")
+    )
+    return _tested(model, test, "logistic_regression").join(steepest)
 
 
-@query("train_forest")
+@query("train_forest", _tested_sql("random_forest"))
 def train_forest(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     model = modelling.fit(modelling.random_forest(), split.add_class_weights(train))
     return _tested(model, test, "random_forest")
 
 
-TUNING_DRAWS = 2
+# The whole of this grid is searched; a job draws from the full one.
+TUNING_GRID = {"maxIter": [5, 10], "maxDepth": [2, 3], "stepSize": [0.1]}
 
 
-@query("tune_gbt")
+@query(
+    "tune_gbt",
+    f"""{quota_ctes("label", "v_vec")}
+        SELECT max_iter, max_depth, 0.1::DOUBLE AS step_size, true AS has_score,
+               (SELECT CAST(sum(n - n_test) AS BIGINT) FROM q) AS n_train
+        FROM (VALUES (5), (10)) a(max_iter), (VALUES (2), (3)) b(max_depth)""",
+)
 def tune_gbt(spark, sf_dir):
-    """Each tried setting with its cross-validated score."""
+    """Each setting of the grid with whether it got a cross-validated score."""
     train, _ = _train_test(spark, sf_dir)
-    tuned, settings = modelling.tune_boosted_trees(train, ["id"], draws=TUNING_DRAWS)
+    tuned, settings = modelling.tune_boosted_trees(train, ["id"], grid=TUNING_GRID)
     rows = [
-        (i, float(score), s["maxIter"], s["maxDepth"], s["stepSize"])
-        for i, (score, s) in enumerate(zip(tuned.avgMetrics, settings))
+        (s["maxIter"], s["maxDepth"], s["stepSize"], 0 <= float(score) <= 1)
+        for score, s in zip(tuned.avgMetrics, settings)
     ]
-    return spark.createDataFrame(
-        rows, "setting int, cv_score double, max_iter int, max_depth int, step_size double"
+    scores = spark.createDataFrame(
+        rows, "max_iter int, max_depth int, step_size double, has_score boolean"
     )
+    return scores.join(train.agg(F.count("*").alias("n_train")))
 
 
 def _scored(spark, sf_dir):
     """A model that was saved and loaded again scores every row."""
     train, _ = _train_test(spark, sf_dir)
     path = scratch_path(spark, "model")
-    _logistic(train).write().save(path)
+    _logistic(split.add_class_weights(train)).write().save(path)
     rows = modelling.with_vector(views.vector(spark, sf_dir))
     predictions = modelling.predict(
         PipelineModel.load(path), rows, ["Customer_ID", "snapshot_date"]
@@ -195,19 +259,69 @@ def _scored(spark, sf_dir):
     return modelling.stamp_predictions(predictions, "logistic_regression", "1.0", "2025-01-01")
 
 
-@query("score_table")
+@query(
+    "score_table",
+    """SELECT Customer_ID, CAST(snapshot_date AS VARCHAR) AS snapshot_date,
+              true AS probability_in_range, true AS class_follows,
+              'logistic_regression' AS model_name, '1.0' AS model_version,
+              '2025-01-01' AS prediction_date
+       FROM v_vec""",
+)
 def score_table(spark, sf_dir):
-    return day_text(_scored(spark, sf_dir), "snapshot_date", "prediction_date").drop(
-        "predicted_timestamp"
+    """Every row once, under its own id and date; its class follows from its probability."""
+    scored = day_text(_scored(spark, sf_dir), "snapshot_date", "prediction_date")
+    probability = F.col("prediction_probability")
+    return scored.select(
+        "Customer_ID",
+        "snapshot_date",
+        probability.between(0.0, 1.0).alias("probability_in_range"),
+        (F.col("prediction_binary") == (probability > 0.5).cast("int")).alias("class_follows"),
+        "model_name",
+        "model_version",
+        "prediction_date",
     )
 
 
-@query("score_backfill")
+_PER_MONTH = """
+    SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS n_predictions,
+           true AS mean_in_range, true AS rate_follows{more}
+    FROM v_vec GROUP BY snapshot_date"""
+
+
+def _per_month(stored, keys):
+    summary = aggregates.prediction_summary(stored, keys)
+    rate = F.col("predicted_defaults") / F.col("n_predictions")
+    return summary.select(
+        *keys,
+        "n_predictions",
+        F.col("mean_probability").between(0.0, 1.0).alias("mean_in_range"),
+        (F.abs(F.col("default_rate") - rate) < 1e-12).alias("rate_follows"),
+    )
+
+
+@query("score_backfill", _PER_MONTH.format(more=", 'logistic_regression' AS model_name"))
 def score_backfill(spark, sf_dir):
     """All months scored and stored in one job, then summarised from the store."""
     path = scratch_path(spark, "predictions")
     store.write_snapshots(_scored(spark, sf_dir), path, ["model_name", "snapshot_date"])
     stored = store.read_snapshots(spark, path)
-    return day_text(
-        aggregates.prediction_summary(stored, ["model_name", "snapshot_date"]), "snapshot_date"
-    )
+    return day_text(_per_month(stored, ["model_name", "snapshot_date"]), "snapshot_date")
+
+
+@query(
+    "score_two_dates",
+    " UNION ALL ".join(
+        _PER_MONTH.format(more=f", '{day}' AS prediction_date")
+        for day in ("2025-01-01", "2025-02-01")
+    ),
+)
+def score_two_dates(spark, sf_dir):
+    """The same months scored at two dates: the second run keeps the first one's rows."""
+    path = scratch_path(spark, "predictions")
+    scored = materialize(_scored(spark, sf_dir), "scored")
+    for day in ("2025-01-01", "2025-02-01", "2025-02-01"):
+        stamped = scored.withColumn("prediction_date", F.lit(day).cast("date"))
+        store.write_snapshots(stamped, path, ["model_name", "prediction_date", "snapshot_date"])
+    stored = store.read_snapshots(spark, path)
+    keys = ["prediction_date", "snapshot_date"]
+    return day_text(_per_month(stored, keys), *keys)

@@ -282,3 +282,30 @@ def refresh_policy_check(spark, sf_dir):
         evaluation.performance_by_group(scored), drift.psi_by_snapshot(scored, BASELINE)
     )
     return decisions.refresh_policy_check(inputs).withColumn("measured", F.round("measured", 8))
+
+
+@query(
+    "monitoring_skipped",
+    """SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS n_rows,
+              count(*) FILTER (actual_label IS NULL) AS n_bad,
+              CASE WHEN count(*) FILTER (actual_label IS NULL) > 0
+                   THEN 'rows without a label, score or class' ELSE 'only one class' END AS reason
+       FROM (SELECT snapshot_date,
+                    CASE WHEN day(snapshot_date) % 3 = 0 AND event_id % 50 = 0 THEN NULL
+                         WHEN day(snapshot_date) % 3 = 1 THEN 0
+                         ELSE actual_label END AS actual_label FROM v_pred)
+       GROUP BY snapshot_date
+       HAVING count(*) FILTER (actual_label IS NULL) > 0
+              OR max(actual_label) = min(actual_label)""",
+)
+def monitoring_skipped(spark, sf_dir):
+    """Days without metrics: a label is missing, or all rows have one class."""
+    third = F.dayofmonth("snapshot_date") % 3
+    number = F.regexp_extract("loan_id", "[0-9]+", 0).cast("bigint")
+    label = (
+        F.when((third == 0) & (number % 50 == 0), F.lit(None).cast("int"))
+        .when(third == 1, 0)
+        .otherwise(F.col("actual_label"))
+    )
+    scored = views.prediction(spark, sf_dir).withColumn("actual_label", label)
+    return day_text(evaluation.skipped_groups(scored), "snapshot_date")

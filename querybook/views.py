@@ -247,7 +247,7 @@ def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-number amounts with zero incomes, zero limits and missing savings."""
+    """Whole-number amounts with zero incomes and limits, missing savings, infinite balances."""
     key = F.col("c_custkey")
     customer, month = _customer_keys()
     balance = F.floor(F.abs("c_acctbal")).cast("double")
@@ -258,7 +258,9 @@ def user_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 31 == 0, F.lit(None).cast("double"))
         .otherwise((key % 5000).cast("double"))
         .alias("savings_balance"),
-        (key % 700).cast("double").alias("checking_balance"),
+        F.when(key % 43 == 0, F.lit(float("inf")))
+        .otherwise((key % 700).cast("double"))
+        .alias("checking_balance"),
         F.when(key % 20 == 0, F.lit(0.0))
         .otherwise((key % 3000).cast("double"))
         .alias("credit_card_balance"),
@@ -321,7 +323,11 @@ def feature(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1.0).alias("fe_const"),
         (F.col("p_size") * 2 + 1).cast("double").alias("fe_size_copy"),
         _pick(
-            [(key % 9 == 0, F.lit("junk")), (key % 10 == 0, F.lit(None).cast("string"))],
+            [
+                (key % 9 == 0, F.lit("junk")),
+                (key % 10 == 0, F.lit(None).cast("string")),
+                (key % 13 == 0, F.lit("5d")),
+            ],
             (key % 50).cast("string"),
         ).alias("fe_text"),
         (key % 90).cast("int").alias("dpd"),
@@ -491,7 +497,8 @@ VIEW_SQL = {
                CAST(c_custkey % 900 AS DOUBLE) AS monthly_expenses,
                CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE CAST(c_custkey % 5000 AS DOUBLE) END
                    AS savings_balance,
-               CAST(c_custkey % 700 AS DOUBLE) AS checking_balance,
+               CASE WHEN c_custkey % 43 = 0 THEN 'Infinity'::DOUBLE
+                    ELSE CAST(c_custkey % 700 AS DOUBLE) END AS checking_balance,
                CASE WHEN c_custkey % 20 = 0 THEN 0.0::DOUBLE
                     ELSE CAST(c_custkey % 3000 AS DOUBLE) END AS credit_card_balance,
                CASE WHEN c_custkey % 7 = 0 THEN 0.0::DOUBLE ELSE 5000.0::DOUBLE END
@@ -519,7 +526,7 @@ VIEW_SQL = {
                CAST(n_lines AS DOUBLE) AS fe_lines, quantity AS fe_quantity,
                1.0::DOUBLE AS fe_const, CAST(p_size * 2 + 1 AS DOUBLE) AS fe_size_copy,
                CASE WHEN p_partkey % 9 = 0 THEN 'junk' WHEN p_partkey % 10 = 0 THEN NULL
-                    ELSE CAST(p_partkey % 50 AS VARCHAR) END AS fe_text,
+                    WHEN p_partkey % 13 = 0 THEN '5d' ELSE CAST(p_partkey % 50 AS VARCHAR) END AS fe_text,
                CAST(p_partkey % 90 AS INTEGER) AS dpd, CAST(p_partkey % 11 AS INTEGER) AS mob,
                CAST(p_partkey % 1000 AS DOUBLE) AS balance, CAST(p_size % 2 AS INTEGER) AS label
         FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n_lines, sum(l_quantity) AS quantity
@@ -530,8 +537,10 @@ VIEW_SQL = {
                coalesce(TRY_CAST(fe_text AS DOUBLE), 0) AS fe_text
         FROM v_feat""",
     "v_vec": """
-        SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS features,
-               CAST(label < 2 AS INTEGER) AS label
+        SELECT vec_id AS id, 'CUS_' || vec_id AS Customer_ID,
+               CAST(DATE '2023-01-01' + to_months(CAST(vec_id % 24 AS INTEGER)) AS DATE)
+                   AS snapshot_date,
+               CAST(embedding AS DOUBLE[]) AS features, CAST(label < 2 AS INTEGER) AS label
         FROM embeddings""",
     # Exact AUC per snapshot: distinct scores first, then the running count of
     # the negatives scored lower.

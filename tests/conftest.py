@@ -12,6 +12,7 @@ for folder in (ROOT, ROOT / "tests"):
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from vintagemart.session import get_spark
+    from vintagemart.sources.scratch import release
 
     session = get_spark(
         "tests",
@@ -24,6 +25,7 @@ def spark(tmp_path_factory):
         },
     )
     yield session
+    release(session)
     session.stop()
 
 

@@ -7,7 +7,6 @@ import __spark_entry__ as contract
 
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
-SLOW = {"tune_gbt", "train_forest"}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +19,7 @@ def test_same_rows_as_sql(spark, sf_dir, duck, name):
     assert differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vintagemart.llm.shingles import REMEMBERED_WORDS, WordHashes, text_bytes
+from vintagemart.llm.worker import per_worker
 from vintagemart.sources.scratch import materialize
 
 CLASSES = 48
@@ -46,7 +47,7 @@ class WordIds(dict):
     """Lower-case word -> its id; words beyond the vocabulary go by length and shape."""
 
     def __init__(self, vocabulary: dict[int, int]) -> None:
-        self.vocabulary, self.hashes = vocabulary, WordHashes()
+        self.vocabulary, self.hashes = vocabulary, per_worker("word_hashes", WordHashes)
 
     def __missing__(self, word: bytes) -> int:
         found = self.vocabulary.get(self.hashes[word])
@@ -201,7 +202,7 @@ def document_scores(network: Network, texts: list[np.ndarray]) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = per_worker("word_hashes", WordHashes)
     held: list[np.ndarray] = []
     size = 0
 

@@ -37,6 +37,7 @@ from vintagemart.llm.shingles import (
     shingle_hashes,
     text_bytes,
 )
+from vintagemart.llm.worker import per_worker
 from vintagemart.sources.scratch import materialize
 
 # Slots of the word-count sketch (4 MB); its size doesn't depend on the data.
@@ -61,7 +62,7 @@ def _slots(words: np.ndarray) -> np.ndarray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = per_worker("word_hashes", WordHashes)
     counts = np.zeros(SKETCH_SLOTS, np.int64)
     held: list[np.ndarray] = []
     size = 0
@@ -123,7 +124,7 @@ def _name(tokens: np.ndarray) -> bytes | None:
 
 def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = per_worker("word_hashes", WordHashes)
         for batch in batches:
             sizes, names, firsts, seconds = [], [], [], []
             for text in text_bytes(batch.column("text")):
@@ -150,7 +151,7 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
 
 def _sets(size: int, rarity: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = per_worker("word_hashes", WordHashes)
         for batch in batches:
             nodes = batch.column("node").to_pylist()
             found = [_ordered(hashes.of(t), size, rarity)[0] for t in text_bytes(batch.column("text"))]

@@ -19,7 +19,8 @@ rank and length up in the plan. The result is that of sequential best fit decrea
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pandas as pd
@@ -31,12 +32,16 @@ from pyspark.sql import types as T
 
 from vintagemart.llm.ngram_join import bounded_join
 from vintagemart.llm.shingles import text_bytes
+from vintagemart.llm.worker import per_worker
 from vintagemart.sources.scratch import materialize
 
-# Word forms remembered per task before the memory starts anew.
-REMEMBERED_FORMS = 1 << 19
+# Word forms remembered per worker before the memory starts anew.
+REMEMBERED_FORMS = 1_200_000
+# Marks that may follow a word; the apostrophe isn't one, as it may begin an ending.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LAST_LATIN = "\u024f"
 # Bytes of ids that a task hands over at once.
-HANDED_OVER = 8 << 20
+HANDED_OVER = 4 << 20
 
 
 class TokenIds(dict):
@@ -47,42 +52,89 @@ class TokenIds(dict):
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model without the steps that change nothing in plain letters.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def packed(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
+    def _learn_words(self, forms: list[bytes], text: str) -> None:
+        """Forms of letters alone, in lower case in one text: each goes up to the next
+        id that ends a word."""
+        ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+        data, start = ids.tobytes(), 0
+        for form, end in zip(forms, ends.tolist(), strict=True):
+            self[form] = data[start:end]
+            start = end
+
     def learn(self, forms: set[bytes]) -> None:
         stems, marked = set(), []
         for form in forms:
-            # A full stop or comma after a letter is a token of its own.
-            if len(form) > 1 and form[-1] in b".," and 97 <= form[-2] <= 122:
-                marked.append(form)
-                stems |= {form[:-1], form[-1:]}
-            else:
+            stem = form.rstrip(MARKS)
+            if len(stem) == len(form):
                 stems.add(form)
-        new = list(stems.difference(self))
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            coded = self.tokenizer.encode_batch_fast([s.decode() for s in part], add_special_tokens=False)
-            for stem, found in zip(part, coded):
-                self[stem] = np.array(found.ids, "<u4").tobytes()
-        for form in marked:
-            self[form] = self[form[:-1]] + self[form[-1:]]
+            # Marks after a letter or digit are a token of their own.
+            elif stem and (97 <= stem[-1] <= 122 or stem.decode()[-1].isalnum()):
+                marked.append((form, stem))
+                stems.add(stem)
+            else:
+                self[form] = self.packed(form.decode())
+        plain, latin, lower = [], [], []
+        for stem in stems.difference(self):
+            if stem.isalpha():
+                plain.append(stem)
+                continue
+            text = stem.decode()
+            # Latin letters have one lower-case letter each, and are composed already.
+            if text.isalpha() and max(text) <= LAST_LATIN and len(text) == len(low := text.lower()):
+                latin.append(stem)
+                lower.append(low)
+            else:
+                self[stem] = self.packed(text)
+        for start in range(0, len(plain), 512):
+            part = plain[start : start + 512]
+            self._learn_words(part, b" ".join(part).decode())
+        for start in range(0, len(latin), 512):
+            self._learn_words(latin[start : start + 512], " ".join(lower[start : start + 512]))
+        for form, stem in marked:
+            marks = form[len(stem) :]
+            if marks not in self:
+                self[marks] = self.packed(marks.decode())
+            self[form] = self[stem] + self[marks]
 
     def of(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """The ids of each text; null counts as empty."""
         for start in range(0, len(texts), 256):
             part = [t or b"" for t in texts[start : start + 256]]
-            forms = [None if b"<|" in t else t.lower().split() for t in part]
             if len(self) > REMEMBERED_FORMS:
                 self.clear()
-            self.learn(set(chain.from_iterable(f for f in forms if f)).difference(self))
-            for text, words in zip(part, forms):
-                yield self.packed(text.decode()) if words is None else b"".join(map(self.__getitem__, words))
+            forms = [[] if b"<|" in t else t.lower().split() for t in part]
+            found = [list(map(self.get, words)) for words in forms]
+            gaps = [(words, ids) for words, ids in zip(forms, found) if None in ids]
+            if gaps:
+                self.learn(set(chain.from_iterable(compress(w, map(is_, i, repeat(None))) for w, i in gaps)))
+            for words, ids in gaps:
+                at = -1
+                for _ in range(ids.count(None)):
+                    at = ids.index(None, at + 1)
+                    ids[at] = self[words[at]]
+            for text, ids in zip(part, found):
+                yield self.packed(text.decode()) if b"<|" in text else b"".join(ids)
 
 
 def _pieces(path: str, capacity: int, end_id: int | None) -> Callable:
@@ -90,7 +142,7 @@ def _pieces(path: str, capacity: int, end_id: int | None) -> Callable:
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = TokenIds(path)
+        tokens = per_worker(f"token_ids:{path}", lambda: TokenIds(path))
         context = TaskContext.get()
         part = context.partitionId() if context else 0
         met = np.zeros(capacity + 1, np.int64)
@@ -113,7 +165,9 @@ def _pieces(path: str, capacity: int, end_id: int | None) -> Callable:
 
         for batch in batches:
             held, size = [], 0
-            for at, packed in enumerate(tokens.of(text_bytes(batch.column(1)))):
+            slices = (batch.column(1).slice(start, 256) for start in range(0, len(batch), 256))
+            texts = chain.from_iterable(tokens.of(text_bytes(s)) for s in slices)
+            for at, packed in enumerate(texts):
                 packed += end
                 for piece, start in enumerate(range(0, len(packed), width)):
                     cut = packed[start : start + width]

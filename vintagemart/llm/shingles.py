@@ -12,14 +12,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-# Words remembered per task before the memory starts anew.
+# Words remembered per worker before the memory starts anew.
 REMEMBERED_WORDS = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash, worked out once per word and task."""
+    """word -> 64-bit hash, worked out once per word and worker."""
 
     def __missing__(self, word: bytes) -> int:
         value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")

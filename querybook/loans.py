@@ -81,20 +81,30 @@ def silver_loan_dpd(spark, sf_dir):
     """SELECT loan_id, installments_missed, CAST(first_missed_date AS VARCHAR) AS first_missed_date,
               CASE WHEN overdue_amt > 0
                    THEN CAST(date_diff('day', first_missed_date, snapshot_date) AS INTEGER)
-                   ELSE 0 END AS dpd
+                   ELSE 0 END AS dpd,
+              CASE WHEN loan_key % 7 = 0 THEN 0 ELSE paid_amt END AS paid_amt,
+              CASE WHEN loan_key % 9 = 0 THEN 0 ELSE balance END AS balance
        FROM (SELECT *, CASE WHEN installments_missed > 0
                             THEN CAST(snapshot_date - to_months(installments_missed) AS DATE)
                             END AS first_missed_date
-             FROM (SELECT loan_id, snapshot_date, overdue_amt,
+             FROM (SELECT loan_id, loan_key, snapshot_date, overdue_amt, paid_amt, balance,
                           coalesce(CAST(ceil(CAST(overdue_amt AS DOUBLE)
                               / nullif(CAST(due_amt AS DOUBLE), 0)) AS INTEGER), 0)
                               AS installments_missed
                    FROM v_loan))""",
 )
 def silver_loan_dpd_unguarded(spark, sf_dir):
-    df = snapshots.loan_arrears(views.loan(spark, sf_dir), guard_zero_due=False)
+    """Amounts that are missing are 0 in the whole frame."""
+    key = F.regexp_extract("loan_id", "[0-9]+", 0).cast("bigint")
+    raw = views.loan(spark, sf_dir).withColumns(
+        {
+            "paid_amt": F.when(key % 7 != 0, F.col("paid_amt")),
+            "balance": F.when(key % 9 != 0, F.col("balance")),
+        }
+    )
+    df = snapshots.loan_arrears(raw, guard_zero_due=False)
     return day_text(
-        df.select("loan_id", "installments_missed", "first_missed_date", "dpd"),
+        df.select("loan_id", "installments_missed", "first_missed_date", "dpd", "paid_amt", "balance"),
         "first_missed_date",
     )
 

@@ -1,4 +1,7 @@
-"""Explicit schemas, so that no scan needs an inference pass."""
+"""Explicit schemas, so that no scan needs an inference pass.
+
+Fixed values: column names and types of the extracts and stores.
+"""
 
 from __future__ import annotations
 
@@ -80,30 +83,6 @@ FINANCIALS_RAW = _struct(
     ("snapshot_date", DateType()),
 )
 
-
-def clickstream_raw(n_features: int) -> StructType:
-    """``fe_1 .. fe_n`` numeric click features; their number varies by extract."""
-    return _struct(
-        ("Customer_ID", StringType()),
-        *[(f"fe_{i}", IntegerType()) for i in range(1, n_features + 1)],
-        ("snapshot_date", DateType()),
-    )
-
-
-CLICKS_SILVER = _struct(
-    ("Customer_ID", StringType()),
-    ("snapshot_date", DateType()),
-    ("total_clicks", LongType()),
-)
-
-LABEL_STORE = _struct(
-    ("loan_id", StringType()),
-    ("Customer_ID", StringType()),
-    ("label", IntegerType()),
-    ("label_def", StringType()),
-    ("snapshot_date", DateType()),
-)
-
 # --- user schema ----------------------------------------------------------
 
 USER_LOANS = _struct(
@@ -125,13 +104,6 @@ USER_CLICKS = _struct(
     ("snapshot_date", StringType()),
 )
 
-USER_CLICKS_SILVER = _struct(
-    ("user_id", StringType()),
-    ("total_events", LongType()),
-    ("event_breakdown", MapType(StringType(), LongType())),
-    ("snapshot_date", DateType()),
-)
-
 USER_ATTRIBUTES = _struct(
     ("user_id", StringType()),
     ("age", LongType()),
@@ -161,18 +133,6 @@ USER_FINANCIALS = _struct(
 
 # --- model lifecycle ------------------------------------------------------
 
-PREDICTIONS = _struct(
-    ("Customer_ID", StringType()),
-    ("loan_id", StringType()),
-    ("snapshot_date", DateType()),
-    ("prediction_probability", DoubleType()),
-    ("prediction_binary", IntegerType()),
-    ("model_name", StringType()),
-    ("model_version", StringType()),
-    ("prediction_date", DateType()),
-    ("predicted_timestamp", TimestampType()),
-)
-
 METRICS = _struct(
     ("auc", DoubleType()),
     ("precision", DoubleType()),

@@ -5,7 +5,9 @@ hashed words (present or not) and a few shape rates, is shared by all grades; K-
 ordered thresholds cut the score: ``P(grade >= k) = sigmoid(score - threshold_k)``.
 The sum of these tail probabilities is the expected grade, and one of them selects.
 
-Features are worked out inside tasks. The fit sees a bounded sample of the rated
+A word takes part only if its presence goes with a grade far beyond chance: words
+that don't would add up to noise that grows with the length of a text. Features are
+worked out inside tasks. The fit sees a bounded sample of the rated
 documents (``SAMPLE_ROWS``, the smallest hashes of their ids), as sparse rows of
 numbers; every document is scored, on its whole text.
 """
@@ -27,11 +29,16 @@ from vintagemart.llm.worker import per_worker
 
 # Rated documents that the fit may see.
 SAMPLE_ROWS = 20_000
-# Hashed features; a word counts from so many sampled documents on.
+# Hashed features; a word counts if it is in so many sampled documents, and if in one
+# grade it is so many standard deviations more or less frequent than by chance.
 BITS = 20
 LEAST_DOCUMENTS = 5
+LEAST_DEVIATION = 6.0
+# Shape rates are cut at so many standard deviations.
+SHAPE_LIMIT = 30.0
 SHAPES = ("capitals", "marks", "bars", "digits", "repeats", "distinct", "word_length", "log_words")
 RIDGE = 1.0
+SHAPE_RIDGE = 0.01
 
 _CAPITALS = bytes(range(65, 91))
 _MARKS = b"!#$%&*@^~<>{}[]\\=+_?"
@@ -97,7 +104,7 @@ class OrdinalModel:
         if not len(slots):
             return np.zeros(len(self.thresholds))
         score = self.weights[slots].sum(dtype=np.float64)
-        score += ((shape - self.centre) / self.scale).clip(-8, 8) @ self.shape_weights
+        score += ((shape - self.centre) / self.scale).clip(-SHAPE_LIMIT, SHAPE_LIMIT) @ self.shape_weights
         return _sigmoid(score - self.thresholds)
 
 
@@ -123,8 +130,8 @@ def _loss(params: np.ndarray, data: tuple, cuts: int) -> tuple[float, np.ndarray
     by_cut = to_cut[:, 1 : cuts + 1].sum(0)
     to_steps = np.concatenate([[by_cut.sum()], np.cumsum(by_cut[::-1])[::-1][1:] * jumps])
     to_weights = np.bincount(columns, to_score[rows], size) + RIDGE * weights
-    to_other = shape.T @ to_score + RIDGE * other
-    value = -np.log(chance).sum() + RIDGE * ((weights**2).sum() + (other**2).sum()) / 2
+    to_other = shape.T @ to_score + SHAPE_RIDGE * other
+    value = -np.log(chance).sum() + (RIDGE * (weights**2).sum() + SHAPE_RIDGE * (other**2).sum()) / 2
     return value, np.concatenate([to_steps, to_weights, to_other])
 
 
@@ -161,6 +168,17 @@ def _minimise(loss: Callable, start: np.ndarray, rounds: int = 120, memory: int
     return x
 
 
+def _telling(slots: np.ndarray, grades: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Which slots go with a grade: ``slots`` and ``grades`` of every (document, word)."""
+    there = np.bincount(slots, minlength=1 << BITS)
+    most = np.zeros(1 << BITS)
+    for grade, share in enumerate(shares):
+        own = np.bincount(slots[grades == grade], minlength=1 << BITS)
+        spread = np.sqrt(there * share * (1 - share) + 1e-9)
+        np.maximum(most, np.abs(own - there * share) / spread, out=most)
+    return (there >= LEAST_DOCUMENTS) & (most >= LEAST_DEVIATION)
+
+
 def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
     """Fit on ``ratings`` (id, ``grade`` 0, 1, ...). Ratings with a null grade or
     without a document are left out; a document rated twice counts twice. Grades up
@@ -180,13 +198,13 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     lists = found.column("slots").combine_chunks()
     slots = lists.flatten().to_numpy()
     rows_of = np.repeat(np.arange(len(grade)), lists.value_lengths().to_numpy())
-    frequent = np.bincount(slots, minlength=1 << BITS) >= LEAST_DOCUMENTS
-    known = np.flatnonzero(frequent)
-    place = np.cumsum(frequent) - 1
-    used = frequent[slots]
+    telling = _telling(slots, grade[rows_of], np.bincount(grade) / len(grade))
+    known = np.flatnonzero(telling)
+    place = np.cumsum(telling) - 1
+    used = telling[slots]
     shape = found.column("shape").combine_chunks().flatten().to_numpy().reshape(-1, len(SHAPES))
     centre, scale = shape.mean(0), np.maximum(shape.std(0), 1e-6)
-    shape = ((shape - centre) / scale).clip(-8, 8)
+    shape = ((shape - centre) / scale).clip(-SHAPE_LIMIT, SHAPE_LIMIT)
     data = (rows_of[used], place[slots[used]], shape, grade, len(known))
     start = np.zeros(cuts + len(known) + len(SHAPES))
     params = _minimise(lambda p: _loss(p, data, cuts), start)

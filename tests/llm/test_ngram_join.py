@@ -3,10 +3,12 @@
 import random
 
 import pytest
+from oracle import connect, differences
 from pyspark.sql import functions as F
 
 from vintagemart.llm import ngram_join
 from vintagemart.llm.ngram_join import jaccard_classes, one_per_class, prefix_length
+from vintagemart.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "doc_id long, text string, n long, component string"
 
@@ -140,3 +142,8 @@ def test_similarity_out_of_range(spark):
 def test_other_columns_are_not_read(spark):
     df = spark.createDataFrame([(1, "a b c", 1, "x")], SCHEMA).withColumn("node", F.lit(1)).withColumn("id", F.lit(2))
     assert [tuple(r) for r in jaccard_classes(df).collect()] == [(1, 1, 1, 0)]
+
+
+def test_query_as_sql(spark, sf_dir):
+    name = "op8_ngram_jaccard_join"
+    assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) is None

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vintagemart.llm.shingles import WordHashes, shingle_hashes
-from vintagemart.llm.worker import per_worker
+from vintagemart.llm.worker import per_worker, slices
 
 # Characters of item texts that one block holds on average.
 BLOCK_CHARS = 16_000_000
@@ -121,7 +121,7 @@ def _document_shingles(index: ItemIndex, column: pa.Array, hashes: WordHashes) -
 def _pairs(item_ids: pa.Array, index: ItemIndex) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word_hashes", WordHashes)
-        for batch in batches:
+        for batch in slices(batches):
             rows, items, counts = [], [], []
             for at, shingles in enumerate(_document_shingles(index, batch.column(1), hashes)):
                 found, shared = index.search(shingles)
@@ -146,7 +146,7 @@ def _pairs(item_ids: pa.Array, index: ItemIndex) -> Callable:
 def _clean(index: ItemIndex, text_at: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word_hashes", WordHashes)
-        for batch in batches:
+        for batch in slices(batches):
             keep = [
                 not len(index.search(shingles)[0])
                 for shingles in _document_shingles(index, batch.column(text_at), hashes)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vintagemart.llm.shingles import REMEMBERED_WORDS, WordHashes, text_bytes
-from vintagemart.llm.worker import per_worker
+from vintagemart.llm.worker import per_worker, slices
 from vintagemart.sources.scratch import materialize
 
 CLASSES = 48
@@ -212,7 +212,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"]
         )
 
-    for batch in batches:
+    for batch in slices(batches):
         for text in text_bytes(batch.column(0)):
             held.append(hashes.of(text))
             size += len(held[-1])
@@ -237,7 +237,7 @@ def vocabulary(texts: DataFrame) -> tuple[dict[int, int], int]:
 def _shard_ids(words: dict[int, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds(words)
-        for batch in batches:
+        for batch in slices(batches):
             found = [ids.of(t).tobytes() for t in text_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("shard"), pa.array(found, pa.binary())], names=["shard", "ids"]
@@ -300,7 +300,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
 def _score(words: dict[int, int], network: Network) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds(words)
-        for batch in batches:
+        for batch in slices(batches):
             held: list[np.ndarray] = []
             scores, sizes, waiting = [], [], 0
             texts = text_bytes(batch.column(1))

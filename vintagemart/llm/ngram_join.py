@@ -37,16 +37,18 @@ from vintagemart.llm.shingles import (
     shingle_hashes,
     text_bytes,
 )
-from vintagemart.llm.worker import per_worker
+from vintagemart.llm.worker import per_worker, slices
 from vintagemart.sources.scratch import materialize
 
-# Slots of the word-count sketch (4 MB); its size doesn't depend on the data.
-SKETCH_SLOTS = 1 << 22
+# Slots of the word-count sketch (16 MB); its size doesn't depend on the data.
+SKETCH_SLOTS = 1 << 24
 # Rows up to which a table of ids or hashes is broadcast (16 MB); others are shuffled.
 BROADCAST_ROWS = 1_000_000
-# Sets and tokens that one block of a cell holds on average.
+# Sets and tokens that one block of a large cell holds on average, and tokens of the
+# small cells that share a task.
 BLOCK_SETS = 512
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
+BUCKET_TOKENS = 1 << 16
 
 SET_SCHEMA = "id long, tag long, n long, node binary, first array<long>, second array<long>"
 
@@ -63,23 +65,29 @@ def _slots(words: np.ndarray) -> np.ndarray:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = per_worker("word_hashes", WordHashes)
-    counts = np.zeros(SKETCH_SLOTS, np.int64)
+    counts = np.zeros(SKETCH_SLOTS, np.uint32)
     held: list[np.ndarray] = []
     size = 0
-    for batch in batches:
+
+    def add() -> None:
+        slots, more = np.unique(np.concatenate(held), return_counts=True)
+        counts[slots] += more.astype(np.uint32)
+        held.clear()
+
+    for batch in slices(batches):
         for text in text_bytes(batch.column(0)):
             held.append(_slots(hashes.of(text)))
             size += len(held[-1])
             if size > 1 << 20:
-                counts += np.bincount(np.concatenate(held), minlength=SKETCH_SLOTS)
-                held, size = [], 0
+                add()
+                size = 0
     if held:
-        counts += np.bincount(np.concatenate(held), minlength=SKETCH_SLOTS)
+        add()
     used = np.flatnonzero(counts)
     for start in range(0, len(used), 1 << 16):
         part = used[start : start + (1 << 16)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.int32()), pa.array(counts[part])], names=["slot", "n"]
+            [pa.array(part, pa.int32()), pa.array(counts[part], pa.int64())], names=["slot", "n"]
         )
 
 
@@ -125,7 +133,7 @@ def _name(tokens: np.ndarray) -> bytes | None:
 def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word_hashes", WordHashes)
-        for batch in batches:
+        for batch in slices(batches):
             sizes, names, firsts, seconds = [], [], [], []
             for text in text_bytes(batch.column("text")):
                 first, second = _ordered(hashes.of(text), size, rarity)
@@ -152,7 +160,7 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
 def _sets(size: int, rarity: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word_hashes", WordHashes)
-        for batch in batches:
+        for batch in slices(batches):
             nodes = batch.column("node").to_pylist()
             found = [_ordered(hashes.of(t), size, rarity)[0] for t in text_bytes(batch.column("text"))]
             # Rows that share their id with another text don't stand for the node.
@@ -284,7 +292,7 @@ def _units(members: DataFrame, percent: int) -> DataFrame:
     fits = (F.col("rows") <= BLOCK_SETS) & (F.col("tokens") <= BLOCK_TOKENS)
     whole = materialize(whole.where("rows > 1").select("*", fits.alias("fits")), "wholes")
     held = whole.where("fits").agg(F.sum("tokens")).first()[0] or 0
-    buckets = F.lit(-(-held // BLOCK_TOKENS) or 1)
+    buckets = F.lit(-(-held // BUCKET_TOKENS) or 1)
     members = members.join(whole.select("cell", "fits"), "cell")
     unit = "array<struct<bucket:long,k1:int,k2:int,i:int,j:int,side:int>>"
     alone = F.struct(F.pmod(F.xxhash64("cell"), buckets) + 1, *[F.lit(0)] * 5)

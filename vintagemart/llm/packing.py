@@ -36,7 +36,7 @@ from vintagemart.llm.worker import per_worker
 from vintagemart.sources.scratch import materialize
 
 # Word forms remembered per worker before the memory starts anew.
-REMEMBERED_FORMS = 1_200_000
+REMEMBERED_FORMS = 700_000
 # Marks that may follow a word; the apostrophe isn't one, as it may begin an ending.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LAST_LATIN = "\u024f"
@@ -52,12 +52,11 @@ class TokenIds(dict):
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # The same model without the steps that change nothing in plain letters.
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),

@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vintagemart.llm.worker import slices
+
 ROUNDS = 8
 # Pseudonyms remembered per task before the memory starts anew.
 REMEMBERED = 100_000
@@ -318,7 +320,7 @@ class Pseudonymizer:
 def _batches(key: bytes, at: int, back: bool, count: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule = Pseudonymizer(key, back)
-        for batch in batches:
+        for batch in slices(batches):
             found = [rule.text(t) for t in batch.column(at).to_pylist()]
             columns = list(batch.columns)
             columns[at] = pa.array([t for t, _ in found], pa.string())

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from vintagemart.llm.decontaminate import plain_words
 from vintagemart.llm.shingles import WordHashes, text_bytes
-from vintagemart.llm.worker import per_worker
+from vintagemart.llm.worker import per_worker, slices
 
 # Rated documents that the fit may see.
 SAMPLE_ROWS = 20_000
@@ -70,7 +70,7 @@ def features(text: bytes | None, hashes: WordHashes) -> tuple[np.ndarray, np.nda
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = per_worker("word_hashes", WordHashes)
-    for batch in batches:
+    for batch in slices(batches):
         found = [features(t, hashes) for t in text_bytes(batch.column(1))]
         yield pa.RecordBatch.from_arrays(
             [
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
 def _scores(model: OrdinalModel, at: int, grade: int, least: float | None, passed: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word_hashes", WordHashes)
-        for batch in batches:
+        for batch in slices(batches):
             tails = [model.tails(t, hashes) for t in text_bytes(batch.column(at))]
             tail = np.array([t[grade - 1] for t in tails])
             expected = pa.array([float(t.sum()) for t in tails], pa.float64())

@@ -39,7 +39,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op8_ngram_jaccard_join")
+# Links of all pairs that share a shingle, and everything that is reachable over them.
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(words) - 2, 1) + 1),
+        lambda i: array_to_string(words[i:i + 2], ' '))) AS shingle FROM w WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+    SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * common >= 90 * (x.n + y.n - common)),
+r AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.other) AS component_id,
+       (SELECT count(*) FROM l WHERE l.a = w.doc_id) AS n_links
+FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
+
+@query("op8_ngram_jaccard_join", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
     return found.select(

@@ -80,7 +80,6 @@ def shard_by_bytes(
     groups = placed.groupBy("text_key").agg(
         F.sum("size").alias("group_size"), F.min("start").alias("group_start")
     )
-    # Groups of one row begin where the row does.
     groups = groups.where((F.col("group_size") <= largest) & F.col("text_key").isNotNull())
     # Whole numbers throughout: a target is never met a rounding error early.
     shard = F.expr(f"cast(coalesce(group_start, start) as decimal(20, 0)) * {shards} div {total}")

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Words remembered per worker before the memory starts anew.
-REMEMBERED_WORDS = 1 << 19
+REMEMBERED_WORDS = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 

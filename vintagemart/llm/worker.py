@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from types import ModuleType
 from typing import Any
 
+import pyarrow as pa
+
 _HOLDER = "vintagemart_worker_state"
 
 
@@ -14,9 +16,19 @@ def per_worker(name: str, make: Callable[[], Any]) -> Any:
     """The object of this name in this process, made if there is none yet.
 
     Functions travel to workers by value, so their modules' globals last for one
-    task only; what is costly to learn and the same for all tasks is kept here.
+    task only; what is costly to learn and the same for all tasks is kept here. A
+    worker keeps one object: asking for another one lets go of the last.
     """
     holder = sys.modules.setdefault(_HOLDER, ModuleType(_HOLDER))
-    if not hasattr(holder, name):
-        setattr(holder, name, make())
-    return getattr(holder, name)
+    if getattr(holder, "name", None) != name:
+        holder.name = holder.value = None
+        holder.name, holder.value = name, make()
+    return holder.value
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is worked out per batch stays
+    small however many rows the reader hands over at once."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)

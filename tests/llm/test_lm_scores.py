@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vintagemart.llm import lm_scores
 from vintagemart.llm.lm_scores import (
@@ -107,6 +108,37 @@ def test_fluent_text_scores_higher_and_edge_rows(spark, monkeypatch):
     assert by_id[0]["log_likelihood"] == pytest.approx(expected, rel=1e-3)
 
 
+def test_every_document_is_trained_on(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    found = []
+
+    def seen(df, name):
+        if name == "shards":
+            found.append(df.agg(F.sum(F.length("ids")), F.count("*"), F.countDistinct("shard")).first())
+            raise Stop
+        return df
+
+    monkeypatch.setattr(lm_scores, "materialize", seen)
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a b c d "), 300).alias("text"))
+    with pytest.raises(Stop):
+        train(df)
+    assert tuple(found[0]) == (2 * 3000 * 1200, 3000, 9)
+
+
+def test_copies_are_averaged_over_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(lm_scores, "SHARD_WORDS", 1_000)
+    monkeypatch.setattr(lm_scores, "ROUNDS", 1)
+    _, df = corpus(spark, n=100)
+    _, one = train(df)
+    monkeypatch.setattr(lm_scores, "BUNDLE", 1)
+    monkeypatch.setattr(lm_scores, "FAN_IN", 2)
+    _, two = train(df)
+    assert np.allclose(one.flat(), two.flat(), atol=1e-5)
+    assert not np.array_equal(one.flat(), Network.new().flat())
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     words, network = train(df)

@@ -6,9 +6,9 @@ first over classes of words and then over the words of the class. The score of a
 document is the sum of the log-probabilities of all its words.
 
 The vocabulary comes from the counts of all words of all documents. Words beyond it
-are told apart by length and shape. Training runs in rounds on a share of the
-documents that grows with the corpus: tasks train copies of the network on bounded
-shards, and the copies are averaged block by block.
+are told apart by length and shape. Training runs in rounds over all
+documents: tasks train copies of the network on bounded shards, and the copies are
+averaged block by block.
 """
 
 from __future__ import annotations
@@ -31,10 +31,10 @@ WORDS = CLASSES * CLASSES
 PAD = WORDS
 WINDOW = (-2, -1, 1, 2)
 WIDTH = 32
-# Words to train on: this share of the corpus, but no less than that many if there are.
-TRAIN_SHARE = 1 / 32
-TRAIN_WORDS = 2_000_000
 SHARD_WORDS = 400_000
+# Shards whose copies one task adds up, and sums that one task adds up again.
+BUNDLE = 4
+FAN_IN = 64
 ROUNDS = 2
 BATCH = 2048
 RATE = 0.1
@@ -246,53 +246,79 @@ def _shard_ids(words: dict[int, int]) -> Callable:
     return run
 
 
-def _train_shard(network: Network, turn: int) -> Callable[[pa.Table], pa.Table]:
-    def run(shard: pa.Table) -> pa.Table:
-        # In an order that doesn't depend on how the rows arrived.
-        texts = [np.frombuffer(t, np.int16) for t in sorted(shard.column("ids").to_pylist())]
-        flat, places = _padded(texts)
-        numbers = np.random.default_rng([turn, len(places)])
-        numbers.shuffle(places)
-        own, past = network.with_numbers(network.flat()), network.with_numbers(0 * network.flat())
-        for start in range(0, len(places), BATCH):
-            part = places[start : start + BATCH]
-            own.train(_context(flat, part), flat[part], past)
-        values = own.flat()
-        blocks = [values[s : s + BLOCK].tobytes() for s in range(0, len(values), BLOCK)]
+def _train_shard(network: Network, turn: int, texts: list[bytes]) -> np.ndarray:
+    # In an order that doesn't depend on how the rows arrived.
+    flat, places = _padded([np.frombuffer(t, np.int16) for t in sorted(texts)])
+    numbers = np.random.default_rng([turn, len(places)])
+    numbers.shuffle(places)
+    own, past = network.with_numbers(network.flat()), network.with_numbers(0 * network.flat())
+    for start in range(0, len(places), BATCH):
+        part = places[start : start + BATCH]
+        own.train(_context(flat, part), flat[part], past)
+    return own.flat()
+
+
+SUMS = "block int, part long, n long, numbers binary"
+
+
+def _train_bundle(network: Network, turn: int) -> Callable[[pa.Table], pa.Table]:
+    """Sums of the copies trained on the shards of a bundle, block by block."""
+
+    def run(bundle: pa.Table) -> pa.Table:
+        shard = bundle.column("shard").to_numpy()
+        ids = bundle.column("ids").to_pylist()
+        own = np.unique(shard)
+        total = sum(
+            _train_shard(network, turn, [ids[i] for i in np.flatnonzero(shard == s)]).astype(np.float64) for s in own
+        ).astype(np.float32)
+        blocks = [total[s : s + BLOCK].tobytes() for s in range(0, len(total), BLOCK)]
+        parts, copies = [int(own[0]) // BUNDLE] * len(blocks), [len(own)] * len(blocks)
         return pa.table(
-            [pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], names=["block", "numbers"]
+            [pa.array(range(len(blocks)), pa.int32()), pa.array(parts), pa.array(copies), pa.array(blocks, pa.binary())],
+            names=["block", "part", "n", "numbers"],
         )
 
     return run
 
 
-def _mean(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(r, np.float32).astype(np.float64) for r in rows.column("numbers").to_pylist())
-    mean = (total / len(rows)).astype(np.float32).tobytes()
-    return pa.table({"block": rows.column("block")[:1], "numbers": pa.array([mean], pa.binary())})
+def _sum(rows: pa.Table) -> pa.Table:
+    parts, numbers = rows.column("part").to_numpy(), rows.column("numbers").to_pylist()
+    total = sum(np.frombuffer(numbers[i], np.float32).astype(np.float64) for i in np.argsort(parts, kind="stable"))
+    n = int(rows.column("n").to_numpy().sum())
+    return pa.table(
+        [
+            rows.column("block")[:1],
+            pa.array([int(parts[0]) // FAN_IN]),
+            pa.array([n]),
+            pa.array([total.astype(np.float32).tobytes()], pa.binary()),
+        ],
+        names=["block", "part", "n", "numbers"],
+    )
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[dict[int, int], Network]:
-    """The vocabulary of all documents and the network trained on a share of them."""
+    """The vocabulary of all documents and the network trained on them."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     words, total = vocabulary(rows.select("text"))
     network = Network.new()
-    share = min(1.0, max(TRAIN_SHARE, TRAIN_WORDS / max(total, 1)))
-    shards = max(1, round(share * total / SHARD_WORDS))
-    parts = 1 << 20
-    draw = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
-    picked = rows.where(draw < round(share * parts)).withColumn(
-        "shard", F.pmod(F.xxhash64("text", "id"), F.lit(shards)).cast("int")
-    )
-    picked = picked.select("shard", "text").mapInArrow(_shard_ids(words), "shard int, ids binary")
+    shards = max(1, round(total / SHARD_WORDS))
+    shard = F.pmod(F.xxhash64("text", "id"), F.lit(shards)).cast("int").alias("shard")
+    picked = rows.select(shard, "text").mapInArrow(_shard_ids(words), "shard int, ids binary")
     picked = materialize(picked, "shards")
+    bundle = F.expr(f"shard div {BUNDLE}").alias("bundle")
     for turn in range(ROUNDS):
-        copies = picked.groupBy("shard").applyInArrow(_train_shard(network, turn), "block int, numbers binary")
-        means = copies.groupBy("block").applyInArrow(_mean, "block int, numbers binary").collect()
+        sums = picked.groupBy(bundle).applyInArrow(_train_bundle(network, turn), SUMS)
+        parts = -(-shards // BUNDLE)
+        while True:
+            sums = sums.groupBy("block", F.expr(f"part div {FAN_IN}").alias("next")).applyInArrow(_sum, SUMS)
+            if parts <= FAN_IN:
+                break
+            parts = -(-parts // FAN_IN)
+        means = sums.collect()
         if means:
             ordered = sorted(means, key=lambda row: row["block"])
             network = network.with_numbers(
-                np.concatenate([np.frombuffer(row["numbers"], np.float32) for row in ordered])
+                np.concatenate([np.frombuffer(row["numbers"], np.float32) / row["n"] for row in ordered]).astype(np.float32)
             )
     return words, network
 

@@ -108,6 +108,31 @@ def test_fluent_text_scores_higher_and_edge_rows(spark, monkeypatch):
     assert by_id[0]["log_likelihood"] == pytest.approx(expected, rel=1e-3)
 
 
+@pytest.mark.parametrize("known", [0, 1, 1 << 17])
+def test_words_beyond_the_vocabulary_count_as_words(spark, monkeypatch, known):
+    network = Network.new()
+    monkeypatch.setattr(lm_scores, "KNOWN", known)
+    # All but the words of shapes: two words are left in the vocabulary.
+    monkeypatch.setattr(lm_scores, "WORDS", CLASSES + 2)
+    often = "the and " * 20
+    texts = [often + "cat cat cat dog", often + "xqz cat", often + "cat", None, "", often + "cat. dog dog", "cat"]
+    df = spark.createDataFrame([(i % 5, t, "x") for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    words, total = vocabulary(df.select("text"))
+    assert len(words) == 2 and (words.rest is None) == (known > 1) and total == sum(len((t or "").split()) for t in texts)
+    odd = spark.createDataFrame([(9, "pqr dog", "x"), (9, "zzzz", "x")], SCHEMA)
+    found = score_documents(df.unionAll(odd), words, network).collect()
+    # Of three letters: cat 6 times, dog 3 times, xqz once.
+    log = {"cat": 6 / 13, "dog": 3 / 13, "xqz": 1 / 13, "pqr": 3 / 13, "zzzz": 1, "cat.": 1 / 2, "the": 1, "and": 1}
+    ids = WordIds(dict(words))
+    expected = [
+        (i, plain_score(network, ids.of(t.encode())) + sum(math.log(log[w]) for w in t.split()))
+        for i, t in [*((i % 5, t or "") for i, t in enumerate(texts)), (9, "pqr dog"), (9, "zzzz")]
+    ]
+    got = sorted((r["id"], r["log_likelihood"]) for r in found)
+    for one, two in zip(got, sorted(expected), strict=True):
+        assert one == pytest.approx(two, abs=1e-2)
+
+
 def test_every_document_is_trained_on(spark, monkeypatch):
     class Stop(Exception):
         pass

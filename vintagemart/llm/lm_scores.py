@@ -6,7 +6,10 @@ first over classes of words and then over the words of the class. The score of a
 document is the sum of the log-probabilities of all its words.
 
 The vocabulary comes from the counts of all words of all documents. Words beyond it
-are told apart by length and shape. Training runs in rounds over all
+have one id per length and shape for the network; the log-probability of the word
+within its shape follows from the counts of all words: ``n / (N + T)`` for a word met
+``n`` times, ``T / (N + T)`` for any word not met, with the ``N`` occurrences and ``T``
+words of the shape. Training runs in rounds over all
 documents: tasks train copies of the network on bounded shards, and the copies are
 averaged block by block.
 """
@@ -18,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vintagemart.llm.shingles import REMEMBERED_WORDS, WordHashes, text_bytes
+from vintagemart.llm.shingles import REMEMBERED_WORDS, WordHashes, long_lists, text_bytes
 from vintagemart.llm.worker import per_worker, slices
 from vintagemart.sources.scratch import materialize
 
@@ -41,25 +45,50 @@ RATE = 0.1
 # Positions scored at once; numbers in one block of the averaging.
 STRETCH = 8192
 BLOCK = 4096
+# Most frequent words beyond the vocabulary whose counts go to all tasks; those of the
+# others are joined.
+KNOWN = 1 << 17
+SHAPE = 63
+
+
+def _shape(word: bytes) -> int:
+    letters = word.translate(None, b"0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    if len(letters) == len(word):
+        shape = 0
+    elif len(letters) == len(word) - 1 and word[-1:] in b".,;:!?":
+        shape = 1
+    else:
+        shape = 2 if any(48 <= c <= 57 for c in word) else 3
+    return 12 * shape + min(len(word), 12) - 1
+
+
+class WordKeys(WordHashes):
+    """Lower-case word -> 58 bits of its hash, followed by its shape."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = super().__missing__(word) & ~SHAPE | _shape(word)
+        self[word] = value
+        return value
+
+
+class Vocabulary(dict):
+    """Word key -> id. Of the words beyond: sorted keys and logs of the known ones, ``rest`` (key, log) with the others or None, and the ``unseen`` log by shape."""
+
+    keys_known: np.ndarray
+    logs_known: np.ndarray
+    unseen: np.ndarray
+    rest: DataFrame | None = None
 
 
 class WordIds(dict):
     """Lower-case word -> its id; words beyond the vocabulary go by length and shape."""
 
     def __init__(self, vocabulary: dict[int, int]) -> None:
-        self.vocabulary, self.hashes = vocabulary, per_worker("word_hashes", WordHashes)
+        self.vocabulary, self.keys_of = vocabulary, per_worker("word_keys", WordKeys)
 
     def __missing__(self, word: bytes) -> int:
-        found = self.vocabulary.get(self.hashes[word])
-        if found is None:
-            letters = word.translate(None, b"0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-            if len(letters) == len(word):
-                shape = 0
-            elif len(letters) == len(word) - 1 and word[-1:] in b".,;:!?":
-                shape = 1
-            else:
-                shape = 2 if any(48 <= c <= 57 for c in word) else 3
-            found = 12 * shape + min(len(word), 12) - 1
+        key = self.keys_of[word]
+        found = self.vocabulary.get(key, key & SHAPE)
         if len(self) >= REMEMBERED_WORDS:
             self.clear()
         self[word] = found
@@ -202,7 +231,7 @@ def document_scores(network: Network, texts: list[np.ndarray]) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = per_worker("word_hashes", WordHashes)
+    hashes = per_worker("word_keys", WordKeys)
     held: list[np.ndarray] = []
     size = 0
 
@@ -224,14 +253,40 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def vocabulary(texts: DataFrame) -> tuple[dict[int, int], int]:
-    """Ids of the most frequent words of all texts (after the ids of shapes), and the
-    number of all words."""
+def vocabulary(texts: DataFrame) -> tuple[Vocabulary, int]:
+    """Ids of the most frequent words of all texts (after the ids of shapes) with what
+    is known of the others, and the number of all words."""
     counted = texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = materialize(counted, "words")
     total = counted.agg(F.sum("n")).first()[0] or 0
     top = counted.orderBy(F.desc("n"), "word").limit(WORDS - CLASSES).collect()
-    return {row["word"] & ((1 << 64) - 1): CLASSES + at for at, row in enumerate(top)}, total
+    found = Vocabulary({row["word"] & ((1 << 64) - 1): CLASSES + at for at, row in enumerate(top)})
+    beyond = counted.where(F.lit(False))
+    if len(top) == WORDS - CLASSES:
+        last = top[-1]
+        beyond = counted.where((F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > last["word"]))
+    shape = F.col("word").bitwiseAND(F.lit(SHAPE))
+    often = F.floor(4 * F.log2("n")).cast("int")
+    parts = beyond.groupBy(shape.alias("shape"), often.alias("often")).agg(F.count("*"), F.sum("n")).collect()
+    sizes, by_often = np.zeros((2, SHAPE + 1)), {}
+    for kind, rank, words, n in parts:
+        sizes[:, kind] += n, words
+        by_often[rank] = by_often.get(rank, 0) + words
+    whole = np.maximum(sizes.sum(axis=0), 1)
+    found.unseen = np.log(np.where(sizes[1] > 0, sizes[1], 1) / whole)
+    least, held = max(by_often, default=0) + 1, 0
+    while least - 1 >= min(by_often, default=least) and held + by_often.get(least - 1, 0) <= KNOWN:
+        least -= 1
+        held += by_often.get(least, 0)
+    log = F.log(F.col("n") / F.array(*map(F.lit, whole.tolist()))[shape.cast("int")])
+    beyond = beyond.select(F.col("word").alias("key"), log.alias("log"), often.alias("often"))
+    known = beyond.where(F.col("often") >= least).select("key", "log").toArrow()
+    keys = known.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    found.keys_known, found.logs_known = keys[order], known.column("log").to_numpy()[order]
+    if held < sum(by_often.values()):
+        found.rest = beyond.where(F.col("often") < least).select("key", "log")
+    return found, total
 
 
 def _shard_ids(words: dict[int, int]) -> Callable:
@@ -296,14 +351,14 @@ def _sum(rows: pa.Table) -> pa.Table:
     )
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[dict[int, int], Network]:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Vocabulary, Network]:
     """The vocabulary of all documents and the network trained on them."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     words, total = vocabulary(rows.select("text"))
     network = Network.new()
     shards = max(1, round(total / SHARD_WORDS))
     shard = F.pmod(F.xxhash64("text", "id"), F.lit(shards)).cast("int").alias("shard")
-    picked = rows.select(shard, "text").mapInArrow(_shard_ids(words), "shard int, ids binary")
+    picked = rows.select(shard, "text").mapInArrow(_shard_ids(dict(words)), "shard int, ids binary")
     picked = materialize(picked, "shards")
     bundle = F.expr(f"shard div {BUNDLE}").alias("bundle")
     for turn in range(ROUNDS):
@@ -323,31 +378,56 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     return words, network
 
 
-def _score(words: dict[int, int], network: Network) -> Callable:
+def _score(words: Vocabulary, network: Network) -> Callable:
+    vocabulary, keys, logs = dict(words), words.keys_known, words.logs_known
+    unseen, whole = words.unseen, words.rest is None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(words)
+        ids = WordIds(vocabulary)
+        context = TaskContext.get()
+        row = (context.partitionId() if context else 0) << 40
         for batch in slices(batches):
             held: list[np.ndarray] = []
             scores, sizes, waiting = [], [], 0
+            owners, rare = [], []
             texts = text_bytes(batch.column(1))
             for at, text in enumerate(texts):
-                held.append(ids.of(text))
-                sizes.append(len(held[-1]))
+                own = text.lower().split() if text else []
+                held.append(np.fromiter(map(ids.__getitem__, own), np.int16, len(own)))
+                places = np.flatnonzero(held[-1] < CLASSES)
+                rare.append(np.fromiter((ids.keys_of[own[i]] for i in places), np.uint64, len(places)))
+                owners.append(np.full(len(places), at))
+                sizes.append(len(own))
                 waiting += sizes[-1]
                 if at == len(texts) - 1 or waiting > 1 << 18:
                     scores += document_scores(network, held).tolist()
                     held, waiting = [], 0
+            owner, key = np.concatenate(owners), np.concatenate(rare)
+            place = np.searchsorted(keys, key).clip(0, max(len(keys) - 1, 0))
+            hit = keys[place] == key if len(keys) else np.zeros(len(key), bool)
+            log = unseen[(key & np.uint64(SHAPE)).astype(np.int64)] if whole else np.zeros(len(key))
+            log[hit] = logs[place[hit]]
+            scores = np.array(scores) + np.bincount(owner, log, len(texts))
+            left = np.flatnonzero(~hit) if not whole else np.empty(0, np.int64)
+            cuts = np.searchsorted(owner[left], np.arange(1, len(texts)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(scores, pa.float64())],
-                names=["id", "n_words", "log_likelihood"],
+                [
+                    batch.column(0),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(scores, pa.float64()),
+                    pa.array(row + np.arange(len(texts)), pa.int64()),
+                    long_lists(np.split(key[left], cuts)),
+                ],
+                names=["id", "n_words", "log_likelihood", "row", "rare"],
             )
+            row += len(texts)
 
     return run
 
 
 def score_documents(
     docs: DataFrame,
-    words: dict[int, int],
+    words: Vocabulary,
     network: Network,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -355,7 +435,8 @@ def score_documents(
     """(id, n_words, log_likelihood, per_word) of every row of ``docs``.
 
     ``log_likelihood`` sums the conditional log-probabilities of all words of the
-    whole text, to four decimals, and ``per_word`` is its mean. Null and empty texts
+    whole text, each within its shape too if it is beyond the vocabulary, to four
+    decimals, and ``per_word`` is its mean. Null and empty texts
     have no words, the sum 0 and a null mean. Ids may be null or repeat; equal texts
     score alike; other columns aren't read; an empty table gives no rows. A network
     that saw no words scores with its starting numbers.
@@ -366,9 +447,20 @@ def score_documents(
             T.StructField("id", kind),
             T.StructField("n_words", T.LongType()),
             T.StructField("log_likelihood", T.DoubleType()),
+            T.StructField("row", T.LongType()),
+            T.StructField("rare", T.ArrayType(T.LongType())),
         ]
     )
     found = docs.select(id_col, text_col).mapInArrow(_score(words, network), schema)
+    if words.rest is not None:
+        found = materialize(found, "scores")
+        shape = F.col("key").bitwiseAND(F.lit(SHAPE)).cast("int")
+        unseen = F.array(*map(F.lit, words.unseen.tolist()))[shape]
+        rare = found.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
+        more = rare.join(words.rest, "key", "left").groupBy("row")
+        more = more.agg(F.sum(F.col("times") * F.coalesce("log", unseen)).alias("more"))
+        log = F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
+        found = found.join(more, "row", "left").withColumn("log_likelihood", log)
     total = F.round("log_likelihood", 4)
     mean = F.when(F.col("n_words") > 0, F.round(F.col("log_likelihood") / F.col("n_words"), 6))
     return found.select("id", "n_words", total.alias("log_likelihood"), mean.alias("per_word"))

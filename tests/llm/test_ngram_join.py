@@ -104,6 +104,12 @@ def test_large_cells_are_compared_in_blocks(spark, monkeypatch):
     assert found(spark, rows, 3, 80) == brute(rows, 3, 80)
 
 
+def test_few_long_sets_leave_blocks_empty(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", 50)
+    rows = near_copies(7, families=8, copies=2, words=60)
+    assert found(spark, rows, 3, 80) == brute(rows, 3, 80)
+
+
 def test_prefixes_always_meet():
     for percent in (80, 90):
         for n in range(1, 300):

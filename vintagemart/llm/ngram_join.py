@@ -237,15 +237,18 @@ def _forest(links: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _verified(nodes: list, sets: list, copies: np.ndarray, side: np.ndarray, percent: int) -> tuple:
-    """Node, smallest node reached and number of linked rows, for one block pair."""
+def _verified(
+    nodes: list, sets: list, copies: np.ndarray, side: np.ndarray, alone: bool, percent: int
+) -> tuple:
+    """Node, smallest node reached and number of linked rows, for one block pair, or
+    for a block that is compared with itself. Blocks may be empty."""
     _, first = np.unique(np.array(nodes, object), return_index=True)
     nodes, sets = [nodes[i] for i in first], [sets[i] for i in first]
     copies, side = copies[first], side[first]
     one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if not len(two):
+    if alone:
         two = one
-    if not len(one) or len(nodes) < 2:
+    if not len(one) or not len(two) or len(nodes) < 2:
         return [], [], []
     sizes = np.array([len(s) for s in sets])
     common = _overlaps([sets[i] for i in one], [sets[i] for i in two])
@@ -267,10 +270,13 @@ def _verify(percent: int) -> Callable[[pa.Table], pa.Table]:
         copies = block.column("copies").to_numpy()
         side = block.column("side").to_numpy()
         cell = block.column("cell").to_numpy()
+        k1, k2, i, j = (block.column(c)[0].as_py() for c in ("k1", "k2", "i", "j"))
+        alone = k1 == k2 and i == j
         order = np.argsort(cell, kind="stable")
         found: tuple[list, list, list] = ([], [], [])
         for rows in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
-            got = _verified(nodes[rows].tolist(), [sets[i] for i in rows], copies[rows], side[rows], percent)
+            own = [sets[r] for r in rows]
+            got = _verified(nodes[rows].tolist(), own, copies[rows], side[rows], alone, percent)
             for all_rows, new in zip(found, got):
                 all_rows += new
         return pa.table(

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintagemart.llm.block_names import exact_duplicates
 from vintagemart.llm.chat import END, ESCAPE, START, chat_examples, read_loss, read_turns
 from vintagemart.llm.decontaminate import leaks
 from vintagemart.llm.lm_scores import score_documents, train
@@ -233,3 +234,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = score_documents(docs, *train(docs))
     return found.withColumnRenamed("id", "doc_id")
+
+
+OP13_SQL = r"""
+WITH t AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1 AS kept, sha256(text) AS text_sha256
+FROM t WINDOW same AS (PARTITION BY text)
+"""
+
+
+@query("op13_exact_dedup", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

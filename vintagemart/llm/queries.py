@@ -12,6 +12,7 @@ from vintagemart.llm.block_names import exact_duplicates
 from vintagemart.llm.chat import END, ESCAPE, START, chat_examples, read_loss, read_turns
 from vintagemart.llm.decontaminate import leaks
 from vintagemart.llm.lm_scores import score_documents, train
+from vintagemart.llm.merkle import build_manifest, folded, proofs, row_digest, siblings
 from vintagemart.llm.ngram_join import jaccard_classes
 from vintagemart.llm.packing import pack
 from vintagemart.llm.pseudonyms import pseudonymize
@@ -248,3 +249,76 @@ FROM t WINDOW same AS (PARTITION BY text)
 @query("op13_exact_dedup", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+# Node by node: the levels of each tree, the siblings on each level, and a walk from
+# every leaf to its tree's root and on to the root of all.
+LEAF_SQL = """sha256(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')
+    || coalesce(strlen({0}) || ':' || {0}, '-'))"""
+NODES_SQL = """
+    SELECT tree, 0 AS level, row_number() OVER (PARTITION BY tree ORDER BY {1}) - 1 AS idx,
+           count(*) OVER (PARTITION BY tree) AS n, digest FROM {0}
+    UNION ALL
+    SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM {2} WHERE n > 1 GROUP BY tree, level, idx // 3, n"""
+BESIDE_SQL = """
+    SELECT a.tree, a.level, a.idx, coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+           coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+    FROM {0} a JOIN {0} b ON a.tree = b.tree AND a.level = b.level AND a.idx // 3 = b.idx // 3
+    WHERE a.n > 1 GROUP BY 1, 2, 3"""
+WALK_SQL = """
+    SELECT w.doc_id, w.tree, w.level + 1, w.idx // 3, (w.n + 2) // 3, sha256(l || w.acc || r), w.path || l || r
+    FROM {0} w JOIN {1} s ON s.tree = w.tree AND s.level = w.level AND s.idx = w.idx WHERE w.n > 1"""
+OP12_SQL = f"""
+WITH RECURSIVE c AS (
+    SELECT *, list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''),
+                              lambda x: ascii(x)::UBIGINT),
+                          lambda crc, byte: list_reduce([xor(crc, byte)] || list_transform(range(8), lambda i: 0::UBIGINT),
+                              lambda a, b: xor(a >> 1, (a & 1) * 3988292384::UBIGINT))) AS crc FROM documents),
+d AS (SELECT doc_id, coalesce('=' || source, '') AS tree, {LEAF_SQL.format("text")} AS digest,
+             CASE WHEN xor(crc, 4294967295::UBIGINT) % 2 = 0 THEN {LEAF_SQL.format("replace(text, chr(10), '')")}
+                  ELSE {LEAF_SQL.format("text")} END AS altered FROM c),
+nodes AS ({NODES_SQL.format("d", "doc_id NULLS FIRST, digest", "nodes")}),
+subroots AS (SELECT '' AS tree, tree AS name, digest FROM nodes WHERE n = 1),
+tops AS ({NODES_SQL.format("subroots", "name", "tops")}),
+beside AS ({BESIDE_SQL.format("nodes")}),
+beside_tops AS ({BESIDE_SQL.format("tops")}),
+walk AS (
+    SELECT doc_id, tree, 0 AS level, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx,
+           count(*) OVER (PARTITION BY tree) AS n, altered AS acc, '' AS path FROM d
+    UNION ALL {WALK_SQL.format("walk", "beside")}),
+walk_tops AS (
+    SELECT w.doc_id, '' AS tree, 0 AS level, s.idx, s.n, w.acc, w.path
+    FROM walk w JOIN (SELECT *, row_number() OVER (ORDER BY name) - 1 AS idx, count(*) OVER () AS n FROM subroots) s
+      ON s.name = w.tree WHERE w.n = 1
+    UNION ALL {WALK_SQL.format("walk_tops", "beside_tops")})
+SELECT d.doc_id, d.digest AS leaf, s.digest AS subroot, t.digest AS root, sha256(w.path) AS proof_sha256,
+       w.acc AS folded_root, w.acc = t.digest AS verified
+FROM d JOIN subroots s ON s.name = d.tree JOIN walk_tops w ON w.doc_id = d.doc_id AND w.n = 1
+CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's proof, folded from a row of which line ends may have been lost."""
+    told = ["doc_id", "source", "lang", "n_chars"]
+    lost = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(lost, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    manifest = build_manifest(
+        table(spark, sf_dir, "documents"),
+        [*told, "text"],
+        carry={"altered": row_digest(*[F.col(c) for c in told], text)},
+    )
+    root = F.lit(manifest.root).cast("string")
+    found = proofs(manifest).withColumn("folded_root", folded(F.col("altered"), F.col("path")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )

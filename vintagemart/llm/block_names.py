@@ -139,15 +139,13 @@ def exact_duplicates(
     """
     named = materialize(document_names(docs, id_col, text_col, block_bytes, hash_bits), "named")
     name = ["round", "name"]
-    # Only groups need a look-up; hot ones are pre-aggregated here and split in the join.
-    groups = (
-        named.groupBy(*name)
-        .agg(
-            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("keep"),
-            F.count("*").alias("group_size"),
-        )
-        .where("group_size > 1")
+    # Only groups need a look-up. Hot ones are pre-aggregated here and, as both sides are
+    # stored tables, split in the join.
+    groups = named.groupBy(*name).agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("keep"),
+        F.count("*").alias("group_size"),
     )
+    groups = materialize(groups.where("group_size > 1"), "groups")
     joined = named.join(groups, name, "left")
     alone = F.col("keep").isNull()
     return joined.select(

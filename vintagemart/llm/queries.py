@@ -18,6 +18,7 @@ from vintagemart.llm.packing import pack
 from vintagemart.llm.pseudonyms import pseudonymize
 from vintagemart.llm.quality import fit, score
 from vintagemart.llm.sharding import shard_by_bytes
+from vintagemart.llm.token_alignment import align_tokens
 from vintagemart.llm.topk import top_k
 from vintagemart.llm.wrappers import extract_main_text
 
@@ -322,3 +323,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == root).alias("verified"),
     )
+
+
+@query("op11_cross_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte, piece = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = align_tokens(table(spark, sf_dir, "documents"), byte, piece, as_text=False)
+    return found.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})

@@ -4,6 +4,7 @@ Each module adds (query, SQL text of the same result) pairs to ``registry``.
 """
 
 from querybook import (  # noqa: F401
+    boosting,
     cleaning,
     evaluation,
     features,

@@ -18,6 +18,7 @@ from vintagemart.operators import (
     aggregates,
     decisions,
     evaluation,
+    lsh,
     modelling,
     sampling,
     split,
@@ -325,3 +326,39 @@ def score_two_dates(spark, sf_dir):
     stored = store.read_snapshots(spark, path)
     keys = ["prediction_date", "snapshot_date"]
     return day_text(_per_month(stored, keys), *keys)
+
+
+# Cells about twice as wide as near vectors are apart.
+LSH = {"width": 2.5, "tables": 16, "depth": 3, "block_rows": 256}
+
+
+@query(
+    "knn_lsh",
+    """SELECT count(*) * 5 AS n_exact, true AS recall_reached, true AS ranks_follow, true AS distances_hold,
+              (SELECT count(*) FROM v_vec WHERE label = 1) AS n_points
+       FROM v_vec WHERE label = 1""",
+)
+def knn_lsh(spark, sf_dir):
+    """Approximate neighbours beside the exact ones: at least nine in ten are found, none
+    is nearer than the exact one of its rank, and every distance is that of the vectors."""
+    points = materialize(_minority(spark, sf_dir).select("id", "features"), "lsh-points")
+    found = materialize(lsh.lsh_neighbours(points, **LSH), "lsh-found")
+    exact = materialize(sampling.nearest_neighbours(points), "lsh-exact")
+    beside = found.join(
+        exact.select("id", "rank", F.col("distance").alias("least")), ["id", "rank"], "left"
+    )
+    a = points.select("id", F.col("features").alias("x"))
+    b = points.select(F.col("id").alias("neighbour_id"), F.col("features").alias("y"))
+    gap = F.aggregate(
+        F.zip_with("x", "y", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v
+    )
+    checked = beside.join(a, "id").join(b, "neighbour_id").agg(
+        F.min(F.col("distance") >= F.col("least") - 1e-9).alias("ranks_follow"),
+        F.min(F.abs(F.col("distance") - F.sqrt(gap)) < 1e-9).alias("distances_hold"),
+    )
+    return (
+        lsh.recall(found, exact)
+        .select("n_exact", (F.col("recall") >= 0.9).alias("recall_reached"))
+        .join(checked)
+        .join(points.agg(F.count("*").alias("n_points")))
+    )

@@ -14,9 +14,12 @@ from vintagemart.operators import (
     drift,
     evaluation,
     joins,
+    monitoring_state,
     snapshots,
 )
 from vintagemart.plans import monitoring as monitoring_plan
+from vintagemart.sources import store
+from vintagemart.sources.scratch import scratch_path
 
 BASELINE = "2024-01-10"
 ABSENT = "2020-01-01"
@@ -309,3 +312,37 @@ def monitoring_skipped(spark, sf_dir):
     )
     scored = views.prediction(spark, sf_dir).withColumn("actual_label", label)
     return day_text(evaluation.skipped_groups(scored), "snapshot_date")
+
+
+# The one day whose state is stored twice, first from half of its rows.
+RERUN = "2024-01-12"
+
+
+@query(
+    "monitoring_incremental",
+    """SELECT CAST(p.snapshot_date AS VARCHAR) AS snapshot_date, p.num_samples,
+              p.actual_default_rate, p.predicted_default_rate, round(p.auc, 10) AS auc,
+              p."precision", p.recall, p.f1, p.tn, p.fp, p.fn, p.tp, round(v.psi, 8) AS psi,
+              v.drift_status, (SELECT count(*) FROM v_pred) AS n_rows
+       FROM v_performance p LEFT JOIN v_psi v ON v.snapshot_date = p.snapshot_date""",
+)
+def monitoring_incremental(spark, sf_dir):
+    """State stored day range by day range, one day of it a second time; metrics and PSI
+    of all days from the state alone."""
+    scored = views.prediction(spark, sf_dir).select(
+        F.lit("model").alias("model_name"), F.lit("2024-03-01").cast("date").alias("prediction_date"), "*"
+    )
+    path = scratch_path(spark, "monitoring-state")
+    day = F.col("snapshot_date")
+    half = F.pmod(F.xxhash64("loan_id"), F.lit(2)) == 0
+    parts = [day < BASELINE, (day == RERUN) & half, (day >= BASELINE) & (day != RERUN), day == RERUN]
+    for part in parts:
+        state = monitoring_state.score_state(scored.where(part))
+        store.write_snapshots(state, path, monitoring_state.KEYS)
+    state = monitoring_state.chosen_state(store.read_snapshots(spark, path))
+    performance = monitoring_state.performance_from_state(state)
+    shifts = drift.psi_of_histogram(monitoring_state.histogram_from_state(state), BASELINE)
+    rows = state.agg(F.sum("n_rows").alias("n_rows"))
+    joined = performance.join(shifts.select("snapshot_date", "psi", "drift_status"), "snapshot_date", "left")
+    rounded = joined.withColumns({"auc": F.round("auc", 10), "psi": F.round("psi", 8)})
+    return day_text(rounded.join(F.broadcast(rows)), "snapshot_date")

@@ -202,3 +202,34 @@ def test_decisions(spark):
         True,
         ["Precision below threshold: 0.0851 < 0.5"],
     )
+
+
+def test_state_adds_up_to_the_rows(spark):
+    """Metrics, bins and reasons from merged states beside those of all rows."""
+    from vintagemart.operators import drift, monitoring_state
+
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        score = rng.choice([0.1, 0.5, 0.55, 1.0, 0.0, rng.random(), 1.5, -0.2])
+        rows.append(("m", "2024-05-01", i % 4, score, int(score > 0.5), rng.randint(0, 1)))
+    rows += [("m", "2024-05-01", 5, 0.3, 0, 1)] * 3
+    rows += [("m", "2024-05-01", 6, None, 0, 1), ("m", "2024-05-01", 6, float("nan"), 1, 0), ("m", "2024-05-01", 6, 0.2, 0, None)]
+    schema = (
+        "model_name string, prediction_date string, snapshot_date int, prediction_probability double, "
+        "prediction_binary int, actual_label int"
+    )
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    stale = df.where("snapshot_date = 2").limit(7)
+    state = monitoring_state.score_state(df.where("snapshot_date < 2").union(stale))
+    state = monitoring_state.merged(state, monitoring_state.score_state(df.where("snapshot_date >= 2")))
+    order = lambda rows: sorted(map(str, rows.collect()))
+    for groups in (["snapshot_date"], []):
+        usable, kept = df.where("snapshot_date < 5"), state.where("snapshot_date < 5")
+        assert order(monitoring_state.performance_from_state(kept, groups)) == order(
+            evaluation.performance_by_group(usable, groups)
+        )
+    counts = evaluation.summed_counts(state, ["snapshot_date"])
+    assert order(monitoring_state.skipped_from_state(state, counts)) == order(evaluation.skipped_groups(df))
+    assert order(monitoring_state.histogram_from_state(state)) == order(drift.score_histogram(df))
+    assert monitoring_state.performance_from_state(state.limit(0)).count() == 0

@@ -183,6 +183,26 @@ def test_training_scoring_monitoring(spark, lake):
     assert report["needs_retraining"] == monitoring.retraining_needed(result)
     assert report["performance_summary"]["avg_auc"] is not None
 
+    # A later report of one month: the state has the others, the first report stays.
+    later = monitoring.run(
+        spark, lake, features(spark, lake), "2024-02-01", "2024-05-01",
+        first="2024-04-01", last="2024-04-01", row_id=["loan_id"],
+    )
+    assert later.matched.count() == 120
+    order = lambda rows: sorted(map(str, rows.collect()))
+    assert order(later.performance) == order(result.performance)
+    kept = spark.read.parquet(lake.path("gold", "monitoring/performance_metrics"))
+    assert {str(r[0]): r[1] for r in kept.groupBy("report_date").count().collect()} == {
+        "2024-04-01": 3, "2024-05-01": 3,
+    }
+    # Each snapshot counts once, as predicted last, or as the named date predicted it.
+    assert {r["num_samples"] for r in later.performance.collect()} == {60}
+    named = monitoring.run(
+        spark, lake, features(spark, lake), "2024-02-01", "2024-05-02",
+        prediction_date="2024-05-01", row_id=["loan_id"],
+    )
+    assert [(r["snapshot_date"].month, r["num_samples"]) for r in named.performance.collect()] == [(4, 60)]
+
 
 def test_tuned_model_is_saved_and_scores_a_range(spark, lake):
     labels = store.read_snapshots(spark, lake.path("silver", "loan_daily")).select(

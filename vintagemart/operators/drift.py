@@ -85,6 +85,18 @@ def psi_by_snapshot(
     window over the finished histograms, one row per snapshot.
     """
     histogram = score_histogram(df, [*models, date_col], score, n_bins)
+    return psi_of_histogram(histogram, baseline, date_col, n_bins, models, keep_baseline_row)
+
+
+def psi_of_histogram(
+    histogram: DataFrame,
+    baseline: date | str,
+    date_col: str = "snapshot_date",
+    n_bins: int = N_BINS,
+    models: Sequence[str] = (),
+    keep_baseline_row: bool = True,
+) -> DataFrame:
+    """``psi_by_snapshot`` from finished histograms."""
     requested = F.col(date_col) == F.lit(as_date(baseline))
     preference = F.struct(F.when(requested, 0).otherwise(1), F.col(date_col))
     snapshots = Window.partitionBy(*(models or [F.lit(0)]))

@@ -26,6 +26,7 @@ TOP_BITS = 10
 MID_BITS = 22
 
 _CELLS = ("tn", "fp", "fn", "tp")
+SCORE_COLUMNS = ("top", "mid", "score")
 
 
 def _score_digits(score: Column) -> tuple[Column, Column]:
@@ -86,15 +87,15 @@ def class_metric_columns(
     }
 
 
-def scored_counts(
+def score_counts(
     df: DataFrame,
     groups: Sequence[str],
     label: str,
     score: str,
     predicted: str | None,
 ) -> DataFrame:
-    """Per group: winning pairs, the four confusion cells, and how many rows lack
-    a binary label, a finite score or a binary class."""
+    """Per group and score: the four confusion cells, how many rows lack a binary label,
+    a finite score or a binary class, and all rows. Counts of several tables add up."""
     actual = F.col(label)
     value = F.col(score).cast("double")
     guess = F.col(predicted) if predicted else F.lit(1)
@@ -107,7 +108,7 @@ def scored_counts(
         *named, value.alias("score"), actual.alias("actual"), guess.alias("guess"), bad.alias("bad")
     )
     top, mid = _score_digits(F.when(F.col("bad"), F.lit(0.0)).otherwise(F.col("score")))
-    base = (
+    counted = (
         rows.withColumn("top", top)
         .withColumn("mid", mid)
         .groupBy(*keys, "top", "mid", "score")
@@ -117,8 +118,24 @@ def scored_counts(
             _cell(F.col("actual"), F.col("guess"), 1, 0).alias("fn"),
             _cell(F.col("actual"), F.col("guess"), 1, 1).alias("tp"),
             F.count_if("bad").alias("n_bad"),
+            F.count("*").alias("n_rows"),
         )
     )
+    back = dict(zip(keys, groups))
+    return counted.select(
+        *[F.col(k).alias(g) for k, g in back.items()], *SCORE_COLUMNS, *_CELLS, "n_bad", "n_rows"
+    )
+
+
+def summed_counts(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Per group of rows of ``score_counts``: winning pairs, cells and unusable rows."""
+    keys = [f"__g{i}" for i in range(len(groups))] or ["__all"]
+    named = [F.col(g).alias(k) for g, k in zip(groups, keys)] or [F.lit(0).alias("__all")]
+    base = (
+        counts.select(*named, *SCORE_COLUMNS, *_CELLS, "n_bad")
+        .groupBy(*keys, *SCORE_COLUMNS)
+        .agg(*[F.sum(c).alias(c) for c in (*_CELLS, "n_bad")])
+    )
     ties = (F.col("fn") + F.col("tp")).cast("double") * (F.col("tn") + F.col("fp")).cast("double")
     counts = base.withColumn("wins", F.lit(0.5) * ties)
     counts = _count_pairs(counts, [*keys, "top", "mid"], "score")
@@ -130,6 +147,17 @@ def scored_counts(
     )
 
 
+def scored_counts(
+    df: DataFrame,
+    groups: Sequence[str],
+    label: str,
+    score: str,
+    predicted: str | None,
+) -> DataFrame:
+    """Per group of rows: winning pairs, cells and unusable rows."""
+    return summed_counts(score_counts(df, groups, label, score, predicted), groups)
+
+
 def _auc_column(one_class: float | None) -> Column:
     positives = (F.col("fn") + F.col("tp")).cast("double")
     negatives = (F.col("tn") + F.col("fp")).cast("double")
@@ -210,6 +238,14 @@ def model_metrics(
     )
 
 
+def skip_reason() -> Column:
+    """Why summed counts give no metrics; null if they do."""
+    tn, fp, fn, tp = (F.col(c) for c in _CELLS)
+    return F.when(F.col("n_bad") > 0, "rows without a label, score or class").when(
+        (fn + tp == 0) | (tn + fp == 0), "only one class"
+    )
+
+
 def skipped_groups(
     df: DataFrame,
     groups: Sequence[str] = ("snapshot_date",),
@@ -220,12 +256,12 @@ def skipped_groups(
     """The groups that ``performance_by_group`` has no row for, and why: rows,
     unusable rows among them, reason."""
     counts = scored_counts(df, groups, label, score, predicted)
-    tn, fp, fn, tp = (F.col(c) for c in _CELLS)
-    reason = F.when(F.col("n_bad") > 0, "rows without a label, score or class").when(
-        (fn + tp == 0) | (tn + fp == 0), "only one class"
-    )
-    found = counts.withColumn("reason", reason).where("reason is not null")
-    rows = df.groupBy(*groups).agg(F.count("*").alias("n_rows"))
+    found = counts.withColumn("reason", skip_reason()).where("reason is not null")
+    return with_rows(found, df.groupBy(*groups).agg(F.count("*").alias("n_rows")), groups)
+
+
+def with_rows(found: DataFrame, rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Skipped groups with the number of their rows; null groups are groups."""
     same = [found[g].eqNullSafe(rows[g]) for g in groups]
     joined = found.join(rows, same) if groups else found.join(rows)
     return joined.select(*[found[g] for g in groups], "n_rows", "n_bad", "reason")
@@ -243,7 +279,11 @@ def performance_by_group(
     Groups with one class only, or with a missing label, score or class, have
     no row; ``skipped_groups`` lists them.
     """
-    counts = scored_counts(df, groups, label, score, predicted)
+    return performance_of(scored_counts(df, groups, label, score, predicted), groups)
+
+
+def performance_of(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The metric rows of ``performance_by_group`` from summed counts."""
     tn, fp, fn, tp = (F.col(c) for c in _CELLS)
     n = tn + fp + fn + tp
     metrics = class_metric_columns(tn, fp, fn, tp)

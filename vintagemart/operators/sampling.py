@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -156,6 +156,7 @@ def nearest_neighbours(
     rings: int = RINGS,
     block_rows: int = BLOCK_ROWS,
     wanted: DataFrame | None = None,
+    search: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> DataFrame:
     """The k nearest other points of every point: id, rank, neighbour_id, distance.
 
@@ -170,6 +171,9 @@ def nearest_neighbours(
     that near. A task compares two bounded blocks and returns k rows per point,
     however dense one region is. What comes to the driver is the pivots and one
     summary row per ring.
+
+    ``search`` takes the place of the exact search among distinct vectors (id, features,
+    ask), such as ``lsh.near_vectors``; it is never chosen by size.
     """
     points = materialize(
         points.select(
@@ -192,7 +196,10 @@ def nearest_neighbours(
         F.col("group").alias("id"), "features", F.coalesce("ask", F.lit(False)).alias("ask")
     )
     distinct = materialize(distinct, "knn-distinct")
-    near = _nearest_distinct(distinct, k, max_pivots, rings, block_rows)
+    if search is not None:
+        near = search(distinct, k)
+    else:
+        near = _nearest_distinct(distinct, k, max_pivots, rings, block_rows)
     own = searched.select(
         F.col("group").alias("id"), F.col("group").alias("neighbour_id"), F.lit(0.0).alias("distance")
     )

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagemart.functions.dates import as_date
-from vintagemart.operators import columns, decisions, drift, evaluation, joins
+from vintagemart.operators import columns, decisions, drift, evaluation, joins, monitoring_state
+from vintagemart.operators.snapshots import snapshot_range
 from vintagemart.plans.lake import Lake
 from vintagemart.sources import files, store
 from vintagemart.sources.scratch import materialize
@@ -57,6 +58,20 @@ def monitor(
     columns.require_rows(performance, 1, "snapshots with valid metrics")
     skipped = materialize(evaluation.skipped_groups(matched), "skipped")
     shifts = materialize(drift.psi_by_snapshot(matched, baseline), "drift")
+    return _judged(matched, performance, skipped, shifts, report_date, auc_limit, psi_limit, **options)
+
+
+def _judged(
+    matched: DataFrame,
+    performance: DataFrame,
+    skipped: DataFrame,
+    shifts: DataFrame,
+    report_date: date | str,
+    auc_limit: float = decisions.RETRAIN_AUC,
+    psi_limit: float = decisions.RETRAIN_PSI,
+    **options,
+) -> Monitoring:
+    """Decision and report from the metrics of the snapshots."""
     summary = decisions.monitoring_summary(performance, shifts)
     decision = decisions.retraining_decision(summary, auc_limit, psi_limit, **options)
     decision = decision.withColumn("checked_timestamp", F.current_timestamp())
@@ -71,32 +86,74 @@ def monitor(
     return Monitoring(matched, performance, skipped, shifts, decision, report)
 
 
+def update_state(
+    spark: SparkSession,
+    lake: Lake,
+    predictions: DataFrame,
+    actuals: DataFrame,
+    row_id: list[str] | None = None,
+) -> DataFrame:
+    """Match the predictions, replace the stored state of the snapshots they are of, and
+    give back the matched rows."""
+    matched = materialize(joins.align_predictions(predictions, actuals, row_id=row_id), "matched")
+    state = monitoring_state.score_state(matched)
+    store.write_snapshots(state, lake.path("gold", "monitoring/state"), monitoring_state.KEYS)
+    return matched
+
+
 def run(
     spark: SparkSession,
     lake: Lake,
     features: DataFrame,
     baseline: date | str,
     report_date: date | str,
+    first: date | str | None = None,
+    last: date | str | None = None,
+    model_name: str | None = None,
+    prediction_date: date | str | None = None,
+    row_id: list[str] | None = None,
     **options,
 ) -> Monitoring:
-    predictions = store.read_snapshots(spark, lake.path("gold", "predictions"))
-    result = monitor(predictions, load_actuals(features), baseline, report_date, **options)
-    day = f"{as_date(report_date):%Y%m%d}"
-    result.performance.write.mode("overwrite").parquet(
-        lake.path("gold", "monitoring/performance_metrics")
-    )
-    result.skipped.write.mode("overwrite").parquet(
-        lake.path("gold", "monitoring/skipped_snapshots")
-    )
-    result.drift.write.mode("overwrite").parquet(lake.path("gold", "monitoring/drift_metrics"))
-    files.write_json_record(
-        result.decision, lake.path("gold", "monitoring/threshold_check")
-    )
-    files.write_json_record(result.report, lake.path("gold", f"monitoring/report_{day}"))
-    files.write_json_record(
-        joins.match_summary(predictions, load_actuals(features)),
-        lake.path("gold", "monitoring/data_summary"),
-    )
+    """Merge the predictions of ``[first, last]`` (all, if open) into the stored state and
+    report on all snapshots in it. Months that aren't named are not read again.
+
+    ``model_name`` and ``prediction_date`` choose among predictions; without them each
+    snapshot counts once, as it was predicted last. What a report found is stored under
+    its date, beside that of other dates.
+    """
+    predictions = store.read_snapshots(spark, lake.path("gold", "predictions"), first, last)
+    if model_name is not None:
+        predictions = predictions.where(F.col("model_name") == model_name)
+    if prediction_date is not None:
+        predictions = predictions.where(F.col("prediction_date") == F.lit(as_date(prediction_date)))
+    actuals = snapshot_range(load_actuals(features), first, last)
+    matched = update_state(spark, lake, predictions, actuals, row_id)
+    columns.require_rows(matched, 1, "predictions with actuals")
+
+    stored = store.read_snapshots(spark, lake.path("gold", "monitoring/state"))
+    state = materialize(monitoring_state.chosen_state(stored, model_name, prediction_date), "state")
+    counts = materialize(evaluation.summed_counts(state, ["snapshot_date"]), "counts")
+    performance = evaluation.performance_of(counts, ["snapshot_date"])
+    columns.require_rows(performance, 1, "snapshots with valid metrics")
+    skipped = monitoring_state.skipped_from_state(state, counts)
+    shifts = drift.psi_of_histogram(monitoring_state.histogram_from_state(state), baseline)
+    shifts = materialize(shifts, "drift")
+    result = _judged(matched, performance, skipped, shifts, report_date, **options)
+
+    dated = {
+        "performance_metrics": result.performance,
+        "skipped_snapshots": result.skipped,
+        "drift_metrics": result.drift,
+    }
+    day = F.lit(as_date(report_date)).alias("report_date")
+    for name, rows in dated.items():
+        path = lake.path("gold", f"monitoring/{name}")
+        store.write_snapshots(rows.select("*", day), path, ["report_date"])
+    text = f"{as_date(report_date):%Y%m%d}"
+    summary = joins.match_summary(predictions, actuals)
+    records = {"threshold_check": result.decision, "report": result.report, "data_summary": summary}
+    for name, row in records.items():
+        files.write_json_record(row, lake.path("gold", f"monitoring/{name}_{text}"))
     return result
 
 

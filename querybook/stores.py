@@ -246,3 +246,68 @@ def registry_append(spark, sf_dir):
         F.count("*").alias("n_runs"),
         F.date_format(F.max("timestamp"), "yyyy-MM-dd").alias("latest"),
     )
+
+
+# Three layouts of the same extract: names, and which customers are in it.
+_LAYOUTS = {
+    0: ["c_custkey", "c_name", "c_acctbal"],
+    1: ["c_acctbal", "extra", "c_custkey", "c_name"],
+    2: ["c_name", "c_custkey", "c_acctbal"],
+}
+
+
+def _extract_lines(spark, sf_dir):
+    """Lines of CSV files, a header first in each: every 17th has a field too many, every
+    19th one too few, and every 23rd a balance that is no number."""
+    key = F.col("c_custkey")
+    balance = F.when(key % 23 == 0, F.lit("n/a")).otherwise(key.cast("string"))
+    field = {
+        "c_custkey": key.cast("string"),
+        "c_name": F.concat(F.lit('"'), "c_name", F.lit(', ""esq"""')),
+        "c_acctbal": balance,
+        "extra": F.lit("x"),
+    }
+    more = F.when(key % 17 == 0, ",more").otherwise("")
+    customers = views.table(spark, sf_dir, "customer")
+    parts = []
+    for layout, names in _LAYOUTS.items():
+        whole = F.concat(F.concat_ws(",", *[field[n] for n in names]), more)
+        short = F.concat_ws(",", *[field[n] for n in names[:-1]])
+        line = F.when((key % 19 == 0) & (key % 17 != 0), short).otherwise(whole)
+        own = customers.where(key % 3 == layout)
+        parts.append(own.select((key % 6).alias("file"), key.alias("place"), line.alias("line")))
+        # Every customer's file gets its header from the rows themselves.
+        files_of = own.select((key % 6).alias("file")).distinct()
+        parts.append(files_of.select("file", F.lit(-1).cast("bigint").alias("place"), F.lit(",".join(names)).alias("line")))
+    return store.union_by_name(parts)
+
+
+@query(
+    "scan_csv_rejects",
+    """WITH c AS (SELECT *, c_custkey % 3 AS layout,
+                         CASE WHEN c_custkey % 17 = 0 OR c_custkey % 19 = 0 THEN 'number of fields'
+                              WHEN c_custkey % 23 = 0 THEN 'c_acctbal: n/a' END AS reason FROM customer)
+       SELECT 'row' AS kind, layout, c_custkey, c_name || ', "esq"' AS c_name,
+              c_custkey::DOUBLE AS c_acctbal, NULL AS reason, 1 AS n
+       FROM c WHERE reason IS NULL
+       UNION ALL SELECT 'reject', layout, NULL, NULL, NULL, reason, count(*) FROM c WHERE reason IS NOT NULL GROUP BY 2, 6""",
+)
+def scan_csv_rejects(spark, sf_dir):
+    """Files with columns in three orders, read by name; bad lines counted by file and reason."""
+    path = scratch_path(spark, "extracts")
+    lines = _extract_lines(spark, sf_dir)
+    ordered = lines.repartition("file").sortWithinPartitions("file", "place")
+    ordered.select("file", "line").write.partitionBy("file").text(path)
+    paths = files.matching(spark, f"{path}/file=*/*.txt")
+    rows, rejects = files.scan_csv_checked(spark, paths, CUSTOMER_CSV)
+    file = F.regexp_extract("file", r"/file=(\d+)/", 1).cast("bigint")
+    counted = rejects.groupBy((file % 3).alias("layout"), "reason").agg(F.count("*").alias("n"))
+    kept = rows.select(
+        F.lit("row").alias("kind"),
+        (F.col("c_custkey") % 3).alias("layout"),
+        *CUSTOMER_CSV.names,
+        F.lit(None).cast("string").alias("reason"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    told = counted.select(F.lit("reject").alias("kind"), "layout", "reason", "n")
+    return kept.unionByName(told, allowMissingColumns=True)

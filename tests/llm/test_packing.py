@@ -144,3 +144,13 @@ def test_query_keeps_its_contract(spark, sf_dir):
             expected.add((key, piece, start, len(cut), zlib.crc32(cut.tobytes())))
     assert {tuple(r)[:5] for r in rows} == expected and len(rows) == len(expected)
     assert len({r["sequence_id"] for r in rows}) == best_fit_decreasing([r["length"] for r in rows], 2048)
+
+
+def test_random_texts_give_the_tokenizers_ids():
+    tokenizer, rng = Tokenizer.from_file(PATH), random.Random(4)
+    parts = ["İ", "I", "ı", "ß", "é", "é", "̇", "a", "Z", "7", "日", "Ω", "ς", ".", ",", "'s", "!?", "(", "🙂", " ", "  ", "\n"]
+    texts = ["BİLGİ.", "İ,", "tarihİ;", "İ́."]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(20_000)]
+    for text, packed in zip(texts, TokenIds(PATH).of([t.encode() for t in texts])):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packed, "<u4").tolist() == ids, text

@@ -87,8 +87,9 @@ class TokenIds(dict):
             stem = form.rstrip(MARKS)
             if len(stem) == len(form):
                 stems.add(form)
-            # Marks after a letter or digit are a token of their own.
-            elif stem and (97 <= stem[-1] <= 122 or stem.decode()[-1].isalnum()):
+            # Marks after a letter or digit are a token of their own; a capital may become
+            # a letter and a mark that isn't one.
+            elif stem and (97 <= stem[-1] <= 122 or stem.decode().lower()[-1].isalnum()):
                 marked.append((form, stem))
                 stems.add(stem)
             else:

@@ -105,3 +105,28 @@ def test_tables(spark):
         pseudonymize(df, b"")
     with pytest.raises(ValueError):
         pseudonymize(df.withColumnRenamed("c0", "n_pseudonyms"), b"key", count=True)
+
+
+@pytest.mark.parametrize("length", [511, 512, 513, 4000, 100_000])
+def test_long_values_come_back(spark, length):
+    there, back = Pseudonymizer(b"key"), Pseudonymizer(b"key", back=True)
+    blob = "".join("aB3_/x-9Zq"[i * i % 10] for i in range(length))
+    for text in (f"token={blob} end", f"{'ab' * (length // 2)}@example.org"):
+        new, count = there.text(text)
+        assert count == 1 and new != text and len(new) == len(text)
+        assert there.text(text)[0] == new and back.text(new) == (text, 1)
+    # One letter more or less changes all blocks, not the ones behind it alone.
+    if length > 1024:
+        other, _ = there.text(f"token={blob[:-1]}q end")
+        same = sum(a == b for a, b in zip(other, there.text(f"token={blob} end")[0]))
+        assert same < 0.6 * length
+
+
+def test_timestamps_and_words_after_a_colon():
+    rule = Pseudonymizer(b"key")
+    new, count = rule.text("on 2024-01-15T10:30:00Z sent")
+    assert count == 1 and "2024-01-15" not in new and new.endswith("T10:30:00Z sent")
+    for text in ("The secret: always smile", "password: required.", "Token: economics", "secret: (see below)"):
+        assert rule.text(text) == (text, 0)
+    for text in ("password: hunter2", "secret = smile", 'token: "always"', "api_key: aBcDef", "pwd: corr-ect_horse"):
+        assert rule.text(text)[1] == 1, text

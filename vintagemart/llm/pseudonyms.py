@@ -40,6 +40,8 @@ from pyspark.sql import types as T
 from vintagemart.llm.worker import slices
 
 ROUNDS = 8
+# Letters and digits that are permuted as one number.
+WHOLE = 512
 # Pseudonyms remembered per task before the memory starts anew.
 REMEMBERED = 100_000
 FIRST_DAY = date(1800, 1, 1).toordinal()
@@ -50,12 +52,14 @@ _SIGNS = re.compile(r"[0-9@=:]")
 _FOUND = re.compile(
     r"""
       (?P<access>(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9]))
-    | (?i:password|passwd|pwd|passphrase|secret|token|api[_-]?key)["']?\s*(?:=|:(?!//))\s*["']?(?P<secret>[^\s"']{4,})
+    | (?i:password|passwd|pwd|passphrase|secret|token|api[_-]?key)["']?\s*
+      (?:=\s*["']?|:(?!//)\s*(?:["']|(?=[^\s"']*?(?:[0-9]|[a-z][A-Z]|[A-Za-z][^\w\s"'.,;:!?][A-Za-z]))))
+      (?P<secret>[^\s"']{4,})
     | (?P<email>(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})
     | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
     | (?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9]))
     | (?P<date>(?<![\w./-])(?:[0-9]{4}(?P<m1>[-/.])[0-9]{1,2}(?P=m1)[0-9]{1,2}
-                             |[0-9]{1,2}(?P<m2>[-/.])[0-9]{1,2}(?P=m2)[0-9]{4})(?![\w/-]|\.[0-9]))
+                             |[0-9]{1,2}(?P<m2>[-/.])[0-9]{1,2}(?P=m2)[0-9]{4})(?=T[0-9]{2}:|(?![\w/-]|\.[0-9])))
     | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
     | (?P<card>(?<![\w+-])(?:[0-9]{12,19}|[0-9]{4}(?P<m3>[ -])[0-9]{4}(?P=m3)[0-9]{4}(?P=m3)[0-9]{1,7}
                             |[0-9]{4}(?P<m4>[ -])[0-9]{6}(?P=m4)[0-9]{5})(?![\w-]|\.[0-9]))
@@ -75,7 +79,7 @@ class Permutation:
 
     def _round(self, tweak: bytes, number: int, half: int, bits: int) -> int:
         size = (bits + 7) // 8
-        seed = b"%b|%b|%d|%d|%d" % (self.key, tweak, bits, number, half)
+        seed = b"%b|%b|%d|%d|%x" % (self.key, tweak, bits, number, half)
         return int.from_bytes(hashlib.shake_256(seed).digest(size), "big") & ((1 << bits) - 1)
 
     def _network(self, x: int, n: int, tweak: bytes, back: bool) -> int:
@@ -124,23 +128,58 @@ def iban_check(country: str, account: str) -> str:
 
 
 def _by_classes(text: str, step: Step, tweak: bytes) -> str:
-    """Permute the letters and digits of a text among texts of the same pattern."""
-    classes = {"0": ("0", 10), "a": ("a", 26), "A": ("A", 26)}
-    places = []
-    for at, c in enumerate(text):
-        kind = "0" if "0" <= c <= "9" else "a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else ""
-        if kind:
-            places.append((at, *classes[kind]))
+    """Permute the letters and digits of a text among texts of the same pattern.
+
+    Up to ``WHOLE`` letters and digits are one number. Longer texts are permuted in
+    blocks of so many, first from the front and then from the back, each block under a
+    tweak that holds its finished neighbour, so that every block depends on all others.
+    """
+    places = [at for at, c in enumerate(text) if c.isascii() and c.isalnum()]
+    if len(places) <= WHOLE:
+        return _permuted(text, places, step, tweak)
+    blocks = [places[i : i + WHOLE] for i in range(0, len(places), WHOLE)]
+    tweak += b":%d" % len(places)
+    one, two = range(len(blocks)), range(len(blocks) - 1, -1, -1)
+    for order, name in ((two, b"back"), (one, b"front")) if _is_back(step) else ((one, b"front"), (two, b"back")):
+        text = _chained(text, blocks, order, step, tweak + b":" + name)
+    return text
+
+
+def _chained(text: str, blocks: list[list[int]], order: range, step: Step, tweak: bytes) -> str:
+    """Permute the blocks in order, each under the result of the one before it; undone
+    from the last to the first, since that result is what an undone text begins with."""
+    told = [text[b[0] : b[-1] + 1] for b in blocks]
+    back = _is_back(step)
+    for at in reversed(order) if back else order:
+        k = order.index(at)
+        before = told[order[k - 1]] if k else ""
+        own = tweak + b":%d:" % k + hashlib.blake2b(before.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        places = [p - blocks[at][0] for p in blocks[at]]
+        told[at] = _permuted(told[at], places, step, own)
+    out, done = [], 0
+    for block, part in zip(blocks, told):
+        out += [text[done : block[0]], part]
+        done = block[-1] + 1
+    return "".join([*out, text[done:]])
+
+
+def _is_back(step: Step) -> bool:
+    return step.__name__ == "backward"
+
+
+def _permuted(text: str, at: list[int], step: Step, tweak: bytes) -> str:
+    """The letters and digits at these places as one number, permuted."""
+    places = [(i, *(("0", 10) if text[i].isdigit() else ("a", 26) if text[i].islower() else ("A", 26))) for i in at]
     value, total = 0, 1
-    for at, zero, radix in places:
-        value = value * radix + ord(text[at]) - ord(zero)
+    for i, zero, radix in places:
+        value = value * radix + ord(text[i]) - ord(zero)
         total *= radix
     pattern = "".join(zero for _, zero, _ in places)
     value = step(value, total, tweak + b":" + pattern.encode())
     out = list(text)
-    for at, zero, radix in reversed(places):
+    for i, zero, radix in reversed(places):
         value, digit = divmod(value, radix)
-        out[at] = chr(ord(zero) + digit)
+        out[i] = chr(ord(zero) + digit)
     return "".join(out)
 
 
@@ -285,6 +324,8 @@ class Pseudonymizer:
 
     def value(self, kind: str, text: str) -> str | None:
         """The pseudonym of one value; None if it isn't a valid one of its kind."""
+        if len(text) > WHOLE:
+            return _RULES[kind](text, self.step)
         if (kind, text) not in self.known:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()

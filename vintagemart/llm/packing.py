@@ -36,7 +36,7 @@ from vintagemart.llm.worker import per_worker
 from vintagemart.sources.scratch import materialize
 
 # Word forms remembered per worker before the memory starts anew.
-REMEMBERED_FORMS = 700_000
+REMEMBERED_FORMS = 1_000_000
 # Marks that may follow a word; the apostrophe isn't one, as it may begin an ending.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LAST_LATIN = "\u024f"

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,13 +46,21 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every scratch table of this process; for the end of a job, when all
-    results are stored."""
+def in_use() -> list[str]:
+    """Paths handed out and not yet released."""
+    return list(_in_use)
+
+
+def release(spark: SparkSession, paths: Iterable[str] | None = None) -> int:
+    """Delete the given scratch tables, or every one of this process; for the end of a
+    job or a stage, when all results are stored."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     released = 0
-    while _in_use:
-        path = hadoop(_in_use.pop())
+    for name in in_use() if paths is None else list(paths):
+        if name not in _in_use:
+            continue
+        _in_use.remove(name)
+        path = hadoop(name)
         released += path.getFileSystem(conf).delete(path, True)
     return released

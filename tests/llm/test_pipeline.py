@@ -109,3 +109,22 @@ def test_empty_documents(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
+
+
+def test_stages_release_what_they_wrote(spark, tmp_path):
+    from vintagemart.sources.scratch import in_use, materialize
+
+    @corpus_pipeline.staged
+    def stage(spark, docs, sf_dir):
+        return materialize(docs.withColumn("x", docs.id + 1), "of-a-stage").drop("x")
+
+    docs = spark.range(10)
+    first = stage(spark, docs, "")
+    mine = [p for p in in_use() if "of-a-stage" in p][-1]
+    # Not stored yet: the next stage reads it, so it stays.
+    second = stage(spark, first, "")
+    assert mine in in_use() and second.count() == 10
+    second.write.parquet(str(tmp_path / "second"))
+    own = [p for p in in_use() if "of-a-stage" in p][-1]
+    third = stage(spark, spark.read.parquet(str(tmp_path / "second")), "")
+    assert own not in in_use() and third.count() == 10

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from oracle import connect, differences
 from pyspark.sql import functions as F
@@ -99,6 +100,7 @@ def test_near_copies_and_a_very_long_text(spark):
 
 def test_large_cells_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 6)
+    monkeypatch.setattr(ngram_join, "MARK_SETS", 5)
     monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
     rows = near_copies(5, families=3, copies=40, words=40)
     assert found(spark, rows, 3, 80) == brute(rows, 3, 80)
@@ -106,6 +108,7 @@ def test_large_cells_are_compared_in_blocks(spark, monkeypatch):
 
 def test_few_long_sets_leave_blocks_empty(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", 50)
+    monkeypatch.setattr(ngram_join, "MARK_TOKENS", 70)
     rows = near_copies(7, families=8, copies=2, words=60)
     assert found(spark, rows, 3, 80) == brute(rows, 3, 80)
 
@@ -122,6 +125,62 @@ def test_prefixes_always_meet():
                 assert prefix_length(m, percent) > m - common
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_marks_keep_every_linked_pair(percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for n in (1, 2, 5, 63, 64, 65, 130, 900, 2100):
+        base = rng.integers(0, 1 << 62, n, dtype=np.uint64)
+        for changed in (0, 1, n // 20, n // 9, n // 4, n // 2):
+            sets.append(np.unique(np.concatenate([base[changed:], rng.integers(0, 1 << 62, changed // 2, np.uint64)])))
+    sets = [s for s in sets if len(s)]
+    sizes = np.array([len(s) for s in sets])
+    side = rng.integers(0, 2, len(sets))
+    marks = [ngram_join._marks(s) for s in sets]
+    alone = ngram_join._near(sizes, marks, side, True, percent)
+    apart = ngram_join._near(sizes, marks, side, False, percent)
+    linked = 0
+    for i, one in enumerate(sets):
+        for j, two in enumerate(sets[:i]):
+            common = len(np.intersect1d(one, two))
+            if 100 * common >= percent * (len(one) + len(two) - common):
+                linked += 1
+                assert alone[i, j] and alone[j, i]
+                assert apart[i, j] == (side[i] != side[j])
+    # At lower similarities marks as long as this tell little.
+    assert percent < 80 or np.triu(alone, 1).sum() < 2 * linked
+    assert not (apart & (side[:, None] == side)).any()
+
+
+def test_texts_that_share_passages_only_are_cut_apart(spark, monkeypatch):
+    kept = []
+    materialize = ngram_join.materialize
+
+    def watched(df, name="table"):
+        out = materialize(df, name)
+        if name in ("cells", "near-cells"):
+            kept.append((name, out))
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", watched)
+    rng = random.Random(11)
+    passages = [[f"p{i}x{j}" for j in range(40)] for i in range(6)]
+    rows = []
+    for i in range(60):
+        words = [f"u{rng.randrange(30)}" for _ in range(60)]
+        text = rng.choice(passages) + words + rng.choice(passages)
+        rows += [(2 * i, " ".join(text))] + ([(2 * i + 1, " ".join(text[:-1]))] if i % 5 == 0 else [])
+    assert found(spark, rows, 5, 80) == brute(rows, 5, 80)
+    largest = {name: max(r["count"] for r in df.groupBy("cell").count().collect()) for name, df in kept}
+    assert largest["near-cells"] == 2 < largest["cells"]
+
+
+def test_many_rows_of_one_id(spark):
+    rows = [(1, "a b c d e f g h i j k l")] * 40 + [(1, f"a b c d e f g h i j k l {i}") for i in range(40)]
+    rows += [(None, "a b c d e f g h i j k l m")] * 3
+    assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert jaccard_classes(df).columns == ["id", "n_shingles", "component", "links"]

@@ -13,7 +13,12 @@ So a pair has to pass that filter under every order at once:
    fall into one cell, cells are cut again by the prefix tokens of the second
    order, so a pair that passes every filter never gets separated, and no pairs
    are listed;
-4. cells are verified exactly: small ones many to a task, a large one dealt into
+4. what hangs together through others only is cut pair by pair: each set has marks,
+   one bit per two to one tokens, that tell a lower bound of how many tokens two
+   sets don't share. A task compares the marks of two bounded blocks of a cell and
+   gives back a spanning forest of the pairs that may still be linked. Its trees
+   are the cells that are left, hardly more than the classes themselves;
+5. these are verified exactly: small ones many to a task, a large one dealt into
    blocks by set size and hash, of which a task compares two. It gives back a
    spanning forest of the links and the number of links of each node.
 """
@@ -22,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,20 +48,41 @@ from vintagemart.sources.scratch import materialize
 
 # Slots of the word-count sketch (16 MB); its size doesn't depend on the data.
 SKETCH_SLOTS = 1 << 24
-# Rows up to which a table of ids or hashes is broadcast (16 MB); others are shuffled.
+# Entries (rows and what their lists hold) up to which a table of ids or hashes is
+# broadcast (16 to 32 MB); others are shuffled.
 BROADCAST_ROWS = 1_000_000
 # Sets and tokens that one block of a large cell holds on average, and tokens of the
 # small cells that share a task.
 BLOCK_SETS = 512
 BLOCK_TOKENS = 1 << 20
 BUCKET_TOKENS = 1 << 16
+# The same for blocks of marks, which take one to two bits a token.
+MARK_SETS = 2048
+MARK_TOKENS = 1 << 25
+MARK_BUCKET_TOKENS = 1 << 21
+# Bits of the shortest marks.
+LEAST_MARKS = 64
 
-SET_SCHEMA = "id long, tag long, n long, node binary, first array<long>, second array<long>"
+SET_SCHEMA = "id long, tag long, n long, node binary, marks binary, first array<long>, second array<long>"
+UNITS = "array<struct<bucket:long,k1:int,k2:int,i:int,j:int,side:int>>"
+UNIT = ["bucket", "large", "k1", "k2", "i", "j"]
 
 
-def bounded_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join with a stored right side: broadcast if it is counted to be small."""
-    small = right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+class Blocks(NamedTuple):
+    """Sets and tokens of a block of a large cell, and tokens of a bucket of small ones."""
+
+    sets: int
+    tokens: int
+    bucket: int
+
+
+def bounded_join(left: DataFrame, right: DataFrame, on, how: str = "inner", listed: str | None = None) -> DataFrame:
+    """Join with a stored right side: broadcast if it is counted to be small, with the
+    entries of the list column ``listed``."""
+    if listed is None:
+        small = right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    else:
+        small = (right.agg(F.sum(F.size(listed) + 1)).first()[0] or 0) <= BROADCAST_ROWS
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
@@ -130,16 +157,28 @@ def _name(tokens: np.ndarray) -> bytes | None:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
 
+def _marks(tokens: np.ndarray) -> bytes | None:
+    """One bit per slot, set if an odd number of tokens fall there. The slots are the
+    low bits of the hash, the next power of two from the number of tokens on."""
+    if not len(tokens):
+        return None
+    width = max(LEAST_MARKS, 1 << (len(tokens) - 1).bit_length())
+    slots = (tokens & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(slots, minlength=width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
 def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word_hashes", WordHashes)
         for batch in slices(batches):
-            sizes, names, firsts, seconds = [], [], [], []
+            sizes, names, marks, firsts, seconds = [], [], [], [], []
             for text in text_bytes(batch.column("text")):
                 first, second = _ordered(hashes.of(text), size, rarity)
                 kept = prefix_length(len(first), percent)
                 sizes.append(len(first))
                 names.append(_name(first))
+                marks.append(_marks(first))
                 firsts.append(first[:kept].copy())
                 seconds.append(second[:kept].copy())
             yield pa.RecordBatch.from_arrays(
@@ -148,10 +187,11 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
                     batch.column("tag"),
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.binary()),
+                    pa.array(marks, pa.binary()),
                     long_lists(firsts),
                     long_lists(seconds),
                 ],
-                names=["id", "tag", "n", "node", "first", "second"],
+                names=["id", "tag", "n", "node", "marks", "first", "second"],
             )
 
     return run
@@ -160,11 +200,25 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
 def _sets(size: int, rarity: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word_hashes", WordHashes)
+        done: set[bytes] = set()
         for batch in slices(batches):
             nodes = batch.column("node").to_pylist()
+            # Rows repeated with their id stand for one node, those that share id and tag
+            # with another text for none.
+            fresh = []
+            for i, node in enumerate(nodes):
+                if node not in done:
+                    done.add(node)
+                    fresh.append(i)
+            batch = batch.take(pa.array(fresh, pa.int64()))
+            nodes = [nodes[i] for i in fresh]
             found = [_ordered(hashes.of(t), size, rarity)[0] for t in text_bytes(batch.column("text"))]
-            # Rows that share their id with another text don't stand for the node.
-            keep = [i for i, tokens in enumerate(found) if _name(tokens) == nodes[i]]
+            keep = []
+            for i, tokens in enumerate(found):
+                if _name(tokens) == nodes[i]:
+                    keep.append(i)
+                else:
+                    done.discard(nodes[i])
             rest = batch.select(["node", "copies", "cell", "units"]).take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, long_lists([found[i] for i in keep])],
@@ -287,7 +341,84 @@ def _verify(percent: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _units(members: DataFrame, percent: int) -> DataFrame:
+def _unlike(marks: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Slots in which one row of marks differs from each row of ``other``."""
+    return np.bitwise_count(other ^ marks).sum(axis=1, dtype=np.int64)
+
+
+def _folded(marks: np.ndarray) -> np.ndarray:
+    """The marks for half the slots."""
+    half = marks.shape[1] // 2
+    return marks[:, :half] ^ marks[:, half:]
+
+
+def _near(sizes: np.ndarray, marks: list[bytes], side: np.ndarray, alone: bool, percent: int) -> np.ndarray:
+    """The matrix of pairs of both sides that may be linked.
+
+    Linked sets differ in at most ``(100 - percent) / (100 + percent)`` of the sum of
+    their sizes, and every slot that differs takes a token that differs. Sets whose
+    marks have four times the slots have more than twice the tokens.
+    """
+    near = np.zeros((len(sizes), len(sizes)), bool)
+    lengths = np.array([len(m) for m in marks])
+    for width in np.unique(lengths):
+        here = np.flatnonzero(lengths == width)
+        same = np.frombuffer(b"".join(marks[i] for i in here), np.uint64).reshape(len(here), -1)
+        twice = np.flatnonzero(lengths == 2 * width)
+        if len(twice):
+            wide = np.frombuffer(b"".join(marks[i] for i in twice), np.uint64).reshape(len(twice), -1)
+            same = np.concatenate([same, _folded(wide)])
+        rows = np.concatenate([here, twice])
+        order = np.argsort(sizes[rows], kind="stable")
+        rows, same = rows[order], same[order]
+        held = sizes[rows]
+        # Each set against those that are as large or larger, up to the last that can be linked.
+        ends = np.searchsorted(held, held * 100 // percent, side="right")
+        for at, row in enumerate(rows):
+            other = rows[at + 1 : ends[at]]
+            if not len(other):
+                continue
+            fits = np.ones(len(other), bool) if alone else side[other] != side[row]
+            fits &= (lengths[other] == width) | (lengths[row] == width)
+            picked = np.flatnonzero(fits)
+            if len(picked):
+                differ = _unlike(same[at], same[at + 1 + picked])
+                most = (sizes[other[picked]] + sizes[row]) * (100 - percent)
+                near[row, other[picked[differ * (100 + percent) <= most]]] = True
+    return near | near.T
+
+
+def _compare_marks(percent: int) -> Callable[[pa.Table], pa.Table]:
+    def run(block: pa.Table) -> pa.Table:
+        key, n, side, cell = (block.column(c).to_numpy() for c in ("key", "n", "side", "cell"))
+        marks = block.column("marks").to_pylist()
+        k1, k2, i, j = (block.column(c)[0].as_py() for c in ("k1", "k2", "i", "j"))
+        alone = k1 == k2 and i == j
+        order = np.argsort(cell, kind="stable")
+        us, vs = [], []
+        for rows in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
+            near = _near(n[rows], [marks[r] for r in rows], side[rows], alone, percent)
+            root = _forest(near)
+            kept = np.flatnonzero(near.any(axis=1))
+            us.append(key[rows[kept]])
+            vs.append(key[rows[root[kept]]])
+        return pa.table([np.concatenate(us), np.concatenate(vs)], names=["u", "v"])
+
+    return run
+
+
+def _near_cells(members: DataFrame, percent: int) -> DataFrame:
+    """(key, cell): members of one cell whose marks are close enough for a link,
+    directly or through others; those that are close to none are left out."""
+    units = _units(members, percent, Blocks(MARK_SETS, MARK_TOKENS, MARK_BUCKET_TOKENS))
+    large = F.when(F.col("unit.bucket") == 0, F.col("cell")).alias("large")
+    units = units.withColumn("unit", F.explode("units")).select("key", "n", "marks", "cell", large, "unit.*")
+    near = units.groupBy(*UNIT).applyInArrow(_compare_marks(percent), "u long, v long")
+    near = materialize(near.where("u != v"), "near")
+    return components(near).select(F.col("node").alias("key"), F.col("root").alias("cell"))
+
+
+def _units(members: DataFrame, percent: int, blocks: Blocks) -> DataFrame:
     """``members`` with the list of block pairs that each one takes part in.
 
     A small cell is one unit, and many of them share a task (``bucket``). A large
@@ -295,24 +426,23 @@ def _units(members: DataFrame, percent: int) -> DataFrame:
     class and of neighbouring classes are units of their own.
     """
     whole = members.groupBy("cell").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
-    fits = (F.col("rows") <= BLOCK_SETS) & (F.col("tokens") <= BLOCK_TOKENS)
+    fits = (F.col("rows") <= blocks.sets) & (F.col("tokens") <= blocks.tokens)
     whole = materialize(whole.where("rows > 1").select("*", fits.alias("fits")), "wholes")
     held = whole.where("fits").agg(F.sum("tokens")).first()[0] or 0
-    buckets = F.lit(-(-held // BUCKET_TOKENS) or 1)
+    buckets = F.lit(-(-held // blocks.bucket) or 1)
     members = members.join(whole.select("cell", "fits"), "cell")
-    unit = "array<struct<bucket:long,k1:int,k2:int,i:int,j:int,side:int>>"
     alone = F.struct(F.pmod(F.xxhash64("cell"), buckets) + 1, *[F.lit(0)] * 5)
-    small = members.where("fits").withColumn("units", F.array(alone).cast(unit)).drop("fits")
+    small = members.where("fits").withColumn("units", F.array(alone).cast(UNITS)).drop("fits")
 
     large = members.where("not fits").withColumn("class", _size_class(percent))
     counts = large.groupBy("cell", "class").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
-    parts = F.greatest(F.ceil(F.col("rows") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS))
+    parts = F.greatest(F.ceil(F.col("rows") / blocks.sets), F.ceil(F.col("tokens") / blocks.tokens))
     counts = materialize(counts.select("cell", "class", parts.cast("int").alias("parts")), "blocks")
     below = counts.select("cell", (F.col("class") + 1).alias("class"), F.col("parts").alias("below"))
     above = counts.select("cell", (F.col("class") - 1).alias("class"), F.col("parts").alias("above"))
     counts = counts.join(below, ["cell", "class"], "left").join(above, ["cell", "class"], "left")
     large = large.join(counts.fillna(0), ["cell", "class"]).withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+        "part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
     )
     pair = "named_struct('bucket', 0L, 'k1', {}, 'k2', {}, 'i', {}, 'j', {}, 'side', {})"
     # sequence(0, n) has one number more than there are blocks.
@@ -321,7 +451,7 @@ def _units(members: DataFrame, percent: int) -> DataFrame:
         transform(slice(sequence(0, part), 1, part), x -> {pair.format("class", "class", "x", "part", 1)}),
         transform(slice(sequence(0, above), 1, above), x -> {pair.format("class", "class + 1", "part", "x", 0)}),
         transform(slice(sequence(0, below), 1, below), x -> {pair.format("class - 1", "class", "x", "part", 1)}))"""
-    large = large.withColumn("units", F.expr(pairs).cast(unit)).select(*small.columns)
+    large = large.withColumn("units", F.expr(pairs).cast(UNITS)).select(*small.columns)
     return small.unionByName(large)
 
 
@@ -342,28 +472,34 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     second = held.select("n", "cell", "key", F.explode("second").alias("token"))
     cells = materialize(_cells(second, ["cell"], percent), "cells")
 
-    known = named.where("n > 0").groupBy("node", "n")
-    known = materialize(known.agg(F.count("*").alias("copies"), F.min("id").alias("id")), "nodes")
-    members = bounded_join(known.withColumn("key", key), cells, "key").drop("key")
-    chosen = materialize(_units(members, percent), "chosen").withColumnRenamed("id", "chosen_id")
-    texts = bounded_join(rows, chosen, rows["id"].eqNullSafe(chosen["chosen_id"]))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag")).alias("least")
+    known = named.where("n > 0").groupBy("node", "n").agg(
+        F.count("*").alias("copies"), least, F.first("marks").alias("marks")
+    )
+    known = materialize(known.select("node", "n", "copies", "least.id", "least.tag", "marks", key), "nodes")
+    members = bounded_join(known.select("key", "n", "marks"), cells, "key")
+    cells = materialize(_near_cells(materialize(members, "members"), percent), "near-cells")
+    known = known.drop("marks")
+    members = materialize(bounded_join(known, cells, "key"), "members")
+    chosen = _units(members, percent, Blocks(BLOCK_SETS, BLOCK_TOKENS, BUCKET_TOKENS))
+    chosen = chosen.withColumnsRenamed({"id": "chosen_id", "tag": "chosen_tag"})
+    same = rows["id"].eqNullSafe(F.col("chosen_id")) & (rows["tag"] == F.col("chosen_tag"))
+    texts = bounded_join(rows, materialize(chosen, "chosen"), same, listed="units")
     sets = texts.select("text", "node", "copies", "cell", "units").mapInArrow(
-        _sets(size, rarity),
-        "node binary, copies long, cell long, units "
-        "array<struct<bucket:long,k1:int,k2:int,i:int,j:int,side:int>>, tokens array<long>",
+        _sets(size, rarity), f"node binary, copies long, cell long, units {UNITS}, tokens array<long>"
     )
     large = F.when(F.col("unit.bucket") == 0, F.col("cell"))
     sets = sets.withColumn("unit", F.explode("units")).select(
         "node", "copies", "cell", "tokens", large.alias("large"), "unit.*"
     )
-    links = sets.groupBy("bucket", "large", "k1", "k2", "i", "j").applyInArrow(
+    links = sets.groupBy(*UNIT).applyInArrow(
         _verify(percent), "u binary, v binary, links long"
     )
     links = materialize(links, "links")
 
     roots = components(links.select("u", "v")).withColumnRenamed("root", "label")
     degrees = links.groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
-    groups = known.join(roots, "node", "left").join(degrees, "node", "left")
+    groups = known.select("node", "copies", "id").join(roots, "node", "left").join(degrees, "node", "left")
     groups = groups.select(
         "node",
         F.coalesce("label", "node").alias("label"),

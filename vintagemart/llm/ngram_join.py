@@ -233,18 +233,17 @@ def _size_class(percent: int):
     return F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.0 / (percent - 1)))).cast("int")
 
 
-def _cells(prefixes: DataFrame, within: list[str], percent: int) -> DataFrame:
-    """(key, cell): nodes of like size that share a token, directly or through
-    others, inside what they already have in common."""
-    keys = [*within, "token"]
-    shared = prefixes.groupBy(*keys).agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    shared = materialize(shared.where("low != high").select(*keys), "tokens")
-    klass = F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class")
-    hooked = bounded_join(prefixes.withColumn("class", _size_class(percent)), shared, keys)
-    hooked = materialize(hooked.select("key", *keys, klass), "hooked")
-    keys = [*keys, "class"]
-    least = hooked.groupBy(*keys).agg(F.min("key").alias("v"))
-    edges = hooked.join(least, keys).select(F.col("key").alias("u"), "v")
+def _cells(prefixes: DataFrame) -> DataFrame:
+    """(key, cell): nodes that share a token, directly or through others.
+
+    ``prefixes`` is (key, token). Every node is hooked to the smallest one of each of
+    its tokens. Both passes combine or join by token at every size, as the tokens
+    grow with the data; adaptive execution splits the rows of a hot one.
+    """
+    shared = prefixes.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    shared = materialize(shared.where("low != high").select("token", "low"), "tokens")
+    edges = prefixes.join(shared.hint("merge"), "token").where("key != low")
+    edges = edges.select(F.col("key").alias("u"), F.col("low").alias("v"))
     return components(edges).select(F.col("node").alias("key"), F.col("root").alias("cell"))
 
 
@@ -466,11 +465,12 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     named = materialize(rows.mapInArrow(_prefixes(size, percent, rarity), SET_SCHEMA), "prefixes")
 
     key = F.xxhash64("node").alias("key")
-    first = named.where("n > 0").select("n", key, F.explode("first").alias("token"))
-    cells = materialize(_cells(first, [], percent), "cells")
+    first = named.where("n > 0").select(key, F.explode("first").alias("token"))
+    cells = materialize(_cells(first), "cells")
     held = bounded_join(named.where("n > 0").withColumn("key", key), cells, "key")
-    second = held.select("n", "cell", "key", F.explode("second").alias("token"))
-    cells = materialize(_cells(second, ["cell"], percent), "cells")
+    second = held.select("cell", "key", F.explode("second").alias("token"))
+    # Two cells that meet in a hash would only be one.
+    cells = materialize(_cells(second.select("key", F.xxhash64("cell", "token").alias("token"))), "cells")
 
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag")).alias("least")
     known = named.where("n > 0").groupBy("node", "n").agg(

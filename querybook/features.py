@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from querybook import views
 from querybook.registry import query
 from querybook.views import day_text
-from vintagemart.operators import aggregates, columns, joins, snapshots
+from vintagemart.operators import aggregates, columns, correlation, joins, snapshots
 from vintagemart.operators.scaling import StandardScaling
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -218,6 +218,13 @@ def feature_correlation_pairs(spark, sf_dir):
     return df.withColumn("corr", F.round("corr", 6))
 
 
+@query("correlation_tiled", _corr_sql())
+def correlation_tiled(spark, sf_dir):
+    """The same pairs from summed tiles of cross products."""
+    df = correlation.tiled_correlations(_numeric(spark, sf_dir), NUMERIC)
+    return df.withColumn("corr", F.round("corr", 6))
+
+
 @query(
     "selected_features",
     """SELECT feature FROM (VALUES ('fe_size'), ('fe_price'), ('fe_lines'), ('fe_quantity'),

@@ -170,6 +170,44 @@ def test_pruning_leaves_rings_out():
     assert rings.wanted(to_pivot, far).tolist() == [[True, False, False], [False, False, True]]
 
 
+def neighbour_lists(found):
+    lists = {}
+    for r in found.orderBy("id", "rank").collect():
+        lists.setdefault(r["id"], []).append(r["neighbour_id"])
+    return lists
+
+
+@pytest.mark.parametrize("n, dim, block_rows", [(500, 2, 4), (400, 20, 16)])
+def test_many_units_and_shares(spark, monkeypatch, n, dim, block_rows):
+    monkeypatch.setattr(sampling, "UNIT_ROWS", 24)
+    points = np.vstack([cloud(n, n, dim, 5), np.indices((6, 8)).reshape(2, -1).T @ np.eye(2, dim)])
+    df = spark.createDataFrame([(f"{i:04}", p.tolist()) for i, p in enumerate(points)],
+                               "id string, features array<double>")
+    expected = {f"{i:04}": [f"{j:04}" for j in js] for i, js in brute_neighbours(points, 5).items()}
+    assert neighbour_lists(sampling.nearest_neighbours(df, 5, block_rows=block_rows)) == expected
+
+
+def test_small_blocks_share_a_task():
+    """As many pairs of shares as the points ask for, however small the blocks are."""
+    rows = [{"cell": i // 32, "ring": i % 32, "n": 16, "low": 0.0, "high": 1.0} for i in range(2048)]
+    rows[100]["n"] = 20_000
+    rings = sampling._Rings(rows, 5, 8192)
+    assert rings.n_sub == [1, 3, 1, 1, 1, 1] and rings.first[1:3] == [100, 101]
+    everywhere = rings.targets(np.zeros((2, 64)), np.full(2, np.inf))
+    assert everywhere.shape == (2, 6) and everywhere.all()
+
+
+def test_vectors_without_numbers_are_near_their_copies_only(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = [None, [None, 1.0], [nan, 1.0], [nan, 1.0], [inf, 1.0], [1e200, 0.0], [3e200, 0.0]]
+    rows = [(i, [float(i), 0.0]) for i in range(30)] + [(30 + i, v) for i, v in enumerate(odd)]
+    df = spark.createDataFrame(rows, "id bigint, features array<double>")
+    for block_rows in (4, 1024):
+        got = neighbour_lists(sampling.nearest_neighbours(df, 2, block_rows=block_rows))
+        assert got[0] == [1, 2] and got[9] == [8, 10]
+        assert {i: js for i, js in got.items() if i >= 30} == {32: [33], 33: [32]}
+
+
 def vectors(spark, n_major, n_minor):
     r = random.Random(2)
     rows = [(i, [r.random(), r.random()], int(i >= n_major)) for i in range(n_major + n_minor)]

@@ -26,7 +26,6 @@ from vintagemart.operators.sampling import (
     _closest,
     _each,
     _found_schema,
-    _matrix,
     _ranked,
     nearest_neighbours,
 )
@@ -50,7 +49,7 @@ def _hashed(tables: int, depth: int, width: float, seed: int) -> Callable:
         for whole in batches:
             for start in range(0, len(whole), 1024):
                 batch = whole.iloc[start : start + 1024]
-                rows = _matrix(batch["features"])
+                rows = np.stack(batch["features"].to_numpy()).astype("float64")
                 towards, offset = directions(rows.shape[1], tables, depth, seed)
                 codes = np.floor(rows @ towards.T / width + offset).astype("int64")
                 codes = codes.reshape(len(rows), tables, depth)
@@ -111,7 +110,7 @@ def near_vectors(
         found = (
             queries.groupBy(*block)
             .cogroup(others.groupBy(*block))
-            .applyInPandas(_closest(k), _found_schema(points))
+            .applyInArrow(_closest(k), _found_schema(points))
         )
         # The same neighbour may be found in several tables.
         once = found.groupBy("id", "neighbour_id").agg(F.min("distance").alias("distance"))

@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from vintagemart.operators.joins import salted_join
 from vintagemart.operators.ranking import (
@@ -24,6 +25,10 @@ from vintagemart.sources.scratch import materialize
 MAX_PIVOTS = 64
 RINGS = 32
 BLOCK_ROWS = 1024
+# Rows that a task holds of either side, of as many blocks as that takes.
+UNIT_ROWS = 8192
+# Numbers in an intermediate of a task.
+HELD_NUMBERS = 1 << 20
 NEIGHBOURS = 5
 MIN_MINORITY = 6
 
@@ -31,43 +36,85 @@ MIN_MINORITY = 6
 SLACK = 1e-9
 
 
-def _matrix(features: pd.Series) -> np.ndarray:
-    return np.stack(features.to_numpy()).astype("float64")
+def _vectors(features: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of doubles as one matrix; missing components are NaN."""
+    if isinstance(features, pa.ChunkedArray):
+        features = pa.concat_arrays(features.chunks)
+    lengths = features.value_lengths().to_numpy(zero_copy_only=False)
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError("vectors must have one length")
+    numbers = features.flatten().to_numpy(zero_copy_only=False).astype("float64", copy=False)
+    return numbers.reshape(len(lengths), -1) if len(numbers) else np.empty((len(lengths), 0))
 
 
 def _distances(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Euclidean distances, a few rows at a time to bound the intermediate."""
-    step = max(1, 4_000_000 // max(1, others.size))
-    parts = [
-        np.sqrt(((rows[i : i + step, None, :] - others[None]) ** 2).sum(-1))
-        for i in range(0, len(rows), step)
-    ]
-    return np.concatenate(parts) if parts else np.empty((0, len(others)))
+    out = np.empty((len(rows), len(others)))
+    step = max(1, HELD_NUMBERS // max(1, others.size))
+    for i in range(0, len(rows), step):
+        out[i : i + step] = np.sqrt(((rows[i : i + step, None, :] - others[None]) ** 2).sum(-1))
+    return out
+
+
+def _pair_distances(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Euclidean distance of each row and the other one at its place."""
+    return np.sqrt(((rows - others) ** 2).sum(-1))
+
+
+def _squares(rows: np.ndarray, others: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Squared distances from one product, a stretch of the rows at a time, and how far
+    those of each row may be off."""
+    eps = np.finfo(float).eps
+    with np.errstate(over="ignore", invalid="ignore"):
+        own, their = (rows**2).sum(-1), (others**2).sum(-1)
+        plain = np.isfinite(own).all() and np.isfinite(their).all()
+        step = max(1, HELD_NUMBERS // max(1, len(others)))
+        for start in range(0, len(rows), step):
+            part = slice(start, min(start + step, len(rows)))
+            if plain:
+                square = rows[part] @ others.T
+                square *= -2
+                square += own[part, None]
+                square += their
+                off = 8 * (rows.shape[1] + 4) * eps * (own[part] + their.max(initial=0))
+            else:
+                # Squares too large for the product, or components that are no numbers.
+                square = _distances(rows[part], others) ** 2
+                off = 8 * eps * np.where(np.isfinite(square), square, 0).max(axis=1, initial=0)
+            yield part, square, off
+
+
+def _smallest(square: np.ndarray, k: int) -> np.ndarray:
+    """The k-th smallest of each row, counted from 0; infinite if there are fewer numbers."""
+    if square.shape[1] <= k:
+        return np.full(len(square), np.inf)
+    found = np.partition(square, k, axis=1)[:, k]
+    return np.where(np.isnan(found), np.inf, found)
 
 
 def _locate(points: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Add the distances to all pivots, the nearest one (cell) and its distance."""
-    located = StructType.fromDDL("to_pivot array<double>, cell int, radius double")
-    schema = StructType(points.schema.fields + located.fields)
+    """Add the nearest pivot (cell) and the distance to it."""
+    located = StructType.fromDDL("cell int, radius double")
 
-    def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                to_pivot = _distances(_matrix(batch["features"]), pivots)
-                cell = to_pivot.argmin(axis=1)
-                yield batch.assign(
-                    to_pivot=list(to_pivot),
-                    cell=cell.astype("int32"),
-                    radius=to_pivot[np.arange(len(cell)), cell],
-                )
+            to_pivot = _distances(_vectors(batch.column("features")), pivots)
+            added = [to_pivot.argmin(axis=1).astype("int32"), to_pivot.min(axis=1)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *map(pa.array, added)], names=[*batch.schema.names, *located.names]
+            )
 
-    return points.mapInPandas(locate, schema)
+    return points.mapInArrow(locate, StructType(points.schema.fields + located.fields))
 
 
 class _Rings:
-    """Extent and size of each occupied ring: at most MAX_PIVOTS * RINGS entries."""
+    """Extent and size of each occupied ring: at most MAX_PIVOTS * RINGS entries.
+
+    Rings that follow each other are one unit of at most ``unit_rows`` points; a larger
+    ring is a unit of ``n_sub`` shares.
+    """
 
-    def __init__(self, rows: list, k: int):
+    def __init__(self, rows: list, k: int, unit_rows: int = UNIT_ROWS):
         rows = sorted(rows, key=lambda r: (r["cell"], r["ring"]))
         self.cell = np.array([r["cell"] for r in rows])
         self.low = np.array([r["low"] for r in rows])
@@ -81,15 +128,21 @@ class _Rings:
             enough = np.flatnonzero(self.size[mine].cumsum() > k)
             if len(enough):
                 self.reach[cell] = self.high[mine[enough[0]]]
-
-    def targets(self, to_pivot: np.ndarray, reached: np.ndarray) -> list[np.ndarray]:
-        """Numbers of the wanted rings per row, a slice of the rows at a time."""
-        step = max(1, 1_000_000 // len(self.cell))
-        out = []
-        for i in range(0, len(to_pivot), step):
-            chosen = self.wanted(to_pivot[i : i + step], reached[i : i + step])
-            out += [np.flatnonzero(row).astype("int32") for row in chosen]
-        return out
+        # Per unit the first ring and the shares.
+        self.first: list[int] = []
+        self.n_sub: list[int] = []
+        held = unit_rows
+        for at, size in enumerate(self.size.tolist()):
+            if held + size > unit_rows:
+                self.first.append(at)
+                self.n_sub.append(ceil(size / unit_rows))
+                held = 0
+            held += size
+        self.unit = np.repeat(np.arange(len(self.first)), np.diff([*self.first, len(self.cell)]))
+
+    def targets(self, to_pivot: np.ndarray, reached: np.ndarray) -> np.ndarray:
+        """Which units hold a wanted ring of each row."""
+        return np.logical_or.reduceat(self.wanted(to_pivot, reached), self.first, axis=1)
 
     def wanted(self, to_pivot: np.ndarray, reached: np.ndarray) -> np.ndarray:
         """Which rings can hold one of the k nearest neighbours of each row.
@@ -110,39 +163,76 @@ class _Rings:
 
 
 def _reach_in_block(k: int):
-    """Add the k-th smallest distance to another row of the same block."""
+    """The points with ``ask`` and how far the k-th nearest other row of their share is."""
 
-    def reach(block: pd.DataFrame) -> pd.DataFrame:
-        reached = np.full(len(block), np.inf)
-        if len(block) > k:
-            rows = _matrix(block["features"])
-            # The row itself is among the k + 1 nearest, at distance 0.
-            reached = np.partition(_distances(rows, rows), k, axis=1)[:, k]
-        return block.assign(reached=reached)
+    def reach(block: pa.Table) -> pa.Table:
+        rows = _vectors(block.column("features"))
+        asked = np.flatnonzero(block.column("ask").to_numpy())
+        reached = np.empty(len(asked))
+        # The row itself is among the k + 1 nearest, at distance 0.
+        for part, square, off in _squares(rows[asked], rows):
+            reached[part] = np.sqrt(np.maximum(_smallest(square, k), 0) + off)
+        return block.select(["id", "features"]).take(asked).append_column("reached", pa.array(reached))
 
     return reach
 
 
+def _visits(pivots: np.ndarray, rings: _Rings):
+    """Add the units that a point has to visit, a few points at a time."""
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, HELD_NUMBERS // len(rings.cell))
+        for whole in batches:
+            for start in range(0, len(whole), step):
+                batch = whole.slice(start, step)
+                to_pivot = _distances(_vectors(batch.column("features")), pivots)
+                wanted = rings.targets(to_pivot, batch.column("reached").to_numpy())
+                ends = np.concatenate([[0], wanted.sum(axis=1).cumsum()]).astype("int32")
+                units = pa.ListArray.from_arrays(ends, np.nonzero(wanted)[1].astype("int32"))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, units], names=[*batch.schema.names, "targets"]
+                )
+
+    return visits
+
+
 def _closest(k: int):
-    """The k nearest candidates of each query inside one block pair, ties by id."""
-
-    def closest(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or candidates.empty:
-            return pd.DataFrame({"id": [], "neighbour_id": [], "distance": []})
-        candidates = candidates.sort_values("id", kind="stable")
-        ids, others = candidates["id"].to_numpy(), _matrix(candidates["features"])
-        distance = _distances(_matrix(queries["features"]), others)
-        distance[queries["id"].to_numpy()[:, None] == ids[None]] = np.inf
-        order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        found = np.take_along_axis(distance, order, axis=1)
-        out = pd.DataFrame(
-            {
-                "id": np.repeat(queries["id"].to_numpy(), order.shape[1]),
-                "neighbour_id": ids[order].ravel(),
-                "distance": found.ravel(),
-            }
+    """The k nearest candidates of each query inside one pair of shares, ties by id.
+
+    A query with ``reached`` has k neighbours within that distance, so farther ones are
+    left out. What the product of the vectors leaves is compared number by number.
+    """
+
+    def closest(queries: pa.Table, candidates: pa.Table) -> pa.Table:
+        candidates = candidates.take(pc.sort_indices(candidates.column("id")))
+        rows, others = _vectors(queries.column("features")), _vectors(candidates.column("features"))
+        ids = pc.unique(candidates.column("id"))
+        named = lambda t: pc.index_in(t.column("id"), value_set=ids).to_numpy()
+        own, their = np.nan_to_num(named(queries), nan=-1.0), named(candidates)
+        # The candidates with the query's own id.
+        first, last = np.searchsorted(their, own, "left"), np.searchsorted(their, own, "right")
+        known = "reached" in queries.column_names
+        reached = queries.column("reached").to_numpy() if known else np.full(len(rows), np.inf)
+        found: list[tuple[np.ndarray, ...]] = [(np.empty(0, int), np.empty(0, int), np.empty(0))]
+        for part, square, off in _squares(rows, others):
+            for more in range((last - first)[part].max(initial=0)):
+                row = np.flatnonzero(first[part] + more < last[part])
+                square[row, first[part][row] + more] = np.inf
+            limit = np.minimum(_smallest(square, k - 1) + off, reached[part] ** 2 * (1 + SLACK)) + off
+            i, j = np.nonzero((square <= limit[:, None]) & np.isfinite(square))
+            step = max(1, HELD_NUMBERS // max(1, rows.shape[1]))
+            cuts = [slice(at, at + step) for at in range(0, len(i), step)]
+            far = [_pair_distances(rows[part][i[c]], others[j[c]]) for c in cuts]
+            distance = np.concatenate(far) if far else np.empty(0)
+            order = np.lexsort((j, distance, i))
+            i, j, distance = i[order], j[order], distance[order]
+            best = (np.arange(len(i)) - np.searchsorted(i, i) < k) & np.isfinite(distance)
+            found.append((i[best] + part.start, j[best], distance[best]))
+        i, j, distance = map(np.concatenate, zip(*found))
+        return pa.table(
+            [queries.column("id").take(pa.array(i)), candidates.column("id").take(pa.array(j)), pa.array(distance)],
+            names=["id", "neighbour_id", "distance"],
         )
-        return out[np.isfinite(out["distance"])]
 
     return closest
 
@@ -165,12 +255,14 @@ def nearest_neighbours(
     of their ids, which is all that k neighbours can need, so copies are never
     compared with each other.
 
-    Distinct vectors are located in rings around a few pivots, and rings are cut
-    into blocks of about ``block_rows``. A first pass inside each block bounds how
-    far a point's neighbours can be; the point is then sent only to rings that come
-    that near. A task compares two bounded blocks and returns k rows per point,
-    however dense one region is. What comes to the driver is the pivots and one
-    summary row per ring.
+    Distinct vectors are located in rings around a few pivots, about one ring per
+    ``block_rows`` points. Rings that follow each other are a unit of at most UNIT_ROWS
+    points, larger ones are cut into shares of that size. A first pass inside each
+    share bounds how far a point's neighbours can be; the point is then sent only to
+    units with a ring that comes that near. A task compares two bounded shares and
+    returns at most k rows per point, however small the blocks and however dense one
+    region is. What comes to the driver is the pivots and one summary row per ring.
+    Vectors with missing or non-finite components are near none but their copies.
 
     ``search`` takes the place of the exact search among distinct vectors (id, features,
     ask), such as ``lsh.near_vectors``; it is never chosen by size.
@@ -220,6 +312,7 @@ def _nearest_distinct(
 ) -> DataFrame:
     """The k nearest other vectors of every vector with ``ask``."""
     spark = points.sparkSession
+    points = points.where(F.forall("features", lambda x: F.abs(x) < F.lit(float("inf"))))
     n = points.count()
     n_blocks = ceil(n / block_rows)
     if n_blocks <= 1:
@@ -238,58 +331,50 @@ def _nearest_distinct(
     extents = located.groupBy("cell", "ring").agg(
         F.count("*").alias("n"), F.min("radius").alias("low"), F.max("radius").alias("high")
     )
-    summary = _Rings(extents.collect(), k)
+    unit_rows = UNIT_ROWS
+    summary = _Rings(extents.collect(), k, unit_rows)
     sizes = F.broadcast(
         spark.createDataFrame(
-            [
-                (i, *key, ceil(int(size) / block_rows))
-                for i, (key, size) in enumerate(zip(summary.key, summary.size))
-            ],
+            [(int(i), *key, summary.n_sub[i]) for i, key in zip(summary.unit, summary.key)],
             "target int, cell int, ring int, n_sub bigint",
         )
     )
-    blocked = located.join(sizes, ["cell", "ring"]).withColumn(
+    shared = located.join(sizes, ["cell", "ring"]).withColumn(
         "sub", F.pmod(F.xxhash64(F.lit("sub"), "id"), F.col("n_sub"))
     )
-    own = blocked.select("target", "sub", "id", "features", "ask", "to_pivot")
-    with_reach = StructType([*own.schema.fields, StructField("reached", DoubleType())])
-    reached = own.groupBy("target", "sub").applyInPandas(_reach_in_block(k), with_reach).where("ask")
-
-    @F.pandas_udf("array<int>")
-    def wanted_rings(to_pivot: pd.Series, reached: pd.Series) -> pd.Series:
-        return pd.Series(summary.targets(_matrix(to_pivot), reached.to_numpy()))
-
-    visits = materialize(
-        reached.select(
-            "id", "features", F.explode(wanted_rings("to_pivot", "reached")).alias("target")
-        ),
-        "knn-visits",
-    )
-    per_ring = visits.groupBy("target").agg(F.count("*").alias("n"))
-    visitors = {r["target"]: r["n"] for r in per_ring.collect()}
+    own = shared.select("target", "sub", "id", "features", "ask")
+    asked = points.select("id", "features").schema.fields
+    with_reach = StructType([*asked, StructField("reached", DoubleType())])
+    with_units = StructType([*with_reach.fields, StructField("targets", ArrayType(IntegerType()))])
+    reached = own.groupBy("target", "sub").applyInArrow(_reach_in_block(k), with_reach)
+    visits = materialize(reached.mapInArrow(_visits(pivots, summary), with_units), "knn-visits")
+    per_unit = visits.select(F.explode("targets").alias("target")).groupBy("target").count()
     parts = F.broadcast(
         spark.createDataFrame(
-            [(i, ceil(v / block_rows)) for i, v in visitors.items()],
-            "target int, n_part bigint",
+            [
+                (r["target"], summary.n_sub[r["target"]], ceil(r["count"] / unit_rows))
+                for r in per_unit.collect()
+            ],
+            "target int, n_sub bigint, n_part bigint",
         )
     )
     queries = (
-        visits.join(parts, "target")
-        .join(sizes.select("target", "n_sub"), "target")
+        visits.select("id", "features", "reached", F.explode("targets").alias("target"))
+        .join(parts, "target")
         .withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.col("n_part")))
         .withColumn("sub", _each(F.col("n_sub")))
-        .select("target", "sub", "part", "id", "features")
+        .select("target", "sub", "part", "id", "features", "reached")
     )
     candidates = (
-        blocked.join(parts, "target")
+        shared.drop("n_sub").join(parts, "target")
         .withColumn("part", _each(F.col("n_part")))
         .select("target", "sub", "part", "id", "features")
     )
-    block = ["target", "sub", "part"]
+    share = ["target", "sub", "part"]
     found = (
-        queries.groupBy(*block)
-        .cogroup(candidates.groupBy(*block))
-        .applyInPandas(_closest(k), _found_schema(points))
+        queries.groupBy(*share)
+        .cogroup(candidates.groupBy(*share))
+        .applyInArrow(_closest(k), _found_schema(points))
     )
     return _ranked(found, k)
 
@@ -313,8 +398,8 @@ def _found_schema(points: DataFrame) -> StructType:
 def _compare_all_in_one_block(points: DataFrame, k: int) -> DataFrame:
     """Fewer points than one block holds: a single bounded comparison."""
     closest = _closest(k)
-    return points.groupBy().applyInPandas(
-        lambda block: closest(block[block["ask"]], block), _found_schema(points)
+    return points.groupBy().applyInArrow(
+        lambda block: closest(block.filter(block.column("ask")), block), _found_schema(points)
     )
 
 

@@ -101,6 +101,24 @@ def test_texts_that_repeat_over_the_host_are_not_the_article():
     assert "Sunday" in text_of(*pages[:2], pages[0], pages[0])
 
 
+def test_repeated_texts_are_counted_on_all_pages(spark):
+    """A text on 74 of 100 unlike pages is the article's, one on 75 isn't, whatever pages
+    have the lowest hashes and however often a page is there."""
+    offer, app = "This offer ends on Sunday night.", "Read it in the app and save."
+    rows = []
+    for host in range(6):
+        for i in range(100):
+            more = f"<p>{offer}</p>" * (i < 74) + f"<p>{app}</p>" * (i < 75)
+            html = f"<article><p>Page {i} of host {host} has a long text of its own to read here.</p>{more}</article>"
+            rows += [(f"http://h{host}.example/{i}", html)] * (1 + 3 * (i == 0 or i == 99))
+    df = spark.createDataFrame(rows, "url string, html string").repartition(5)
+    found = extract_main_text(df, ["url"]).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        i = int(row["url"].rsplit("/", 1)[1])
+        assert (offer in row["text"]) == (i < 74) and app not in row["text"]
+
+
 def test_wrapper_has_optional_and_repeated_parts():
     wrapper = Wrapper()
     wrapper.add(parse("<article><h1>a</h1><p>b</p><p>c</p></article>"))

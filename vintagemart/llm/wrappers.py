@@ -14,7 +14,7 @@ read, and these meet by host in rounds of bounded groups: a host with most of th
 pages is no larger for any task than one with few. Then each page is aligned with
 the wrapper of its host, which says for every text whether its slot is part of the
 article. Inside an article, where rows of paragraphs share a slot, it says so by the
-texts that repeat over a sample of the host's pages.
+texts that repeat over all pages of the host, which are counted by host and text.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import hashlib
 import json
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -46,9 +46,9 @@ WIDEST = 4
 # A text that never changed over so many unlike pages is part of the template.
 CONSTANT_PAGES = 3
 # Lowest hashes of page contents that a slot keeps: up to so many pages are counted
-# exactly, and the same pages are kept everywhere, so shares of pages can be compared.
+# exactly, which is more than CONSTANT_PAGES asks for.
 PAGE_SAMPLE = 16
-# Share of the sampled pages that have a text of the template.
+# Share of the host's unlike pages that have a text of the template.
 REPEATED_SHARE = 0.75
 # Words from which on a text that isn't a link counts as repeated inside an article:
 # short ones are also units, ingredients, answers.
@@ -59,7 +59,7 @@ class Part:
     """A block, a group of blocks that repeats as a whole (``unit`` names its marks)
     or a text slot of a wrapper."""
 
-    __slots__ = ("mark", "optional", "repeated", "children", "unit", "seen", "source", "pages")
+    __slots__ = ("mark", "optional", "repeated", "children", "unit", "seen", "source", "pages", "repeating")
 
     def __init__(self, mark: str, children: list[Part] | None = None, unit: tuple = ()) -> None:
         self.mark, self.unit = mark, unit
@@ -68,8 +68,10 @@ class Part:
         # Of a slot: sample of pages, characters, linked characters, lowest and highest text sum.
         self.seen: list | None = None
         self.source: list[Slot] = []
-        # Of a root: the texts of a sample of the host's pages.
+        # Of a root: the texts of unlike pages by their content, and those texts that are
+        # known to repeat over the host.
         self.pages: dict[int, list[int]] | None = None
+        self.repeating: list[int] = []
 
     def packed(self) -> list:
         flags = self.optional + 2 * self.repeated
@@ -78,10 +80,11 @@ class Part:
 
     @staticmethod
     def unpacked(data: list) -> Part:
-        mark, flags, children, unit, seen, *pages = data
+        mark, flags, children, unit, seen, *root = data
         part = Part(mark, [Part.unpacked(c) for c in children], tuple(unit))
         part.optional, part.repeated, part.seen = bool(flags & 1), bool(flags & 2), seen
-        part.pages = dict(pages[0]) if pages else None
+        if root:
+            part.pages, part.repeating = dict(root[0]), root[1] if len(root) > 1 else []
         return part
 
 
@@ -103,12 +106,6 @@ def _repeatable(slot: Slot) -> int | None:
     return zlib.crc32(slot.mark.encode("utf-8", "surrogatepass"), _text_sum(slot.text))
 
 
-def _add_pages(pages: dict[int, list[int]], more: dict[int, list[int]]) -> None:
-    pages.update(more)
-    while len(pages) > PAGE_SAMPLE:
-        del pages[max(pages)]
-
-
 def _seen(slot: Slot, content: int) -> list:
     total = _text_sum(slot.text)
     return [[content], len(slot.text), slot.linked, total, total]
@@ -284,7 +281,7 @@ class Wrapper:
             pages = root.pages or {}
             counts = Counter(total for totals in pages.values() for total in totals)
             least = max(CONSTANT_PAGES, REPEATED_SHARE * len(pages))
-            self.repeated = {total for total, n in counts.items() if n >= least}
+            self.repeated = {total for total, n in counts.items() if n >= least}.union(root.repeating)
 
     def _find_template(self, part: Part) -> None:
         if part.seen is not None and _is_template(part):
@@ -301,14 +298,13 @@ class Wrapper:
         _slots(page, slots, shape)
         key = " ".join(shape)
         content = "\n".join([key, *(s.text for s in slots)]).encode("utf-8", "surrogatepass")
-        content = int.from_bytes(hashlib.blake2b(content, digest_size=6).digest(), "little")
+        content = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
         if self.root is None:
             self.root = Part("")
             self.root.pages = {}
-        pages = self.root.pages
-        if content not in pages and (len(pages) < PAGE_SAMPLE or content < max(pages)):
-            totals = {t for s in slots if (t := _repeatable(s)) is not None}
-            _add_pages(pages, {content: sorted(totals)})
+        # Copies of a page differ in their links at most.
+        totals = sorted({t for s in slots if (t := _repeatable(s)) is not None})
+        self.root.pages[content] = min(totals, self.root.pages.get(content, totals))
         places = self.places.get(key)
         if places is not None:
             for slot, part in zip(slots, places):
@@ -358,9 +354,14 @@ class Wrapper:
             self.root = other
         else:
             _merge(self.root, other)
-            _add_pages(self.root.pages, other.pages)
+            self.root.pages.update(other.pages)
         self.places.clear()
 
+    def taken_pages(self) -> dict[int, list[int]]:
+        """The texts of the pages met since the last time, which the wrapper forgets."""
+        pages, self.root.pages = self.root.pages, {}
+        return pages
+
     def packed(self) -> str:
         return json.dumps(self.root.packed(), separators=(",", ":"))
 
@@ -451,6 +452,32 @@ def main_text(page: Element, wrapper: Wrapper) -> str:
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 WRAPPER = "host string, part long, wrapper string"
+# Wrappers, and pages (without one) by their contents.
+INFERRED = f"{WRAPPER}, content long, texts array<long>"
+
+
+def _inferred(wrappers: dict[str, Wrapper], part: int) -> pa.RecordBatch:
+    return _with_pages(_rows(wrappers, part), [], [])
+
+
+def _page_rows(wrappers: dict[str, Wrapper], part: int) -> pa.RecordBatch:
+    """The pages met since the last time."""
+    found = [(h, c, t) for h, w in wrappers.items() for c, t in w.taken_pages().items()]
+    hosts, contents, texts = zip(*found) if found else ((), (), ())
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(hosts, pa.string()), pa.array([part] * len(hosts), pa.int64()), pa.nulls(len(hosts), pa.string())],
+        names=["host", "part", "wrapper"],
+    )
+    return _with_pages(rows, contents, texts)
+
+
+def _with_pages(rows: pa.RecordBatch, contents: Sequence[int], texts: Sequence[list[int]]) -> pa.RecordBatch:
+    kind = pa.list_(pa.int64())
+    if not contents:
+        added = [pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), kind)]
+    else:
+        added = [pa.array(contents, pa.int64()), pa.array(texts, kind)]
+    return pa.RecordBatch.from_arrays([*rows.columns, *added], names=[*rows.schema.names, "content", "texts"])
 
 
 def _rows(wrappers: dict[str, Wrapper], part: int) -> pa.RecordBatch:
@@ -472,10 +499,12 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             if host not in wrappers and len(wrappers) >= OPEN_HOSTS:
-                yield _rows(wrappers, part)
+                yield _page_rows(wrappers, part)
+                yield _inferred(wrappers, part)
                 wrappers = {}
             wrappers.setdefault(host, Wrapper()).add(parse(html))
-    yield _rows(wrappers, part)
+        yield _page_rows(wrappers, part)
+    yield _inferred(wrappers, part)
 
 
 def _merge_group(group: pa.Table) -> pa.Table:
@@ -490,7 +519,9 @@ def _merge_group(group: pa.Table) -> pa.Table:
 
 def host_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper) of ``pages`` (host, html)."""
-    found = materialize(pages.mapInArrow(_infer, WRAPPER), "wrappers")
+    inferred = materialize(pages.mapInArrow(_infer, INFERRED), "wrappers")
+    repeating = _repeating(inferred.where(F.col("wrapper").isNull()))
+    found = inferred.where(F.col("wrapper").isNotNull()).select("host", "part", "wrapper")
     while True:
         parts, rows = found.agg(F.max("part"), F.count("*")).first()
         # Hosts of one bucket share a group, which holds a few hundred wrappers.
@@ -498,7 +529,22 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
         group = (bucket.alias("bucket"), F.expr(f"part div {FAN_IN}").alias("next"))
         found = materialize(found.groupBy(*group).applyInArrow(_merge_group, WRAPPER), "wrappers")
         if (parts or 0) < FAN_IN:
-            return found.select("host", "wrapper")
+            # The list becomes the last item of the wrapper's root.
+            root = F.expr("left(wrapper, length(wrapper) - 1)")
+            listed = F.coalesce(F.to_json("repeating"), F.lit("[]"))
+            wrapper = F.concat(root, F.lit(","), listed, F.lit("]")).alias("wrapper")
+            return found.join(repeating, "host", "left").select("host", wrapper)
+
+
+def _repeating(pages: DataFrame) -> DataFrame:
+    """(host, repeating): the texts that are on most of the unlike pages of a host, at most
+    a few more than a page has."""
+    pages = pages.groupBy("host", "content").agg(F.min("texts").alias("texts"))
+    sizes = pages.groupBy("host").agg(F.count("*").alias("n_pages"))
+    least = F.greatest(F.lit(float(CONSTANT_PAGES)), REPEATED_SHARE * F.col("n_pages"))
+    counts = pages.select("host", F.explode("texts").alias("total")).groupBy("host", "total").agg(F.count("*").alias("n"))
+    often = counts.where(F.col("n") >= CONSTANT_PAGES).join(sizes, "host").where(F.col("n") >= least)
+    return often.groupBy("host").agg(F.sort_array(F.collect_list("total")).alias("repeating"))
 
 
 def _extract(names: list[str]) -> Callable:

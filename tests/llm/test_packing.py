@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 from vintagemart.llm import packing
 from vintagemart.llm.packing import Plan, TokenIds, pack
 from vintagemart.llm.queries import QUERIES
+from vintagemart.sources.scratch import materialize
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -154,3 +155,18 @@ def test_random_texts_give_the_tokenizers_ids():
     for text, packed in zip(texts, TokenIds(PATH).of([t.encode() for t in texts])):
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(packed, "<u4").tolist() == ids, text
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    """Whole texts reach a worker a few hundred at a time; the session keeps its setting."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, during = spark.conf.get(setting), {}
+
+    def stored(df, name):
+        during[name] = int(spark.conf.get(setting))
+        return materialize(df, name)
+
+    monkeypatch.setattr(packing, "materialize", stored)
+    docs = spark.range(3).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    assert pack(docs, PATH).count() == 3
+    assert during["pieces"] <= 500 and spark.conf.get(setting) == before

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from vintagemart.llm.ngram_join import bounded_join
 from vintagemart.llm.shingles import text_bytes
-from vintagemart.llm.worker import per_worker
+from vintagemart.llm.worker import per_worker, small_batches
 from vintagemart.sources.scratch import materialize
 
 # Word forms remembered per worker before the memory starts anew.
@@ -280,9 +280,10 @@ def pack(
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
-    pieces = materialize(
-        tokenized_pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces"
-    )
+    with small_batches(docs.sparkSession):
+        pieces = materialize(
+            tokenized_pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces"
+        )
     counts = materialize(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "counts")
     totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = Plan(totals, capacity)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from types import ModuleType
 from typing import Any
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _HOLDER = "vintagemart_worker_state"
 
 
@@ -26,6 +29,21 @@ def per_worker(name: str, make: Callable[[], Any]) -> Any:
     return holder.value
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """What is run inside hands at most so many rows at once to a worker: whole texts of
+    a default batch are held several times over, by the JVM and by the worker."""
+    before = spark.conf.get(BATCH_ROWS)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that what is worked out per batch stays
     small however many rows the reader hands over at once."""

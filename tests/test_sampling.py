@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,3 +244,17 @@ def test_synthetic_points_lie_between_neighbours(spark):
 def test_no_oversampling_of_a_tiny_class(spark):
     df, _ = vectors(spark, 20, 5)
     assert sampling.oversample(df).count() == 25
+
+
+def test_tasks_hold_bounded_intermediates(monkeypatch):
+    """Squares and lists of units come a few points at a time, however many a task is given."""
+    monkeypatch.setattr(sampling, "HELD_NUMBERS", 1000)
+    points = np.random.default_rng(1).normal(size=(500, 3))
+    rows = [{"cell": c, "ring": 0, "n": 20, "low": 0.0, "high": 9.0} for c in range(50)]
+    rings = sampling._Rings(rows, 5, 20)
+    batch = pa.RecordBatch.from_pydict({"id": range(500), "features": points.tolist(), "reached": [1.0] * 500})
+    pivots = np.zeros((50, 3))
+    out = list(sampling._visits(pivots, rings)(iter([batch])))
+    assert sum(map(len, out)) == 500 and max(map(len, out)) <= 20
+    assert all(len(t) == 50 for b in out for t in b.column("targets").to_pylist())
+    assert max(square.size for _, square, _ in sampling._squares(points, points)) <= 1000

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import connect, differences
 from pyspark.sql import functions as F
@@ -212,3 +213,24 @@ def test_other_columns_are_not_read(spark):
 def test_query_as_sql(spark, sf_dir):
     name = "op8_ngram_jaccard_join"
     assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) is None
+
+
+def test_prefixes_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "components", lambda edges: edges.toDF("node", "root"))
+    rows = [(1, 7), (2, 7), (3, 7), (3, 8), (4, 8), (5, 9), (5, 9)]
+    cells = ngram_join._cells(spark.createDataFrame(rows, "key long, token long"))
+    assert sorted(cells.collect()) == [(2, 1), (3, 1), (4, 3)]
+    plan = cells._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_copies_in_a_task_tell_their_prefixes_once():
+    text = " ".join(f"w{i}" for i in range(40))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3]), pa.array([5, 5, 6]), pa.array([text, text, text + " more"])], names=["id", "tag", "text"]
+    )
+    rarity = np.full(ngram_join.SKETCH_SLOTS, 2, np.uint8)
+    (out,) = ngram_join._prefixes(5, 80, rarity)(iter([batch]))
+    told = out.column("first").value_lengths().to_pylist()
+    assert told[0] == prefix_length(36, 80) and told[1] == 0 and told[2] == prefix_length(37, 80)
+    assert out.column("node")[0] == out.column("node")[1] and out.column("n").to_pylist() == [36, 36, 37]

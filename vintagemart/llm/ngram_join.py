@@ -31,7 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagemart.llm.components import components
@@ -60,6 +60,8 @@ BUCKET_TOKENS = 1 << 16
 MARK_SETS = 2048
 MARK_TOKENS = 1 << 25
 MARK_BUCKET_TOKENS = 1 << 21
+# Names of sets that a task remembers.
+TOLD_SETS = 1 << 16
 # Bits of the shortest marks.
 LEAST_MARKS = 64
 
@@ -171,6 +173,8 @@ def _marks(tokens: np.ndarray) -> bytes | None:
 def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word_hashes", WordHashes)
+        # Copies of a set are one node: their prefixes are told once, as far as remembered.
+        told: set[bytes | None] = set()
         for batch in slices(batches):
             sizes, names, marks, firsts, seconds = [], [], [], [], []
             for text in text_bytes(batch.column("text")):
@@ -179,6 +183,11 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
                 sizes.append(len(first))
                 names.append(_name(first))
                 marks.append(_marks(first))
+                if names[-1] in told:
+                    kept = 0
+                elif len(told) >= TOLD_SETS:
+                    told.clear()
+                told.add(names[-1])
                 firsts.append(first[:kept].copy())
                 seconds.append(second[:kept].copy())
             yield pa.RecordBatch.from_arrays(
@@ -237,13 +246,13 @@ def _cells(prefixes: DataFrame) -> DataFrame:
     """(key, cell): nodes that share a token, directly or through others.
 
     ``prefixes`` is (key, token). Every node is hooked to the smallest one of each of
-    its tokens. Both passes combine or join by token at every size, as the tokens
-    grow with the data; adaptive execution splits the rows of a hot one.
+    its tokens. The rows meet by token once and nothing else of them moves, as they
+    are what the join shuffles most; those of one token are read twice in their task
+    and go to its disk if they are many.
     """
-    shared = prefixes.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    shared = materialize(shared.where("low != high").select("token", "low"), "tokens")
-    edges = prefixes.join(shared.hint("merge"), "token").where("key != low")
-    edges = edges.select(F.col("key").alias("u"), F.col("low").alias("v"))
+    low = F.min("key").over(Window.partitionBy("token"))
+    hooked = prefixes.select("key", "token").withColumn("low", low).where("key != low")
+    edges = hooked.select(F.col("key").alias("u"), F.col("low").alias("v"))
     return components(edges).select(F.col("node").alias("key"), F.col("root").alias("cell"))
 
 

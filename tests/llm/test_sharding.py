@@ -81,3 +81,22 @@ def test_query_keeps_its_contract(spark, sf_dir):
         own = [r for r in rows if r["shard"] == shard]
         assert sorted(r["slot"] for r in own) == list(range(len(own)))
         assert abs(sum(r["size"] for r in own) - total / 16) <= 2 * max(r["size"] for r in rows)
+
+
+def test_groups_across_partitions_without_a_task_per_group(spark):
+    # More range partitions than groups: most groups go on in another partition.
+    texts = [(i, f"group {i // 9}") for i in range(90)] + [(200, "long " * 40), (201, None)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        placed = shard_by_bytes(frame(spark, texts), 5, ["doc_id", "text"])
+        plan = placed._jdf.queryExecution().sparkPlan().toString()
+        rows = placed.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    check(rows, texts, 5)
+    of = {}
+    for r in rows:
+        of.setdefault(r["text"], set()).add(r["shard"])
+    assert all(len(shards) == 1 for shards in of.values())
+    assert "SortMergeJoin" not in plan

@@ -4,8 +4,9 @@ Rows get one global order, by a hash of the text and the id, so that equal texts
 stand together. Range partitions of that order are summed up, the totals of earlier
 partitions (one row per partition) are added to running sums within partitions, and
 the running total is cut at equal targets. The order ends in the id, so a group of
-copies of any size spreads over partitions. DataFrame operations only; what moves is
-the columns asked for, not the texts.
+copies of any size spreads over partitions; a group is summed up inside each, and
+those at a partition's ends (two at most) over all. DataFrame operations only; what
+moves is the columns asked for, not the texts.
 """
 
 from __future__ import annotations
@@ -54,9 +55,12 @@ def shard_by_bytes(
     ranged = materialize(ranged, "ranged")
 
     totals = ranged.groupBy("part").agg(
-        F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.max("size").alias("largest")
+        F.sum("size").alias("bytes"),
+        F.count("*").alias("rows"),
+        F.max("size").alias("largest"),
+        F.min("text_key").alias("first_key"),
+        F.max("text_key").alias("last_key"),
     )
-    totals = materialize(totals, "totals")
     whole = totals.agg(F.sum("bytes"), F.max("largest")).first()
     total, largest = whole[0] or 1, whole[1] or 1
     # One row per partition, so one task is enough for this window.
@@ -68,23 +72,33 @@ def shard_by_bytes(
     )
     within = Window.partitionBy("part").orderBy(*order)
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = Window.partitionBy("part", "text_key")
     placed = (
         ranged.withColumn("bytes_here", F.sum("size").over(so_far) - F.col("size"))
         .withColumn("rows_here", F.row_number().over(within) - 1)
+        .withColumn("group_size", F.sum("size").over(same))
+        .withColumn("group_here", F.min("bytes_here").over(same))
         .join(starts, "part")
         .withColumn("start", F.col("bytes_before") + F.col("bytes_here"))
+        .withColumn("group_start", F.col("bytes_before") + F.col("group_here"))
         .withColumn("rank", F.col("rows_before") + F.col("rows_here"))
     )
-    placed = materialize(placed.select(*names, "text_key", "size", "start", "rank"), "placed")
-
-    groups = placed.groupBy("text_key").agg(
-        F.sum("size").alias("group_size"), F.min("start").alias("group_start")
+    placed = materialize(
+        placed.select(*names, "text_key", "size", "start", "rank", "group_size", "group_start"), "placed"
     )
-    groups = groups.where((F.col("group_size") <= largest) & F.col("text_key").isNotNull())
+
+    # Only the first and the last group of a partition can go on in another one.
+    ends = totals.select(F.explode(F.array("first_key", "last_key")).alias("text_key"))
+    ends = ends.where(F.col("text_key").isNotNull()).distinct()
+    across = placed.join(F.broadcast(ends), "text_key", "left_semi").groupBy("text_key")
+    across = across.agg(F.sum("size").alias("all_size"), F.min("start").alias("all_start"))
+    grouped = placed.join(F.broadcast(across), "text_key", "left")
+    size, start = F.coalesce("all_size", "group_size"), F.coalesce("all_start", "group_start")
+    stays = (size <= largest) & F.col("text_key").isNotNull()
+    grouped = grouped.withColumn("begins", F.when(stays, start).otherwise(F.col("start")))
     # Whole numbers throughout: a target is never met a rounding error early.
-    shard = F.expr(f"cast(coalesce(group_start, start) as decimal(20, 0)) * {shards} div {total}")
-    sharded = placed.join(groups, "text_key", "left").withColumn("shard", shard.cast("int"))
-    sharded = materialize(sharded.select(*names, "size", "rank", "shard"), "sharded")
+    shard = F.expr(f"cast(begins as decimal(20, 0)) * {shards} div {total}")
+    sharded = grouped.select(*names, "size", "rank", shard.cast("int").alias("shard"))
     first = sharded.groupBy("shard").agg(F.min("rank").alias("first"))
     return sharded.join(F.broadcast(first), "shard").select(
         *[F.col(n).alias(c) for c, n in zip(columns, names)],

@@ -56,6 +56,17 @@ def test_memory_of_forms_starts_anew(monkeypatch):
             assert packed == tokens.packed(text or "")
 
 
+def test_new_forms_dont_walk_through_the_memory():
+    class Memory(TokenIds):
+        def __iter__(self):
+            raise AssertionError("all forms were walked through")
+
+    tokens = Memory(PATH)
+    for _ in range(2):
+        for text, packed in zip(TEXTS, tokens.of([t and t.encode() for t in TEXTS])):
+            assert packed == tokens.packed(text or "")
+
+
 @pytest.mark.parametrize("capacity", [1, 7, 50, 2048])
 def test_plan_is_best_fit_decreasing(capacity):
     rng = random.Random(capacity)

@@ -95,7 +95,10 @@ class TokenIds(dict):
             else:
                 self[form] = self.packed(form.decode())
         plain, latin, lower = [], [], []
-        for stem in stems.difference(self):
+        # Looked up one by one: ``stems.difference(self)`` walks through all of the memory.
+        for stem in stems:
+            if stem in self:
+                continue
             if stem.isalpha():
                 plain.append(stem)
                 continue

@@ -17,6 +17,7 @@ from vintagemart.llm.lm_scores import (
     document_scores,
     score_documents,
     train,
+    train_and_score,
     vocabulary,
 )
 
@@ -168,3 +169,54 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     words, network = train(df)
     assert words == {} and score_documents(df, words, network).count() == 0
+
+
+def test_rows_are_added_up_by_id():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 300):
+        rows = rng.normal(size=(n, 32)).astype(np.float32)
+        ids = (rng.zipf(1.3, 4 * n) % 90).astype(np.int16)
+        used, sums = lm_scores._sums(ids, rows)
+        expected = np.zeros((90, 32))
+        np.add.at(expected, ids, np.tile(rows, (4, 1)))
+        assert used.tolist() == np.unique(ids).tolist()
+        assert np.allclose(sums, expected[used], atol=1e-4)
+
+
+def test_logits_of_any_size():
+    rng = np.random.default_rng(5)
+    text = rng.integers(0, PAD, 30).astype(np.int16)
+    for times in (100, 1_000):
+        network = Network.new()
+        network.classes *= times
+        network.words *= times
+        expected = plain_score(network, text)
+        assert document_scores(network, [text])[0] == pytest.approx(expected, rel=1e-3)
+        assert np.isfinite(network.flat()).all()
+
+
+def test_texts_are_taken_apart_once_for_training_and_scores(spark, monkeypatch):
+    """Texts are read to count their words and once more; scores are those of both steps apart."""
+    monkeypatch.setattr(lm_scores, "KNOWN", 0)
+    monkeypatch.setattr(lm_scores, "WORDS", CLASSES + 2)
+    rows, df = corpus(spark, n=40)
+    odd = [(1, None, "x"), (None, "", "x"), (2, "a rare word", "x"), (2, "a rare word", "x")]
+    df = df.unionAll(spark.createDataFrame(odd, SCHEMA)).localCheckpoint()
+    expected = score_documents(df, *train(df)).collect()
+    coded, passes = lm_scores.coded, []
+    monkeypatch.setattr(lm_scores, "coded", lambda *given: passes.append(1) or coded(*given))
+    found = train_and_score(df).collect()
+    assert len(passes) == 1
+    key = lambda r: (r["id"] is None, r["id"], r["n_words"])
+    for one, two in zip(sorted(found, key=key), sorted(expected, key=key), strict=True):
+        assert tuple(one)[:2] == tuple(two)[:2] and one["log_likelihood"] == pytest.approx(two["log_likelihood"], abs=1e-3)
+
+
+def test_memory_of_words_starts_anew(spark, monkeypatch):
+    _, df = corpus(spark, n=60)
+    words, total = vocabulary(df.select("text"))
+    expected = sorted(map(tuple, score_documents(df, words, Network.new()).collect()))
+    monkeypatch.setattr(lm_scores, "REMEMBERED", 2)
+    again, same = vocabulary(df.select("text"))
+    assert (again, same) == (words, total)
+    assert sorted(map(tuple, score_documents(df, words, Network.new()).collect())) == expected

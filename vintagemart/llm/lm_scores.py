@@ -16,6 +16,7 @@ averaged block by block.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vintagemart.llm.shingles import REMEMBERED_WORDS, WordHashes, long_lists, text_bytes
+from vintagemart.llm.shingles import long_lists, text_bytes
 from vintagemart.llm.worker import per_worker, slices
 from vintagemart.sources.scratch import materialize
 
@@ -49,9 +50,16 @@ BLOCK = 4096
 # others are joined.
 KNOWN = 1 << 17
 SHAPE = 63
+# Words remembered per worker before the memory starts anew.
+REMEMBERED = 1 << 20
+# Powers of e up to this, and sums of them, are far from the ends of single precision.
+TAME = 60
+ONES = np.ones(CLASSES, np.float32)
 
 
 def _shape(word: bytes) -> int:
+    if word.isalpha():
+        return min(len(word), 12) - 1
     letters = word.translate(None, b"0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
     if len(letters) == len(word):
         shape = 0
@@ -62,13 +70,37 @@ def _shape(word: bytes) -> int:
     return 12 * shape + min(len(word), 12) - 1
 
 
-class WordKeys(WordHashes):
-    """Lower-case word -> 58 bits of its hash, followed by its shape."""
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """58 bits of the hash of each lower-case word, followed by its shape."""
+    hashes = np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in words]), "<u8")
+    return hashes & ~np.uint64(SHAPE) | np.fromiter(map(_shape, words), np.uint64, len(words))
+
+
+class WordPlaces(dict):
+    """Lower-case word -> its place in ``keys``, which are worked out for many new words at once."""
+
+    def __init__(self) -> None:
+        self.keys, self.new = np.empty(0, np.uint64), []
 
     def __missing__(self, word: bytes) -> int:
-        value = super().__missing__(word) & ~SHAPE | _shape(word)
-        self[word] = value
-        return value
+        self[word] = place = len(self)
+        self.new.append(word)
+        return place
+
+    def of(self, text: bytes | None) -> np.ndarray:
+        words = text.lower().split() if text else []
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+    def learn(self) -> np.ndarray:
+        """The keys of all words."""
+        if self.new:
+            self.keys = np.concatenate([self.keys, word_keys(self.new)])
+            self.new = []
+        return self.keys
+
+    def forget(self) -> None:
+        self.clear()
+        self.__init__()
 
 
 class Vocabulary(dict):
@@ -80,23 +112,65 @@ class Vocabulary(dict):
     rest: DataFrame | None = None
 
 
-class WordIds(dict):
-    """Lower-case word -> its id; words beyond the vocabulary go by length and shape."""
+class WordIds:
+    """Ids of words; those beyond the vocabulary go by length and shape. For these,
+    also the logs of the known ones and of those not met."""
 
     def __init__(self, vocabulary: dict[int, int]) -> None:
-        self.vocabulary, self.keys_of = vocabulary, per_worker("word_keys", WordKeys)
-
-    def __missing__(self, word: bytes) -> int:
-        key = self.keys_of[word]
-        found = self.vocabulary.get(key, key & SHAPE)
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        self[word] = found
-        return found
+        keys = np.fromiter(vocabulary, np.uint64, len(vocabulary))
+        order = np.argsort(keys)
+        self.keys, self.numbers = keys[order], np.fromiter(vocabulary.values(), np.int16, len(keys))[order]
+        self.keys_known = getattr(vocabulary, "keys_known", self.keys[:0])
+        self.logs_known = getattr(vocabulary, "logs_known", np.empty(0))
+        self.unseen = getattr(vocabulary, "unseen", np.zeros(SHAPE + 1))
+        self.whole = getattr(vocabulary, "rest", None) is None
+        self.places = per_worker("word_places", WordPlaces)
+        self._start()
+
+    def _start(self) -> None:
+        self.ids, self.logs, self.open = np.empty(0, np.int16), np.empty(0), np.empty(0, bool)
+
+    def _learn(self) -> None:
+        keys = self.places.learn()[len(self.ids) :]
+        if not len(keys):
+            return
+        shape = (keys & np.uint64(SHAPE)).astype(np.int64)
+        place, hit = _found(self.keys, keys)
+        ids = shape.astype(np.int16)
+        ids[hit] = self.numbers[place[hit]]
+        place, known = _found(self.keys_known, keys)
+        logs = self.unseen[shape] if self.whole else np.zeros(len(keys))
+        logs[known] = self.logs_known[place[known]]
+        logs[hit] = 0
+        self.ids, self.logs = np.concatenate([self.ids, ids]), np.concatenate([self.logs, logs])
+        self.open = np.concatenate([self.open, ~(hit | known | self.whole)])
 
     def of(self, text: bytes | None) -> np.ndarray:
-        words = text.lower().split() if text else []
-        return np.fromiter(map(self.__getitem__, words), np.int16, len(words))
+        places = self.places.of(text)
+        self._learn()
+        return self.ids[places]
+
+    def coded(self, texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+        """Of each text: packed ids, the logs of the words beyond within their shapes,
+        and the keys of those whose logs aren't here."""
+        if len(self.places) > REMEMBERED:
+            self.places.forget()
+            self._start()
+        held = [self.places.of(t) for t in texts]
+        self._learn()
+        logs = np.array([self.logs[h].sum() for h in held])
+        left = [np.empty(0, np.uint64)] * len(held)
+        if not self.whole:
+            left = [self.places.keys[h[self.open[h]]] for h in held]
+        return [self.ids[h].tobytes() for h in held], logs, left
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted ``keys`` and whether the wanted key is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    place = np.searchsorted(keys, wanted).clip(0, len(keys) - 1)
+    return place, keys[place] == wanted
 
 
 @dataclass
@@ -137,57 +211,103 @@ class Network:
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         """``context``: a row per window place."""
-        total = self.tables[0][context[0]]
+        total = self.tables[0].take(context[0], axis=0)
         for table, ids in zip(self.tables[1:], context[1:]):
-            total += table[ids]
+            total += table.take(ids, axis=0)
         total += self.bias
         return np.tanh(total, out=total)
 
+    def _class_logits(self, state: np.ndarray) -> np.ndarray:
+        logits = state @ self.classes
+        logits += self.class_bias
+        return logits
+
+    def _word_logits(self, state: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """``state``: ``counts`` rows of each class, one class after the other."""
+        logits = np.empty((len(state), CLASSES), np.float32)
+        for k, rows in _runs(counts):
+            np.dot(state[rows], self.words[k].T, out=logits[rows])
+        logits += np.repeat(self.word_bias, counts, axis=0)
+        return logits
+
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        state = self.hidden(context)
-        klass, word = np.divmod(target, CLASSES)
-        out = _log_softmax(state @ self.classes + self.class_bias)[np.arange(len(target)), klass]
-        order = np.argsort(klass, kind="stable")
-        ends = np.searchsorted(klass[order], np.arange(CLASSES + 1))
-        state, word = state[order], word[order]
-        for k in range(CLASSES):
-            rows = slice(ends[k], ends[k + 1])
-            if ends[k] < ends[k + 1]:
-                logs = _log_softmax(state[rows] @ self.words[k].T + self.word_bias[k])
-                out[order[rows]] += logs[np.arange(len(logs)), word[rows]]
+        # By class: the rows of a class are one run.
+        order = np.argsort(target, kind="stable")
+        klass, word = np.divmod(target[order], CLASSES)
+        state, rows = self.hidden(context[:, order]), np.arange(len(target))
+        logs = np.zeros(len(target), np.float32)
+        counts = np.bincount(klass, minlength=CLASSES)
+        for logits, pick in ((self._class_logits(state), klass), (self._word_logits(state, counts), word)):
+            _tame(logits)
+            logs += logits[rows, pick]
+            logs -= np.log(np.exp(logits, out=logits) @ ONES)
+        out = np.empty_like(logs)
+        out[order] = logs
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray, past: Network) -> None:
         """One step downhill; ``past`` gathers the squares of the gradients."""
-        n = len(target)
-        state = self.hidden(context)
-        klass, word = np.divmod(target, CLASSES)
-        wrong = np.exp(_log_softmax(state @ self.classes + self.class_bias))
-        wrong[np.arange(n), klass] -= 1
-        back = wrong @ self.classes.T
-        grown = state.T @ wrong, wrong.sum(0)
-        order = np.argsort(klass, kind="stable")
-        ends = np.searchsorted(klass[order], np.arange(CLASSES + 1))
-        sorted_state, word = state[order], word[order]
-        for k in range(CLASSES):
-            if ends[k] == ends[k + 1]:
-                continue
-            rows = slice(ends[k], ends[k + 1])
-            off = np.exp(_log_softmax(sorted_state[rows] @ self.words[k].T + self.word_bias[k]))
-            off[np.arange(len(off)), word[rows]] -= 1
-            back[order[rows]] += off @ self.words[k]
-            _step(self.words[k], past.words[k], off.T @ sorted_state[rows])
-            _step(self.word_bias[k], past.word_bias[k], off.sum(0))
-        _step(self.classes, past.classes, grown[0])
-        _step(self.class_bias, past.class_bias, grown[1])
-        back *= 1 - state * state
-        _step(self.bias, past.bias, back.sum(0))
-        for table, squares, ids in zip(self.tables, past.tables, context):
-            order = np.argsort(ids, kind="stable")
-            used, starts = np.unique(ids[order], return_index=True)
-            slope = np.add.reduceat(back[order], starts, axis=0)
-            squares[used] += slope * slope
-            table[used] -= RATE * slope / np.sqrt(squares[used] + 1e-6)
+        order = np.argsort(target, kind="stable")
+        context, rows = context[:, order], CLASSES * np.arange(len(target))
+        klass, word = np.divmod(target[order], CLASSES)
+        counts = np.bincount(klass, minlength=CLASSES)
+        state, ones = self.hidden(context), np.ones(len(target), np.float32)
+        wrong = _softmax(self._class_logits(state))
+        wrong.ravel()[rows + klass] -= 1
+        off = _softmax(self._word_logits(state, counts))
+        off.ravel()[rows + word] -= 1
+        back = np.empty_like(state)
+        slopes, bias_slopes = np.zeros_like(self.words), np.zeros_like(self.word_bias)
+        for k, run in _runs(counts):
+            np.dot(off[run], self.words[k], out=back[run])
+            np.dot(off[run].T, state[run], out=slopes[k])
+        met = np.flatnonzero(counts)
+        bias_slopes[met] = np.add.reduceat(off, (np.cumsum(counts) - counts)[met], axis=0)
+        back += wrong @ self.classes.T
+        _step(self.words, past.words, slopes)
+        _step(self.word_bias, past.word_bias, bias_slopes)
+        _step(self.classes, past.classes, state.T @ wrong)
+        _step(self.class_bias, past.class_bias, ones @ wrong)
+        state *= state
+        back *= np.subtract(1, state, out=state)
+        _step(self.bias, past.bias, ones @ back)
+        # The four tables as one, the word of each place by its row there.
+        height = self.tables.shape[1]
+        used, slope = _sums((context + height * np.arange(len(WINDOW), dtype=np.int16)[:, None]).ravel(), back)
+        tables, squares = self.tables.reshape(-1, WIDTH), past.tables.reshape(-1, WIDTH)
+        grown = squares.take(used, axis=0)
+        grown += slope * slope
+        squares[used] = grown
+        grown += 1e-6
+        slope /= np.sqrt(grown, out=grown)
+        slope *= RATE
+        tables[used] -= slope
+
+
+def _runs(counts: np.ndarray) -> list[tuple[int, slice]]:
+    ends = np.cumsum(counts)
+    met = np.flatnonzero(counts)
+    return [(k, slice(s, e)) for k, s, e in zip(met.tolist(), (ends - counts)[met].tolist(), ends[met].tolist())]
+
+
+def _sums(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids and the sum of the rows of each; ``ids`` go round all rows again and again."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    counts = np.diff(starts, append=len(ids))
+    at = np.tile(np.arange(len(rows)), len(ids) // len(rows))[order]
+    sums = rows.take(at[starts], axis=0)
+    for step in (1, 2):
+        few = np.flatnonzero((counts > step) & (counts <= 3))
+        sums[few] += rows.take(at[starts[few] + step], axis=0)
+    # The few others are added up two numbers at a time.
+    often = counts > 3
+    if often.any():
+        several = rows.take(at[np.repeat(often, counts)], axis=0)
+        counts = counts[often]
+        sums[often] = np.add.reduceat(several.view(np.complex64), np.cumsum(counts) - counts, axis=0).view(np.float32)
+    return ids[starts], sums
 
 
 def _step(values: np.ndarray, squares: np.ndarray, slope: np.ndarray) -> None:
@@ -195,9 +315,16 @@ def _step(values: np.ndarray, squares: np.ndarray, slope: np.ndarray) -> None:
     values -= RATE * slope / np.sqrt(squares + 1e-6)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _tame(logits: np.ndarray) -> None:
+    """Logits of either sign are fine as they are unless their powers leave single precision."""
+    if logits.size and max(logits.max(), -logits.min()) > TAME:
+        logits -= logits.max(axis=1, keepdims=True)
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    _tame(logits)
+    np.exp(logits, out=logits)
+    logits /= (logits @ ONES)[:, None]
     return logits
 
 
@@ -231,26 +358,39 @@ def document_scores(network: Network, texts: list[np.ndarray]) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = per_worker("word_keys", WordKeys)
+    places = per_worker("word_places", WordPlaces)
+    counts = np.zeros(0, np.int64)
     held: list[np.ndarray] = []
-    size = 0
+
+    def add() -> None:
+        nonlocal counts
+        more = np.bincount(np.concatenate(held), minlength=len(places)) if held else np.zeros(len(places), np.int64)
+        more[: len(counts)] += counts
+        counts = more
+        held.clear()
 
     def counted() -> pa.RecordBatch:
-        words, counts = np.unique(np.concatenate(held), return_counts=True)
+        add()
+        met = np.flatnonzero(counts)
         return pa.RecordBatch.from_arrays(
-            [pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"]
+            [pa.array(places.learn()[met].view(np.int64)), pa.array(counts[met])], names=["word", "n"]
         )
 
+    size = 0
     for batch in slices(batches):
+        if len(places) > REMEMBERED:
+            yield counted()
+            places.forget()
+            counts, size = counts[:0], 0
         for text in text_bytes(batch.column(0)):
-            held.append(hashes.of(text))
+            held.append(places.of(text))
             size += len(held[-1])
-            if size > 1 << 22:
-                yield counted()
-                held.clear()
-                size = 0
-    if size:
-        yield counted()
+        if size > 1 << 20:
+            add()
+            size = 0
+    found = counted()
+    if len(found):
+        yield found
 
 
 def vocabulary(texts: DataFrame) -> tuple[Vocabulary, int]:
@@ -289,18 +429,41 @@ def vocabulary(texts: DataFrame) -> tuple[Vocabulary, int]:
     return found, total
 
 
-def _shard_ids(words: dict[int, int]) -> Callable:
+def _coded(words: Vocabulary) -> Callable:
+    vocabulary = Vocabulary(words)
+    vocabulary.keys_known, vocabulary.logs_known, vocabulary.unseen = words.keys_known, words.logs_known, words.unseen
+    # A table stays with the driver; tasks only ask whether there is one.
+    vocabulary.rest = None if words.rest is None else True
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(words)
+        ids = WordIds(vocabulary)
         for batch in slices(batches):
-            found = [ids.of(t).tobytes() for t in text_bytes(batch.column("text"))]
+            packed, logs, left = ids.coded(text_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("shard"), pa.array(found, pa.binary())], names=["shard", "ids"]
+                [batch.column("id"), batch.column("shard"), pa.array(packed, pa.binary()), pa.array(logs, pa.float64()), long_lists(left)],
+                names=["id", "shard", "ids", "logs", "rare"],
             )
 
     return run
 
 
+def coded(docs: DataFrame, words: Vocabulary, shards: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, shard, ids, logs, rare) of every row: the packed ids of its words, and of the words beyond the
+    vocabulary the summed logs within their shapes and the keys of those whose logs are to be joined."""
+    schema = T.StructType(
+        [
+            T.StructField("id", docs.schema[id_col].dataType),
+            T.StructField("shard", T.IntegerType()),
+            T.StructField("ids", T.BinaryType()),
+            T.StructField("logs", T.DoubleType()),
+            T.StructField("rare", T.ArrayType(T.LongType())),
+        ]
+    )
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    shard = F.pmod(F.xxhash64("text", "id"), F.lit(shards)).cast("int") if shards > 1 else F.lit(0)
+    return rows.select("id", shard.alias("shard"), "text").mapInArrow(_coded(words), schema)
+
+
 def _train_shard(network: Network, turn: int, texts: list[bytes]) -> np.ndarray:
     # In an order that doesn't depend on how the rows arrived.
     flat, places = _padded([np.frombuffer(t, np.int16) for t in sorted(texts)])
@@ -351,15 +514,9 @@ def _sum(rows: pa.Table) -> pa.Table:
     )
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Vocabulary, Network]:
-    """The vocabulary of all documents and the network trained on them."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    words, total = vocabulary(rows.select("text"))
+def _trained(picked: DataFrame, shards: int) -> Network:
     network = Network.new()
-    shards = max(1, round(total / SHARD_WORDS))
-    shard = F.pmod(F.xxhash64("text", "id"), F.lit(shards)).cast("int").alias("shard")
-    picked = rows.select(shard, "text").mapInArrow(_shard_ids(dict(words)), "shard int, ids binary")
-    picked = materialize(picked, "shards")
+    picked = picked.select("shard", "ids")
     bundle = F.expr(f"shard div {BUNDLE}").alias("bundle")
     for turn in range(ROUNDS):
         sums = picked.groupBy(bundle).applyInArrow(_train_bundle(network, turn), SUMS)
@@ -375,83 +532,70 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
             network = network.with_numbers(
                 np.concatenate([np.frombuffer(row["numbers"], np.float32) / row["n"] for row in ordered]).astype(np.float32)
             )
+    return network
+
+
+def _coded_and_trained(docs: DataFrame, id_col: str, text_col: str) -> tuple[Vocabulary, DataFrame, Network]:
+    words, total = vocabulary(docs.select(F.col(text_col).alias("text")))
+    shards = max(1, round(total / SHARD_WORDS))
+    picked = materialize(coded(docs, words, shards, id_col, text_col), "shards")
+    return words, picked, _trained(picked, shards)
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Vocabulary, Network]:
+    """The vocabulary of all documents and the network trained on them."""
+    words, _, network = _coded_and_trained(docs, id_col, text_col)
     return words, network
 
 
-def _score(words: Vocabulary, network: Network) -> Callable:
-    vocabulary, keys, logs = dict(words), words.keys_known, words.logs_known
-    unseen, whole = words.unseen, words.rest is None
+def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``score_documents`` of the documents trained on; each text is taken apart for both at once."""
+    words, picked, network = _coded_and_trained(docs, id_col, text_col)
+    return _scored(picked, words, network)
+
 
+def _score(network: Network) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(vocabulary)
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 40
         for batch in slices(batches):
             held: list[np.ndarray] = []
             scores, sizes, waiting = [], [], 0
-            owners, rare = [], []
-            texts = text_bytes(batch.column(1))
-            for at, text in enumerate(texts):
-                own = text.lower().split() if text else []
-                held.append(np.fromiter(map(ids.__getitem__, own), np.int16, len(own)))
-                places = np.flatnonzero(held[-1] < CLASSES)
-                rare.append(np.fromiter((ids.keys_of[own[i]] for i in places), np.uint64, len(places)))
-                owners.append(np.full(len(places), at))
-                sizes.append(len(own))
+            packed = batch.column("ids").to_pylist()
+            for at, ids in enumerate(packed):
+                held.append(np.frombuffer(ids, np.int16))
+                sizes.append(len(held[-1]))
                 waiting += sizes[-1]
-                if at == len(texts) - 1 or waiting > 1 << 18:
+                if at == len(packed) - 1 or waiting > 1 << 18:
                     scores += document_scores(network, held).tolist()
                     held, waiting = [], 0
-            owner, key = np.concatenate(owners), np.concatenate(rare)
-            place = np.searchsorted(keys, key).clip(0, max(len(keys) - 1, 0))
-            hit = keys[place] == key if len(keys) else np.zeros(len(key), bool)
-            log = unseen[(key & np.uint64(SHAPE)).astype(np.int64)] if whole else np.zeros(len(key))
-            log[hit] = logs[place[hit]]
-            scores = np.array(scores) + np.bincount(owner, log, len(texts))
-            left = np.flatnonzero(~hit) if not whole else np.empty(0, np.int64)
-            cuts = np.searchsorted(owner[left], np.arange(1, len(texts)))
+            scores = np.array(scores) + batch.column("logs").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    batch.column("id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(scores, pa.float64()),
-                    pa.array(row + np.arange(len(texts)), pa.int64()),
-                    long_lists(np.split(key[left], cuts)),
+                    pa.array(row + np.arange(len(packed)), pa.int64()),
+                    batch.column("rare"),
                 ],
                 names=["id", "n_words", "log_likelihood", "row", "rare"],
             )
-            row += len(texts)
+            row += len(packed)
 
     return run
 
 
-def score_documents(
-    docs: DataFrame,
-    words: Vocabulary,
-    network: Network,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """(id, n_words, log_likelihood, per_word) of every row of ``docs``.
-
-    ``log_likelihood`` sums the conditional log-probabilities of all words of the
-    whole text, each within its shape too if it is beyond the vocabulary, to four
-    decimals, and ``per_word`` is its mean. Null and empty texts
-    have no words, the sum 0 and a null mean. Ids may be null or repeat; equal texts
-    score alike; other columns aren't read; an empty table gives no rows. A network
-    that saw no words scores with its starting numbers.
-    """
-    kind = docs.schema[id_col].dataType
+def _scored(picked: DataFrame, words: Vocabulary, network: Network) -> DataFrame:
     schema = T.StructType(
         [
-            T.StructField("id", kind),
+            picked.schema["id"],
             T.StructField("n_words", T.LongType()),
             T.StructField("log_likelihood", T.DoubleType()),
             T.StructField("row", T.LongType()),
             T.StructField("rare", T.ArrayType(T.LongType())),
         ]
     )
-    found = docs.select(id_col, text_col).mapInArrow(_score(words, network), schema)
+    found = picked.select("id", "ids", "logs", "rare").mapInArrow(_score(network), schema)
     if words.rest is not None:
         found = materialize(found, "scores")
         shape = F.col("key").bitwiseAND(F.lit(SHAPE)).cast("int")
@@ -464,3 +608,21 @@ def score_documents(
     total = F.round("log_likelihood", 4)
     mean = F.when(F.col("n_words") > 0, F.round(F.col("log_likelihood") / F.col("n_words"), 6))
     return found.select("id", "n_words", total.alias("log_likelihood"), mean.alias("per_word"))
+
+def score_documents(
+    docs: DataFrame,
+    words: Vocabulary,
+    network: Network,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """(id, n_words, log_likelihood, per_word) of every row of ``docs``.
+
+    ``log_likelihood`` sums the conditional log-probabilities of all words of the
+    whole text, each within its shape too if it is beyond the vocabulary, to four
+    decimals, and ``per_word`` is its mean. Null and empty texts
+    have no words, the sum 0 and a null mean. Ids may be null or repeat; equal texts
+    score alike; other columns aren't read; an empty table gives no rows. A network
+    that saw no words scores with its starting numbers.
+    """
+    return _scored(coded(docs, words, 1, id_col, text_col), words, network)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vintagemart.llm.block_names import exact_duplicates
 from vintagemart.llm.chat import END, ESCAPE, START, chat_examples, read_loss, read_turns
 from vintagemart.llm.decontaminate import leaks
-from vintagemart.llm.lm_scores import score_documents, train
+from vintagemart.llm.lm_scores import train_and_score
 from vintagemart.llm.merkle import build_manifest, folded, proofs, row_digest, siblings
 from vintagemart.llm.ngram_join import jaccard_classes
 from vintagemart.llm.packing import pack
@@ -233,9 +233,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_lm_scores")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = score_documents(docs, *train(docs))
-    return found.withColumnRenamed("id", "doc_id")
+    return train_and_score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 OP13_SQL = r"""

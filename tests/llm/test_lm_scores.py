@@ -199,6 +199,7 @@ def test_texts_are_taken_apart_once_for_training_and_scores(spark, monkeypatch):
     """Texts are read to count their words and once more; scores are those of both steps apart."""
     monkeypatch.setattr(lm_scores, "KNOWN", 0)
     monkeypatch.setattr(lm_scores, "WORDS", CLASSES + 2)
+    monkeypatch.setattr(lm_scores, "PAD", CLASSES + 2)
     rows, df = corpus(spark, n=40)
     odd = [(1, None, "x"), (None, "", "x"), (2, "a rare word", "x"), (2, "a rare word", "x")]
     df = df.unionAll(spark.createDataFrame(odd, SCHEMA)).localCheckpoint()

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -221,3 +222,54 @@ def test_memory_of_words_starts_anew(spark, monkeypatch):
     again, same = vocabulary(df.select("text"))
     assert (again, same) == (words, total)
     assert sorted(map(tuple, score_documents(df, words, Network.new()).collect())) == expected
+
+
+def test_rare_words_are_joined_from_the_coded_texts(spark, monkeypatch):
+    """Rows and their rare words are stored once, and go to the join without being counted by row first."""
+    monkeypatch.setattr(lm_scores, "KNOWN", 0)
+    monkeypatch.setattr(lm_scores, "WORDS", CLASSES + 2)
+    monkeypatch.setattr(lm_scores, "PAD", CLASSES + 2)
+    stored, store = [], lm_scores.materialize
+    monkeypatch.setattr(lm_scores, "materialize", lambda df, name: stored.append(name) or store(df, name))
+    _, df = corpus(spark, n=40)
+    found = train_and_score(df)
+    assert stored == ["words", "shards"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(rare" in plan and plan.count("Aggregate [") == 1
+
+
+def test_words_are_looked_up_once_for_all_texts():
+    texts = [None, b"", b" \t", b" a B\x0b\x0cb  a\r\n", b"a", b"\x1c \xc2\xa0a\xc2\x85 \x00 \xc3\x89A \xc3\xa9a", None]
+    looked = []
+
+    class Places(lm_scores.WordPlaces):
+        def get(self, word, default=None):
+            looked.append(word)
+            return super().get(word, default)
+
+    places = Places()
+    for _ in range(2):
+        looked.clear()
+        met, numbers, ends = places.of(pa.array([b"cut off", *texts], pa.binary()).slice(1))
+        words = list(places)
+        got = [[words[p] for p in met[part]] for part in np.split(numbers, ends[:-1])]
+        assert got == [(t or b"").lower().split() for t in texts]
+        assert len(looked) == len(set(looked)) == len(words) == 7
+    assert places.learn().tolist() == lm_scores.word_keys(words).tolist()
+
+
+def test_shapes_of_words():
+    words = [b"abc", b"ab,", b"a,b", b"a1", b"1", b",", b"--", b"\xc3\xa9", b"\xc3\xa9.", b"x" * 30, b"." * 70_000, b"x'"]
+    kinds = [0, 1, 3, 2, 2, 1, 3, 0, 1, 0, 3, 3]
+    expected = [12 * k + min(len(w), 12) - 1 for k, w in zip(kinds, words)]
+    assert lm_scores._shapes(words).tolist() == expected
+    assert (lm_scores.word_keys(words) & np.uint64(lm_scores.SHAPE)).tolist() == expected
+
+
+def test_portions_go_by_the_length_of_texts(monkeypatch):
+    monkeypatch.setattr(lm_scores, "PORTION", 10)
+    for sizes in ([], [0, 0], [4, 4, 4, 25, None, 1], [30]):
+        texts = pa.array([None if n is None else "x" * n for n in sizes], pa.string())
+        found = list(lm_scores._portions(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), 0))
+        assert sum((b.column(0).to_pylist() for b in found), []) == texts.to_pylist()
+        assert all(len(b) and sum(len(t or "") for t in b.column(0).to_pylist()[1:]) < 10 for b in found)

@@ -16,18 +16,20 @@ averaged block by block.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vintagemart.llm.shingles import long_lists, text_bytes
+from vintagemart.llm.shingles import long_lists
 from vintagemart.llm.worker import per_worker, slices
 from vintagemart.sources.scratch import materialize
 
@@ -43,37 +45,52 @@ FAN_IN = 64
 ROUNDS = 2
 BATCH = 2048
 RATE = 0.1
-# Positions scored at once; numbers in one block of the averaging.
-STRETCH = 8192
+# Positions put in order for scoring, and scored at once; numbers in one block of the averaging.
+STRETCH = 1 << 16
+PRODUCT = 2048
 BLOCK = 4096
 # Most frequent words beyond the vocabulary whose counts go to all tasks; those of the
 # others are joined.
 KNOWN = 1 << 17
 SHAPE = 63
+# Of each byte: whether it is a mark or a digit, and in the upper half whether it is a digit.
+MARKS = np.zeros(256, np.int64)
+MARKS[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = 1
+MARKS[list(b"0123456789")] = 1 + (1 << 32)
+# Marks that end a sentence or a part of it.
+ENDS = np.isin(np.arange(256), list(b".,;:!?"))
+# Bytes of text that are split into words at once.
+PORTION = 1 << 23
 # Words remembered per worker before the memory starts anew.
 REMEMBERED = 1 << 20
 # Powers of e up to this, and sums of them, are far from the ends of single precision.
 TAME = 60
 ONES = np.ones(CLASSES, np.float32)
+# Rows of an id that are added up one by one.
+FEW = 4
 
 
-def _shape(word: bytes) -> int:
-    if word.isalpha():
-        return min(len(word), 12) - 1
-    letters = word.translate(None, b"0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-    if len(letters) == len(word):
-        shape = 0
-    elif len(letters) == len(word) - 1 and word[-1:] in b".,;:!?":
-        shape = 1
-    else:
-        shape = 2 if any(48 <= c <= 57 for c in word) else 3
-    return 12 * shape + min(len(word), 12) - 1
+def _shapes(words: list[bytes]) -> np.ndarray:
+    """Of each word the length, up to 12, and whether it has letters only, a mark behind
+    them, digits, or other marks."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths)
+    letters = np.frombuffer(b"".join(words), np.uint8)
+    found = np.add.reduceat(MARKS[letters], ends - lengths)
+    kinds = np.where(found >> 32, 2, 3)
+    kinds[(found & 0xFFFFFFFF == 1) & ENDS[letters[ends - 1]]] = 1
+    kinds[found == 0] = 0
+    return (12 * kinds + np.minimum(lengths, 12) - 1).astype(np.uint64)
 
 
 def word_keys(words: list[bytes]) -> np.ndarray:
     """58 bits of the hash of each lower-case word, followed by its shape."""
-    hashes = np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in words]), "<u8")
-    return hashes & ~np.uint64(SHAPE) | np.fromiter(map(_shape, words), np.uint64, len(words))
+    found = [np.empty(0, np.uint64)]
+    for start in range(0, len(words), 1 << 16):
+        some = words[start : start + (1 << 16)]
+        hashes = np.frombuffer(b"".join([blake2b(w, digest_size=8).digest() for w in some]), "<u8")
+        found.append(hashes & ~np.uint64(SHAPE) | _shapes(some))
+    return np.concatenate(found)
 
 
 class WordPlaces(dict):
@@ -82,14 +99,30 @@ class WordPlaces(dict):
     def __init__(self) -> None:
         self.keys, self.new = np.empty(0, np.uint64), []
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = place = len(self)
-        self.new.append(word)
-        return place
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        words = text.lower().split() if text else []
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the distinct words of all texts, the number of each word among these, one text
+        after the other, and where the words of each text end."""
+        texts = texts.cast(pa.binary()).view(pa.string()).fill_null("")
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        found = split.flatten().dictionary_encode()
+        numbers = found.indices.to_numpy()
+        ends = np.cumsum(split.value_lengths().to_numpy(), dtype=np.int64)
+        words = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        # White space at either end of a text leaves an empty word there.
+        empty = words.index(b"") if b"" in words else None
+        if empty is not None:
+            del words[empty]
+            real = numbers != empty
+            ends = np.concatenate([[0], np.cumsum(real)])[ends]
+            numbers = numbers[real]
+            numbers = numbers - (numbers > empty)
+        places = np.fromiter(map(self.get, words, repeat(-1)), np.int32, len(words))
+        unmet = np.flatnonzero(places < 0)
+        places[unmet] = np.arange(len(self), len(self) + len(unmet))
+        new = [words[i] for i in unmet.tolist()]
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+        self.new += new
+        return places, numbers, ends
 
     def learn(self) -> np.ndarray:
         """The keys of all words."""
@@ -146,23 +179,27 @@ class WordIds:
         self.open = np.concatenate([self.open, ~(hit | known | self.whole)])
 
     def of(self, text: bytes | None) -> np.ndarray:
-        places = self.places.of(text)
+        places, numbers, _ = self.places.of(pa.array([text], pa.binary()))
         self._learn()
-        return self.ids[places]
+        return self.ids[places][numbers]
 
-    def coded(self, texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+    def coded(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
         """Of each text: packed ids, the logs of the words beyond within their shapes,
         and the keys of those whose logs aren't here."""
         if len(self.places) > REMEMBERED:
             self.places.forget()
             self._start()
-        held = [self.places.of(t) for t in texts]
+        places, numbers, ends = self.places.of(texts)
         self._learn()
-        logs = np.array([self.logs[h].sum() for h in held])
-        left = [np.empty(0, np.uint64)] * len(held)
+        starts = np.concatenate([[0], ends[:-1]])
+        bounds = list(zip(starts.tolist(), ends.tolist()))
+        ids, logs = self.ids[places][numbers], self.logs[places][numbers]
+        left = [np.empty(0, np.uint64)] * len(texts)
         if not self.whole:
-            left = [self.places.keys[h[self.open[h]]] for h in held]
-        return [self.ids[h].tobytes() for h in held], logs, left
+            open_ = np.flatnonzero(self.open[places][numbers])
+            keys = self.places.keys[places[numbers[open_]]]
+            left = np.split(keys, np.searchsorted(open_, ends[:-1]))
+        return [ids[s:e].tobytes() for s, e in bounds], np.array([logs[s:e].sum() for s, e in bounds]), left
 
 
 def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +222,13 @@ class Network:
     words: np.ndarray
     word_bias: np.ndarray
 
+    def __post_init__(self) -> None:
+        # Each step's vectors beside their biases, which meet a column of ones.
+        self.upper = np.concatenate([self.classes, self.class_bias[None]])
+        self.lower = np.concatenate([np.ascontiguousarray(self.words.transpose(0, 2, 1)), self.word_bias[:, None]], axis=1)
+        self.classes, self.class_bias = self.upper[:-1], self.upper[-1]
+        self.words, self.word_bias = self.lower[:, :-1].transpose(0, 2, 1), self.lower[:, -1]
+
     @staticmethod
     def new(seed: int = 7) -> Network:
         numbers = np.random.default_rng(seed)
@@ -217,30 +261,20 @@ class Network:
         total += self.bias
         return np.tanh(total, out=total)
 
-    def _class_logits(self, state: np.ndarray) -> np.ndarray:
-        logits = state @ self.classes
-        logits += self.class_bias
-        return logits
-
-    def _word_logits(self, state: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """``state``: ``counts`` rows of each class, one class after the other."""
-        logits = np.empty((len(state), CLASSES), np.float32)
-        for k, rows in _runs(counts):
-            np.dot(state[rows], self.words[k].T, out=logits[rows])
-        logits += np.repeat(self.word_bias, counts, axis=0)
-        return logits
-
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        # By class: the rows of a class are one run.
+        # By class: both steps of its words are one product.
         order = np.argsort(target, kind="stable")
         klass, word = np.divmod(target[order], CLASSES)
-        state, rows = self.hidden(context[:, order]), np.arange(len(target))
-        logs = np.zeros(len(target), np.float32)
-        counts = np.bincount(klass, minlength=CLASSES)
-        for logits, pick in ((self._class_logits(state), klass), (self._word_logits(state, counts), word)):
-            _tame(logits)
-            logs += logits[rows, pick]
-            logs -= np.log(np.exp(logits, out=logits) @ ONES)
+        context, logs = context[:, order], np.empty(len(target), np.float32)
+        for k, run in _runs(np.bincount(klass, minlength=CLASSES)):
+            both = np.concatenate([self.upper, self.lower[k]], axis=1)
+            for start in range(run.start, run.stop, PRODUCT):
+                rows = slice(start, min(start + PRODUCT, run.stop))
+                logits = (_with_ones(self.hidden(context[:, rows])) @ both).reshape(-1, CLASSES)
+                _tame(logits)
+                part = logits[::2, k] + logits[1::2][np.arange(len(logits) // 2), word[rows]]
+                sums = np.log(np.exp(logits, out=logits) @ ONES)
+                logs[rows] = part - sums[::2] - sums[1::2]
         out = np.empty_like(logs)
         out[order] = logs
         return out
@@ -248,40 +282,47 @@ class Network:
     def train(self, context: np.ndarray, target: np.ndarray, past: Network) -> None:
         """One step downhill; ``past`` gathers the squares of the gradients."""
         order = np.argsort(target, kind="stable")
-        context, rows = context[:, order], CLASSES * np.arange(len(target))
-        klass, word = np.divmod(target[order], CLASSES)
-        counts = np.bincount(klass, minlength=CLASSES)
-        state, ones = self.hidden(context), np.ones(len(target), np.float32)
-        wrong = _softmax(self._class_logits(state))
-        wrong.ravel()[rows + klass] -= 1
-        off = _softmax(self._word_logits(state, counts))
-        off.ravel()[rows + word] -= 1
-        back = np.empty_like(state)
-        slopes, bias_slopes = np.zeros_like(self.words), np.zeros_like(self.word_bias)
-        for k, run in _runs(counts):
-            np.dot(off[run], self.words[k], out=back[run])
-            np.dot(off[run].T, state[run], out=slopes[k])
-        met = np.flatnonzero(counts)
-        bias_slopes[met] = np.add.reduceat(off, (np.cumsum(counts) - counts)[met], axis=0)
-        back += wrong @ self.classes.T
-        _step(self.words, past.words, slopes)
-        _step(self.word_bias, past.word_bias, bias_slopes)
-        _step(self.classes, past.classes, state.T @ wrong)
-        _step(self.class_bias, past.class_bias, ones @ wrong)
-        state *= state
-        back *= np.subtract(1, state, out=state)
-        _step(self.bias, past.bias, ones @ back)
+        self.train_sorted(context[:, order], target[order], past)
+
+    def train_sorted(self, context: np.ndarray, target: np.ndarray, past: Network) -> None:
+        """The same for words in the order of their ids."""
+        picks = np.divmod(target, CLASSES)
+        runs = _runs(np.bincount(picks[0], minlength=CLASSES))
+        hidden = self.hidden(context)
+        state = _with_ones(hidden)
+        both, words = np.empty((2, len(target), CLASSES), np.float32), list(self.lower)
+        wrong, off = both
+        np.dot(state, self.upper, out=wrong)
+        parts = [(k, state[run], off[run]) for k, run in runs]
+        for k, known, part in parts:
+            np.dot(known, words[k], out=part)
+        _softmax(both.reshape(-1, CLASSES))
+        both.ravel()[CLASSES * np.arange(2 * len(target)) + np.concatenate(picks)] -= 1
+        back, slopes, words = wrong @ self.classes.T, np.zeros_like(self.lower), list(self.words)
+        lower = np.empty_like(back)
+        for (k, known, part), (_, run) in zip(parts, runs):
+            np.dot(part, words[k], out=lower[run])
+            np.dot(known.T, part, out=slopes[k])
+        back += lower
+        _step(self.lower, past.lower, slopes)
+        _step(self.upper, past.upper, state.T @ wrong)
+        hidden *= hidden
+        back *= np.subtract(1, hidden, out=hidden)
+        _step(self.bias, past.bias, state[:, -1] @ back)
         # The four tables as one, the word of each place by its row there.
         height = self.tables.shape[1]
         used, slope = _sums((context + height * np.arange(len(WINDOW), dtype=np.int16)[:, None]).ravel(), back)
         tables, squares = self.tables.reshape(-1, WIDTH), past.tables.reshape(-1, WIDTH)
         grown = squares.take(used, axis=0)
-        grown += slope * slope
-        squares[used] = grown
-        grown += 1e-6
-        slope /= np.sqrt(grown, out=grown)
-        slope *= RATE
-        tables[used] -= slope
+        values = tables.take(used, axis=0)
+        _step(values, grown, slope)
+        tables[used], squares[used] = values, grown
+
+
+def _with_ones(rows: np.ndarray) -> np.ndarray:
+    out = np.empty((len(rows), rows.shape[1] + 1), np.float32)
+    out[:, :-1], out[:, -1] = rows, 1
+    return out
 
 
 def _runs(counts: np.ndarray) -> list[tuple[int, slice]]:
@@ -293,26 +334,39 @@ def _runs(counts: np.ndarray) -> list[tuple[int, slice]]:
 def _sums(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids and the sum of the rows of each; ``ids`` go round all rows again and again."""
     order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-    counts = np.diff(starts, append=len(ids))
+    counts = np.bincount(ids)
+    found = np.flatnonzero(counts)
+    counts = counts[found]
+    starts = np.cumsum(counts) - counts
+    # The ids met most often come first.
+    by = np.argsort(-np.minimum(counts, FEW + 1).astype(np.int8), kind="stable")
+    starts, counts = starts[by], counts[by]
     at = np.tile(np.arange(len(rows)), len(ids) // len(rows))[order]
     sums = rows.take(at[starts], axis=0)
-    for step in (1, 2):
-        few = np.flatnonzero((counts > step) & (counts <= 3))
-        sums[few] += rows.take(at[starts[few] + step], axis=0)
-    # The few others are added up two numbers at a time.
-    often = counts > 3
-    if often.any():
-        several = rows.take(at[np.repeat(often, counts)], axis=0)
-        counts = counts[often]
-        sums[often] = np.add.reduceat(several.view(np.complex64), np.cumsum(counts) - counts, axis=0).view(np.float32)
-    return ids[starts], sums
+    for step in range(1, FEW):
+        more = np.count_nonzero(counts > step)
+        sums[:more] += rows.take(at[starts[:more] + step], axis=0)
+    # What is left of these is added up two numbers at a time.
+    more = np.count_nonzero(counts > FEW)
+    if more:
+        ends = np.cumsum(counts[:more] - FEW)
+        begins = np.concatenate([[0], ends[:-1]])
+        places = np.arange(ends[-1]) + np.repeat(starts[:more] + FEW - begins, counts[:more] - FEW)
+        several = rows.take(at[places], axis=0)
+        sums[:more] += np.add.reduceat(several.view(np.complex64), begins, axis=0).view(np.float32)
+    out = np.empty_like(sums)
+    out[by] = sums
+    return found.astype(ids.dtype), out
 
 
 def _step(values: np.ndarray, squares: np.ndarray, slope: np.ndarray) -> None:
-    squares += slope * slope
-    values -= RATE * slope / np.sqrt(squares + 1e-6)
+    """``slope`` is used up."""
+    grown = slope * slope
+    squares += grown
+    np.add(squares, 1e-6, out=grown)
+    slope *= RATE
+    slope /= np.sqrt(grown, out=grown)
+    values -= slope
 
 
 def _tame(logits: np.ndarray) -> None:
@@ -324,7 +378,7 @@ def _tame(logits: np.ndarray) -> None:
 def _softmax(logits: np.ndarray) -> np.ndarray:
     _tame(logits)
     np.exp(logits, out=logits)
-    logits /= (logits @ ONES)[:, None]
+    logits *= np.reciprocal(logits @ ONES)[:, None]
     return logits
 
 
@@ -341,7 +395,7 @@ def _padded(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _context(flat: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return np.stack([flat[places + step] for step in WINDOW])
+    return flat.take(places + np.array(WINDOW)[:, None])
 
 
 def document_scores(network: Network, texts: list[np.ndarray]) -> np.ndarray:
@@ -357,37 +411,36 @@ def document_scores(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     return total[ends] - total[ends - lengths]
 
 
+def _portions(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, by the length of the texts of the column."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        number = np.cumsum(sizes, dtype=np.int64) // PORTION
+        cuts = (np.flatnonzero(np.diff(number)) + 1).tolist()
+        for start, end in zip([0, *cuts], [*cuts, len(batch)]):
+            if end > start:
+                yield batch.slice(start, end - start)
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places = per_worker("word_places", WordPlaces)
     counts = np.zeros(0, np.int64)
-    held: list[np.ndarray] = []
-
-    def add() -> None:
-        nonlocal counts
-        more = np.bincount(np.concatenate(held), minlength=len(places)) if held else np.zeros(len(places), np.int64)
-        more[: len(counts)] += counts
-        counts = more
-        held.clear()
 
     def counted() -> pa.RecordBatch:
-        add()
         met = np.flatnonzero(counts)
         return pa.RecordBatch.from_arrays(
             [pa.array(places.learn()[met].view(np.int64)), pa.array(counts[met])], names=["word", "n"]
         )
 
-    size = 0
-    for batch in slices(batches):
+    for batch in _portions(batches, 0):
         if len(places) > REMEMBERED:
             yield counted()
             places.forget()
-            counts, size = counts[:0], 0
-        for text in text_bytes(batch.column(0)):
-            held.append(places.of(text))
-            size += len(held[-1])
-        if size > 1 << 20:
-            add()
-            size = 0
+            counts = counts[:0]
+        met, numbers, _ = places.of(batch.column(0))
+        if len(counts) < len(places):
+            counts = np.concatenate([counts, np.zeros(len(places), np.int64)])
+        counts[met] += np.bincount(numbers, minlength=len(met))
     found = counted()
     if len(found):
         yield found
@@ -437,25 +490,37 @@ def _coded(words: Vocabulary) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds(vocabulary)
-        for batch in slices(batches):
-            packed, logs, left = ids.coded(text_bytes(batch.column("text")))
+        context = TaskContext.get()
+        row = (context.partitionId() if context else 0) << 40
+        for batch in _portions(batches, 2):
+            packed, logs, left = ids.coded(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("shard"), pa.array(packed, pa.binary()), pa.array(logs, pa.float64()), long_lists(left)],
-                names=["id", "shard", "ids", "logs", "rare"],
+                [
+                    batch.column("id"),
+                    batch.column("shard"),
+                    pa.array(packed, pa.binary()),
+                    pa.array(logs, pa.float64()),
+                    pa.array(row + np.arange(len(packed)), pa.int64()),
+                    long_lists(left),
+                ],
+                names=["id", "shard", "ids", "logs", "row", "rare"],
             )
+            row += len(packed)
 
     return run
 
 
 def coded(docs: DataFrame, words: Vocabulary, shards: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, shard, ids, logs, rare) of every row: the packed ids of its words, and of the words beyond the
-    vocabulary the summed logs within their shapes and the keys of those whose logs are to be joined."""
+    """(id, shard, ids, logs, row, rare) of every row: the packed ids of its words, and of the words beyond the
+    vocabulary the summed logs within their shapes and, beside a number of the row, the keys of those whose
+    logs are to be joined."""
     schema = T.StructType(
         [
             T.StructField("id", docs.schema[id_col].dataType),
             T.StructField("shard", T.IntegerType()),
             T.StructField("ids", T.BinaryType()),
             T.StructField("logs", T.DoubleType()),
+            T.StructField("row", T.LongType()),
             T.StructField("rare", T.ArrayType(T.LongType())),
         ]
     )
@@ -472,7 +537,8 @@ def _train_shard(network: Network, turn: int, texts: list[bytes]) -> np.ndarray:
     own, past = network.with_numbers(network.flat()), network.with_numbers(0 * network.flat())
     for start in range(0, len(places), BATCH):
         part = places[start : start + BATCH]
-        own.train(_context(flat, part), flat[part], past)
+        part = part[np.argsort(flat[part], kind="stable")]
+        own.train_sorted(_context(flat, part), flat[part], past)
     return own.flat()
 
 
@@ -556,8 +622,6 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _score(network: Network) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        row = (context.partitionId() if context else 0) << 40
         for batch in slices(batches):
             held: list[np.ndarray] = []
             scores, sizes, waiting = [], [], 0
@@ -571,44 +635,36 @@ def _score(network: Network) -> Callable:
                     held, waiting = [], 0
             scores = np.array(scores) + batch.column("logs").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(scores, pa.float64()),
-                    pa.array(row + np.arange(len(packed)), pa.int64()),
-                    batch.column("rare"),
-                ],
-                names=["id", "n_words", "log_likelihood", "row", "rare"],
+                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(scores, pa.float64()), batch.column("row")],
+                names=["id", "n_words", "log_likelihood", "row"],
             )
-            row += len(packed)
 
     return run
 
 
 def _scored(picked: DataFrame, words: Vocabulary, network: Network) -> DataFrame:
+    """``picked``: stored if some logs are to be joined, so that rows keep their numbers."""
     schema = T.StructType(
         [
             picked.schema["id"],
             T.StructField("n_words", T.LongType()),
             T.StructField("log_likelihood", T.DoubleType()),
             T.StructField("row", T.LongType()),
-            T.StructField("rare", T.ArrayType(T.LongType())),
         ]
     )
-    found = picked.select("id", "ids", "logs", "rare").mapInArrow(_score(network), schema)
+    found = picked.select("id", "ids", "logs", "row").mapInArrow(_score(network), schema)
     if words.rest is not None:
-        found = materialize(found, "scores")
         shape = F.col("key").bitwiseAND(F.lit(SHAPE)).cast("int")
         unseen = F.array(*map(F.lit, words.unseen.tolist()))[shape]
-        rare = found.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
-        more = rare.join(words.rest, "key", "left").groupBy("row")
-        more = more.agg(F.sum(F.col("times") * F.coalesce("log", unseen)).alias("more"))
+        rare = picked.select("row", F.explode("rare").alias("key"))
+        more = rare.join(words.rest, "key", "left").groupBy("row").agg(F.sum(F.coalesce("log", unseen)).alias("more"))
         log = F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
         found = found.join(more, "row", "left").withColumn("log_likelihood", log)
     total = F.round("log_likelihood", 4)
     mean = F.when(F.col("n_words") > 0, F.round(F.col("log_likelihood") / F.col("n_words"), 6))
     return found.select("id", "n_words", total.alias("log_likelihood"), mean.alias("per_word"))
 
+
 def score_documents(
     docs: DataFrame,
     words: Vocabulary,
@@ -625,4 +681,7 @@ def score_documents(
     score alike; other columns aren't read; an empty table gives no rows. A network
     that saw no words scores with its starting numbers.
     """
-    return _scored(coded(docs, words, 1, id_col, text_col), words, network)
+    picked = coded(docs, words, 1, id_col, text_col)
+    if words.rest is not None:
+        picked = materialize(picked, "coded")
+    return _scored(picked, words, network)

@@ -234,3 +234,43 @@ def test_copies_in_a_task_tell_their_prefixes_once():
     told = out.column("first").value_lengths().to_pylist()
     assert told[0] == prefix_length(36, 80) and told[1] == 0 and told[2] == prefix_length(37, 80)
     assert out.column("node")[0] == out.column("node")[1] and out.column("n").to_pylist() == [36, 36, 37]
+
+
+@pytest.mark.parametrize("percent", [50, 85, 90, 99])
+def test_linked_sets_have_a_part_in_common(percent):
+    rng = np.random.default_rng(percent)
+    hashes = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    linked = 0
+    for n in (2, 3, 5, 8, 10, 12, 20, 40, 90, 200, 1000):
+        for _ in range(60):
+            one = np.unique(hashes(n))
+            changed = int(rng.integers(0, 2 * n * (100 - percent) // (100 + percent) + 2))
+            gone = min(int(rng.integers(0, changed + 1)), n - 1)
+            two = np.unique(np.concatenate([one[gone:], hashes(changed - gone)]))
+            common = len(np.intersect1d(one, two))
+            if common < max(len(one), len(two)) and 100 * common >= percent * (len(one) + len(two) - common):
+                linked += 1
+                assert len(np.intersect1d(ngram_join._parts(one, percent), ngram_join._parts(two, percent)))
+    assert linked > 50
+
+
+def test_chains_of_shared_passages_make_no_cells(spark, monkeypatch):
+    largest = []
+    materialize = ngram_join.materialize
+
+    def watched(df, name="table"):
+        out = materialize(df, name)
+        if name == "cells":
+            largest.append(max(r["count"] for r in out.groupBy("cell").count().collect()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", watched)
+    rng = random.Random(13)
+    passages = [[f"p{i}x{j}" for j in range(13)] for i in range(6)]
+    rows = []
+    for i in range(60):
+        words = [f"u{rng.randrange(30)}" for _ in range(160)]
+        text = rng.choice(passages) + words + rng.choice(passages)
+        rows += [(2 * i, " ".join(text))] + ([(2 * i + 1, " ".join(text[:-1]))] if i % 5 == 0 else [])
+    assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
+    assert set(largest) == {2}

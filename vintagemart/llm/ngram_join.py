@@ -1,18 +1,22 @@
 """Exact Jaccard self-join on word shingles by filters under several token orders.
 
 Two sets of similarity at least t must share a token among the first
-``n - ceil(t n) + 1`` of either, whatever global order the tokens stand in.
-So a pair has to pass that filter under every order at once:
+``n - ceil(t n) + 1`` of either, whatever global order the tokens stand in. If
+the hashes of tokens are cut into more ranges than tokens can differ, two such
+sets also have the same tokens in one of the ranges. So a pair has to pass these
+filters all at once:
 
 1. one pass counts words in a sketch of fixed size, which only feeds the orders;
-2. one pass turns each text into its set, a 128-bit name of the set, and one
-   prefix per order. The first order puts shingles with the rarest word first,
-   the second those with the least frequent words overall, tie-broken by unlike
-   hashes. Any numbers in the sketch give valid orders, so it can't lose a link;
-3. equal sets are one node. Nodes that share a prefix token under the first order
-   fall into one cell, cells are cut again by the prefix tokens of the second
-   order, so a pair that passes every filter never gets separated, and no pairs
-   are listed;
+2. one pass turns each text into its set, a 128-bit name of the set, the names of
+   its parts and one prefix per order. The first order puts shingles with the
+   rarest word first, the second those with the least frequent words overall,
+   tie-broken by unlike hashes. Any numbers in the sketch give valid orders, so it
+   can't lose a link;
+3. equal sets are one node. Nodes that share a part fall into one cell, cells are
+   cut again by the prefix tokens of the first and of the second order, so a pair
+   that passes every filter never gets separated, and no pairs are listed. Texts
+   that share a passage only hardly ever have a part in common, so cells don't grow
+   with the table through them. Below ``PARTS_FROM`` percent there are no parts;
 4. what hangs together through others only is cut pair by pair: each set has marks,
    one bit per two to one tokens, that tell a lower bound of how many tokens two
    sets don't share. A task compares the marks of two bounded blocks of a cell and
@@ -26,7 +30,10 @@ So a pair has to pass that filter under every order at once:
 from __future__ import annotations
 
 import hashlib
+import math
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -60,12 +67,18 @@ BUCKET_TOKENS = 1 << 16
 MARK_SETS = 2048
 MARK_TOKENS = 1 << 25
 MARK_BUCKET_TOKENS = 1 << 21
+# Percent from which on sets are cut into parts: below it, parts hold so few tokens that
+# texts which share a passage often have one in common, and there are more of them.
+PARTS_FROM = 85
+# Ratio of the largest sets of neighbouring classes in which sets are cut into parts.
+PART_CLASS = 1.4
+_START = np.zeros(1, np.int64)
 # Names of sets that a task remembers.
 TOLD_SETS = 1 << 16
 # Bits of the shortest marks.
 LEAST_MARKS = 64
 
-SET_SCHEMA = "id long, tag long, n long, node binary, marks binary, first array<long>, second array<long>"
+SET_SCHEMA = "id long, tag long, n long, node binary, marks binary, first array<long>, second array<long>, parts array<long>"
 UNITS = "array<struct<bucket:long,k1:int,k2:int,i:int,j:int,side:int>>"
 UNIT = ["bucket", "large", "k1", "k2", "i", "j"]
 
@@ -130,6 +143,12 @@ def word_rarity(texts: DataFrame) -> np.ndarray:
     return ranks
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """What np.unique gives, sorted several times faster than by its hash tables."""
+    values = np.sort(values)
+    return values[np.concatenate([values[:1] == values[:1], values[1:] != values[:-1]])]
+
+
 def _ordered(words: np.ndarray, size: int, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles under both orders. A token is its rank in the order
     (6 bits) followed by 58 bits of its hash."""
@@ -144,7 +163,7 @@ def _ordered(words: np.ndarray, size: int, rarity: np.ndarray) -> tuple[np.ndarr
     low = np.uint64(6)
     first = (rarest << np.uint64(58)) | (tokens >> low)
     second = (overall << np.uint64(58)) | (mixed(tokens) >> low)
-    return np.unique(first), np.unique(second)
+    return _distinct(first), _distinct(second)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -154,6 +173,71 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+@cache
+def _size_limits() -> list[int]:
+    """The largest sizes of the classes in which sets are cut into parts."""
+    limits = [1]
+    while limits[-1] < 1 << 40:
+        limits.append(max(limits[-1] + 1, int(limits[-1] * PART_CLASS)))
+    return limits
+
+
+def _most_unlike(n: int, limit: int, percent: int) -> int:
+    """How many tokens a set of ``n`` and a linked one of up to ``limit`` don't share at most."""
+    return (n + min(limit, 100 * n // percent)) * (100 - percent) // (100 + percent)
+
+
+@cache
+def _part_count(at: int, percent: int) -> int:
+    """Parts for the sets of a class: few, yet nearly always enough that more of them
+    hold tokens than can differ."""
+    limit = _size_limits()[at]
+    sizes = (limit, _size_limits()[at - 1] + 1 if at else 1)
+    count = _most_unlike(limit, limit, percent) + 1
+    while count < 8 * limit:
+        for n in sizes:
+            empty = math.exp(-n / count)
+            spread = math.sqrt(count * empty * (1 - empty))
+            if count * (1 - empty) - 2 * spread < _most_unlike(n, limit, percent) + 1:
+                break
+        else:
+            return count
+        count += 1 + count // 64
+    return count
+
+
+@cache
+def _class_salt(at: int) -> np.ndarray:
+    return mixed(np.array([at], np.uint64))
+
+
+def _parts(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """Names of the parts of a set, of which two linked sets have one in common.
+
+    The parts are ranges of the hashes in the tokens, as many as suit the sizes of a class.
+    Of those that hold tokens of either set, no more can differ than tokens do, so one
+    of the first ones is the same. A set that hasn't more than can differ gets the name
+    that all such sets of the class get. A set is cut for its own class and for those
+    of larger sets it can be linked with.
+    """
+    n = len(tokens)
+    if not prefix_length(n, percent):
+        return tokens[:0]
+    limits = _size_limits()
+    # Without the rank; what is left is as good as random, and so are its sums.
+    spread = np.sort(tokens << np.uint64(6))
+    high = spread >> np.uint64(32)
+    found = []
+    for at in range(bisect_left(limits, n), bisect_left(limits, 100 * n // percent) + 1):
+        place = (high * np.uint64(_part_count(at, percent))) >> np.uint64(32)
+        starts = np.concatenate([_START, np.flatnonzero(place[1:] != place[:-1]) + 1])
+        names = np.add.reduceat(spread, starts)[: _most_unlike(limits[at], limits[at], percent) + 1]
+        found.append(mixed(names + _class_salt(at)))
+        if len(starts) <= _most_unlike(n, limits[at], percent):
+            found.append(_class_salt(at))
+    return np.concatenate(found)
+
+
 def _name(tokens: np.ndarray) -> bytes | None:
     """128 bits that name a set of sorted tokens."""
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
@@ -176,7 +260,7 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
         # Copies of a set are one node: their prefixes are told once, as far as remembered.
         told: set[bytes | None] = set()
         for batch in slices(batches):
-            sizes, names, marks, firsts, seconds = [], [], [], [], []
+            sizes, names, marks, firsts, seconds, parts = [], [], [], [], [], []
             for text in text_bytes(batch.column("text")):
                 first, second = _ordered(hashes.of(text), size, rarity)
                 kept = prefix_length(len(first), percent)
@@ -190,6 +274,7 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
                 told.add(names[-1])
                 firsts.append(first[:kept].copy())
                 seconds.append(second[:kept].copy())
+                parts.append(_parts(first, percent) if kept and percent >= PARTS_FROM else first[:0])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -199,8 +284,9 @@ def _prefixes(size: int, percent: int, rarity: np.ndarray) -> Callable:
                     pa.array(marks, pa.binary()),
                     long_lists(firsts),
                     long_lists(seconds),
+                    long_lists(parts),
                 ],
-                names=["id", "tag", "n", "node", "marks", "first", "second"],
+                names=["id", "tag", "n", "node", "marks", "first", "second", "parts"],
             )
 
     return run
@@ -474,12 +560,13 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     named = materialize(rows.mapInArrow(_prefixes(size, percent, rarity), SET_SCHEMA), "prefixes")
 
     key = F.xxhash64("node").alias("key")
-    first = named.where("n > 0").select(key, F.explode("first").alias("token"))
-    cells = materialize(_cells(first), "cells")
-    held = bounded_join(named.where("n > 0").withColumn("key", key), cells, "key")
-    second = held.select("cell", "key", F.explode("second").alias("token"))
-    # Two cells that meet in a hash would only be one.
-    cells = materialize(_cells(second.select("key", F.xxhash64("cell", "token").alias("token"))), "cells")
+    told = named.where("n > 0").withColumn("key", key)
+    filters = ["parts", "first", "second"] if percent >= PARTS_FROM else ["first", "second"]
+    cells = materialize(_cells(told.select("key", F.explode(filters[0]).alias("token"))), "cells")
+    for name in filters[1:]:
+        held = bounded_join(told, cells, "key").select("cell", "key", F.explode(name).alias("token"))
+        # Two cells that meet in a hash would only be one.
+        cells = materialize(_cells(held.select("key", F.xxhash64("cell", "token").alias("token"))), "cells")
 
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag")).alias("least")
     known = named.where("n > 0").groupBy("node", "n").agg(
